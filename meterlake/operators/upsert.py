@@ -82,9 +82,12 @@ def in_partitions(columns: Sequence[str], values: Sequence[Sequence[str]]) -> Co
     return reduce(or_, groups)
 
 
-def touched_partitions(incoming: DataFrame, table: LakeTable) -> list[tuple[str, ...]]:
-    """The partitions that ``incoming`` falls in: one small row per month and type."""
-    return [tuple(row) for row in incoming.select(*table.partition_by).distinct().collect()]
+def touched_partitions(rows: DataFrame, table: LakeTable) -> list[tuple[str, ...]]:
+    """The partitions that ``rows`` fall in: one small row per month and type.
+
+    On a partitioned table this reads row counts from file footers and no column.
+    """
+    return [tuple(row) for row in rows.select(*table.partition_by).distinct().collect()]
 
 
 def _clustered(df: DataFrame, table: LakeTable, partitions: Sequence[Sequence[str]]) -> DataFrame:
@@ -122,7 +125,7 @@ def upsert_table(
         return
     columns = table.partition_by
     existing = table.read(spark).where(in_partitions(columns, touched))
-    held = {tuple(value) for value in _partitions_with_files(existing, table)}
+    held = set(touched_partitions(existing, table))
     fresh = [value for value in touched if tuple(value) not in held]
     stale = [value for value in touched if tuple(value) in held]
     if fresh:
@@ -143,16 +146,6 @@ def publish(spark: SparkSession, table: LakeTable, staging: str) -> None:
     staged.rewrite(spark.createDataFrame([], table.schema))
 
 
-def _partitions_with_files(df: DataFrame, table: LakeTable) -> set[tuple[str, ...]]:
-    """Partitions with at least one file, from the file names of the pruned scan."""
-    found = set()
-    for path in df.inputFiles():
-        parts = dict(p.split("=", 1) for p in path.split("/") if "=" in p)
-        if all(c in parts for c in table.partition_by):
-            found.add(tuple(parts[c] for c in table.partition_by))
-    return found
-
-
 def upsert_zones(current: DataFrame, incoming: DataFrame, updated_at: Column) -> DataFrame:
     """The zone list after a refresh: listed zones take the new values, others stay."""
     fresh = incoming.select(*ZONE_COLUMNS).withColumn("updated_at", updated_at)
