@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from meterlake.schema import BUSINESS_KEY, FINGERPRINT
+from meterlake.schema import BUSINESS_KEY, FINGERPRINT, TRIP_KEY
 
 
 def joined_text(columns: Iterable[str | Column], null_text: str) -> Column:
@@ -16,12 +16,27 @@ def joined_text(columns: Iterable[str | Column], null_text: str) -> Column:
     return F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit(null_text)) for c in parts])
 
 
+def _unsigned_zero(name: str) -> Column:
+    """Minus zero counts as zero in a key, as it does in a comparison."""
+    return F.col(name) + F.lit(0.0) if name == "passenger_count" else F.col(name)
+
+
 def business_trip_key() -> Column:
-    return joined_text(BUSINESS_KEY, "")
+    """Equal texts if and only if all key columns are equal, nulls being equal."""
+    return joined_text([_unsigned_zero(c) for c in BUSINESS_KEY], "")
 
 
 def row_fingerprint() -> Column:
-    return joined_text(FINGERPRINT, "")
+    return joined_text([_unsigned_zero(c) for c in FINGERPRINT], "")
+
+
+def key_hash() -> Column:
+    """Leads the columns that trips are shuffled and sorted on.
+
+    Business keys begin with long common texts; a sort that compares the hash first
+    decides on its eight-byte prefix and reads the text only for equal hashes.
+    """
+    return F.xxhash64(*TRIP_KEY)
 
 
 def surrogate_key(*columns: str | Column) -> Column:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlake.schema import BUSINESS_KEY, ROW_NUMBER
+from meterlake.functions.keys import business_trip_key, key_hash
+from meterlake.schema import BUSINESS_KEY, KEY_HASH, ROW_NUMBER, TRIP_KEY
 
 # The business key with its most selective columns first: sorting compares the first
 # column by prefix and looks further only on ties.
@@ -19,14 +20,26 @@ _SORT_KEY = ("pickup_datetime", "dropoff_datetime") + tuple(
 def keep_first(
     trips: DataFrame,
     order_by: Sequence[str] = (ROW_NUMBER,),
-    scope: Sequence[str] = ("batch_id",),
+    scope: Sequence[str] = (),
+    merge_next: bool = False,
 ) -> DataFrame:
-    """The first row in file order of each business key, within each batch; nulls are equal.
+    """The first row in file order of each business key of a source month; nulls are equal.
+
+    A month is loaded by one batch. Where a frame holds several batches of one month,
+    ``scope`` names the column that tells them apart.
+
+    ``merge_next`` shuffles by the text key and its hash, which makes the shuffle wider
+    but leaves the rows partitioned and sorted as ``upsert.merge`` wants them: a merge
+    right after it does not shuffle them again.
 
     Spark applies the rank limit before the shuffle as well as after it, so however many
     copies a key has, each task sends on at most one of them.
     """
-    copies = Window.partitionBy(*_SORT_KEY, *scope).orderBy(*order_by)
-    return (
-        trips.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1").drop("_copy")
-    )
+    keys: tuple[str, ...] = (*_SORT_KEY, "source_year_month")
+    if merge_next:
+        trips = trips.withColumn("business_trip_key", business_trip_key())
+        trips = trips.withColumn(KEY_HASH, key_hash())
+        keys = (KEY_HASH, *TRIP_KEY)
+    copies = Window.partitionBy(*keys, *scope).orderBy(*order_by)
+    first = trips.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1").drop("_copy")
+    return first if merge_next else first.withColumn("business_trip_key", business_trip_key())

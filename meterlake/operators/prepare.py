@@ -10,18 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.functions.flags import quality_status, row_flags
-from meterlake.functions.keys import business_trip_key, row_fingerprint
+from meterlake.functions.keys import row_fingerprint
 from meterlake.operators.dedupe import keep_first
-from meterlake.schema import PREPARED_COLUMNS, ROW_NUMBER, SILVER
+from meterlake.schema import KEY_HASH, PREPARED_COLUMNS, ROW_NUMBER, SILVER
 
 
-def add_keys_and_flags(trips: DataFrame, schema_drift: bool | Column) -> DataFrame:
-    return trips.withColumns(
-        {
-            "business_trip_key": business_trip_key(),
-            "row_fingerprint": row_fingerprint(),
-            **row_flags(schema_drift),
-        }
+def add_flags(kept: DataFrame, schema_drift: bool | Column) -> DataFrame:
+    return kept.withColumns(
+        {"row_fingerprint": row_fingerprint(), **row_flags(schema_drift)}
     ).withColumn("quality_status", quality_status())
 
 
@@ -29,18 +25,24 @@ def prepare_batch(
     trips: DataFrame,
     schema_drift: bool | Column,
     order_by: Sequence[str] = (ROW_NUMBER,),
-    scope: Sequence[str] = ("batch_id",),
+    scope: Sequence[str] = (),
+    merge_next: bool = False,
 ) -> DataFrame:
-    """Deduplicated trips with keys, flags and status: one scan and one shuffle."""
-    flagged = add_keys_and_flags(keep_first(trips, order_by, scope), schema_drift)
-    return flagged.select(*[c for c in PREPARED_COLUMNS if c in flagged.columns])
+    """Deduplicated trips with keys, flags and status: one scan and one shuffle.
+
+    With ``merge_next`` the hash of the trip key comes last, for the merge to reuse.
+    """
+    flagged = add_flags(keep_first(trips, order_by, scope, merge_next), schema_drift)
+    columns = [c for c in (*PREPARED_COLUMNS, KEY_HASH) if c in flagged.columns]
+    return flagged.select(*columns)
 
 
 def to_silver(prepared: DataFrame, loaded_at: datetime | Column) -> DataFrame:
     """Prepared trips in the silver schema.
 
     NaN is cleaned here, after keys and flags have seen it. An integer beyond 32 bits
-    raises under ANSI casts and so fails the batch.
+    raises under ANSI casts and so fails the batch. The hash of the trip key stays on
+    for the merge if it is there; tables do not store it.
     """
     now = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at)
     stamped = prepared.withColumns({"loaded_at": now, "updated_at": now})
@@ -50,7 +52,8 @@ def to_silver(prepared: DataFrame, loaded_at: datetime | Column) -> DataFrame:
         if isinstance(target.dataType, T.DoubleType):
             column = F.when(~F.isnan(column), column)
         columns.append(column.cast(target.dataType).alias(target.name))
-    return stamped.select(*columns)
+    carried = [KEY_HASH] if KEY_HASH in prepared.columns else []
+    return stamped.select(*columns, *carried)
 
 
 def loaded_metrics(prepared: DataFrame, by: Sequence[str] = ("batch_id",)) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.schema import TRIP_KEY, ZONE_COLUMNS
+from meterlake.schema import KEY_HASH, TRIP_KEY, ZONE_COLUMNS
 from meterlake.sources.tables import LakeTable
 
 
@@ -37,14 +37,17 @@ def merge(
 ) -> DataFrame:
     """Incoming rows replace current rows of the same key; ``keep`` columns stay as first loaded.
 
-    Keys are unique on either side, so one full outer join does it: each side is shuffled
-    once and no key can be hot. The hash comes first among the join columns so that the
-    sort compares longs, not texts with long common prefixes.
+    Keys are unique on either side, so one full outer join does it and no key can be hot.
+    The hash leads the join columns (see ``key_hash``). Incoming trips straight from
+    ``prepare_batch(merge_next=True)`` are already partitioned and sorted this way, and
+    then only the current rows are shuffled for the merge.
     """
-    key_hash = F.xxhash64(*keys)
-    left = current.withColumn("_hash", key_hash).alias("old")
-    right = incoming.withColumns({"_hash": key_hash, "_incoming": F.lit(True)}).alias("new")
-    on = reduce(and_, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in ("_hash", *keys)])
+    left = current.withColumn(KEY_HASH, F.xxhash64(*keys)).alias("old")
+    right = incoming.withColumn("_incoming", F.lit(True))
+    if KEY_HASH not in incoming.columns:
+        right = right.withColumn(KEY_HASH, F.xxhash64(*keys))
+    right = right.alias("new")
+    on = reduce(and_, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in (KEY_HASH, *keys)])
     is_new = F.col("new._incoming").isNotNull()
     columns = []
     for name in current.columns:
@@ -90,6 +93,14 @@ def touched_partitions(rows: DataFrame, table: LakeTable) -> list[tuple[str, ...
     return [tuple(row) for row in rows.select(*table.partition_by).distinct().collect()]
 
 
+def held_partitions(
+    spark: SparkSession, table: LakeTable, partitions: Sequence[Sequence[str]]
+) -> set[tuple[str, ...]]:
+    """Those of ``partitions`` that hold rows."""
+    rows = table.read(spark).where(in_partitions(table.partition_by, partitions))
+    return set(touched_partitions(rows, table))
+
+
 def _clustered(df: DataFrame, table: LakeTable, partitions: Sequence[Sequence[str]]) -> DataFrame:
     """Rows of one partition together, in files of the advisory size.
 
@@ -124,12 +135,12 @@ def upsert_table(
     if not touched:
         return
     columns = table.partition_by
-    existing = table.read(spark).where(in_partitions(columns, touched))
-    held = set(touched_partitions(existing, table))
+    held = held_partitions(spark, table, touched)
     fresh = [value for value in touched if tuple(value) not in held]
     stale = [value for value in touched if tuple(value) in held]
     if fresh:
-        rows = incoming if not stale else incoming.where(in_partitions(columns, fresh))
+        rows = incoming.drop(KEY_HASH)
+        rows = rows if not stale else rows.where(in_partitions(columns, fresh))
         table.overwrite_partitions(_clustered(rows, table, fresh))
     if stale:
         rows = incoming if not fresh else incoming.where(in_partitions(columns, stale))

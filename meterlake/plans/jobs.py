@@ -145,14 +145,17 @@ def _load(spark: SparkSession, lake: Lake, taxi_type: str, plans: list[dict], pa
         ledger.start_batches(spark, lake.ledger, planned, utc_now())
         started = True
 
-        normalized = trips.normalize_groups(groups, planned, taxi_type, parts)
+        only_month = plans[0]["year_month"] if len(plans) == 1 else None
+        normalized = trips.normalize_groups(groups, taxi_type, only_month, parts)
         order = (trips.SOURCE_PART, ROW_NUMBER) if parts else (ROW_NUMBER,)
-        prepared = prepare_batch(normalized, F.col("has_schema_drift"), order)
         partitions = [(plan["year_month"], taxi_type) for plan in plans]
+        merge_next = bool(upsert.held_partitions(spark, lake.silver, partitions))
+        drift = F.col("has_schema_drift")
+        prepared = prepare_batch(normalized, drift, order, merge_next=merge_next)
         upsert.upsert_table(
             spark,
             lake.silver,
-            to_silver(prepared, utc_now()),
+            to_silver(trips.with_batches(prepared, planned), utc_now()),
             staging_path(spark, lake, f"silver-{ids[0]}"),
             partitions=partitions,
         )
@@ -390,7 +393,7 @@ def checked_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 
 def check_tables(spark: SparkSession, lake: Lake) -> DataFrame:
     """Summary rows of all data checks on the lake's tables."""
-    return checks.run_checks(checked_tables(spark, lake))
+    return checks.run_checks(checked_tables(spark, lake), staging_path(spark, lake, "checks"))
 
 
 def run_all(

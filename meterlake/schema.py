@@ -100,6 +100,8 @@ def _stored(column: TripColumn) -> tuple[str, T.DataType]:
 
 
 TRIP_KEY = ("business_trip_key", "source_year_month")
+# Hash of the trip key; travels with prepared trips and is not stored.
+KEY_HASH = "trip_key_hash"
 TRIP_PARTITIONS = ("source_year_month", "taxi_type")
 
 SILVER = _struct(

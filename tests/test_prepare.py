@@ -11,7 +11,15 @@ from meterlake.functions.calendar import month_range, resolve_months
 from meterlake.functions.keys import business_trip_key, surrogate_key
 from meterlake.operators.dedupe import keep_first
 from meterlake.operators.prepare import batch_metrics, prepare_batch, to_silver
-from meterlake.schema import BASE_COLUMNS, BUSINESS_KEY, FLAGS, PREPARED_COLUMNS, SILVER, TRIP_COLUMNS
+from meterlake.schema import (
+    BASE_COLUMNS,
+    BUSINESS_KEY,
+    FLAGS,
+    KEY_HASH,
+    PREPARED_COLUMNS,
+    SILVER,
+    TRIP_COLUMNS,
+)
 from tests.conftest import at
 
 SCHEMA = (
@@ -85,6 +93,8 @@ def test_drift_flags_the_whole_batch(spark):
 
 def test_prepared_columns_in_order(spark):
     assert prepare_batch(frame(spark, trip()), False).columns == list(PREPARED_COLUMNS)
+    ahead = prepare_batch(frame(spark, trip()), False, merge_next=True)
+    assert ahead.columns == [*PREPARED_COLUMNS, KEY_HASH]
 
 
 def test_first_in_file_order_is_kept_and_nulls_are_equal(spark):
@@ -96,14 +106,21 @@ def test_first_in_file_order_is_kept_and_nulls_are_equal(spark):
         trip(5, passenger_count=None, fare_amount=5.0),
     ]
     random.Random(7).shuffle(rows)
-    for partitions in (1, 5):
-        kept = keep_first(frame(spark, *rows).repartition(partitions))
+    for partitions, merge_next in ((1, False), (5, False), (5, True)):
+        kept = keep_first(frame(spark, *rows).repartition(partitions), merge_next=merge_next)
         assert sorted(r.fare_amount for r in kept.collect()) == [1.0, 3.0, 5.0]
 
 
-def test_scope_is_the_batch(spark):
-    rows = frame(spark, trip(1), trip(1, batch_id="c"))
+def test_scope_is_the_month_or_the_batch(spark):
+    rows = frame(spark, trip(1), trip(1, batch_id="c"), trip(1, source_year_month="2024-02"))
     assert keep_first(rows).count() == 2
+    assert keep_first(rows, scope=["batch_id"]).count() == 3
+
+
+def test_minus_zero_is_zero_in_keys(spark):
+    rows = frame(spark, trip(1, passenger_count=0.0), trip(2, passenger_count=-0.0))
+    assert keep_first(rows).count() == 1
+    assert keep_first(rows, merge_next=True).count() == 1
 
 
 def test_a_hot_key_is_cut_down_before_the_shuffle(spark):

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.operators.prepare import batch_metrics, prepare_batch, to_silver
-from meterlake.schema import LEDGER, TRIP_COLUMNS
+from meterlake.schema import LEDGER
 
 AS_OF = datetime(2001, 11, 3, tzinfo=timezone.utc)
 FIRST_LOAD = datetime(2002, 1, 1, tzinfo=timezone.utc)
@@ -97,19 +97,21 @@ def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_silver(prepared_trips(spark, sf_dir), FIRST_LOAD)
 
 
-def correction_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def correction_batches(
+    spark: SparkSession, sf_dir: str, merge_next: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """A first load and a later one that corrects some of its trips and adds others."""
     lines = table(spark, sf_dir, "lineitem").withColumn("copy_no", F.lit(0))
     first = lines.where("l_orderkey % 50 <> 1")
     second = lines.where("l_orderkey % 15 = 0 or l_orderkey % 50 = 1")
 
-    def silver(part: DataFrame, add: int, at: datetime) -> DataFrame:
+    def silver(part: DataFrame, add: int, at: datetime, ahead: bool) -> DataFrame:
         moved = trips_from(part).withColumns(
             {c: F.col(c) + add for c in ("fare_amount", "total_amount")}
         )
-        return to_silver(prepare_batch(moved, False, FILE_ORDER), at)
+        return to_silver(prepare_batch(moved, False, FILE_ORDER, merge_next=ahead), at)
 
-    return silver(first, 0, FIRST_LOAD), silver(second, 2, CORRECTION)
+    return silver(first, 0, FIRST_LOAD, False), silver(second, 2, CORRECTION, merge_next)
 
 
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,6 +268,3 @@ def raw_green(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ehail_fee",
         "source_year_month as file_month",
     )
-
-
-TRIP_NAMES = [column.name for column in TRIP_COLUMNS]

@@ -69,8 +69,8 @@ def _corrected(spark: SparkSession, sf_dir: str, lake: Lake) -> Lake:
     """A first load and its fact, then a correction and the refreshed fact."""
     jobs.ensure_warehouse(spark, lake)
     lake.zones.append(derive.zones(spark, sf_dir))
-    for batch in derive.correction_batches(spark, sf_dir):
-        partitions = months_of(batch)
+    partitions = months_of(derive.trips(spark, sf_dir))
+    for batch in derive.correction_batches(spark, sf_dir, merge_next=True):
         staging = jobs.staging_path(spark, lake, f"silver-{uuid4().hex}")
         upsert_table(spark, lake.silver, batch, staging, partitions=partitions)
         jobs.refresh_dimensions(spark, lake)

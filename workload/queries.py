@@ -20,6 +20,7 @@ from meterlake.operators.dedupe import keep_first
 from meterlake.operators.prepare import batch_metrics
 from meterlake.plans import dashboards, dimensions, fact, jobs, marts, monitoring, staging
 from meterlake.schema import FLAGS, LEDGER, TRIP_NAMES
+from meterlake.sources.tables import cut
 from meterlake.sources.trips import file_row_number, normalize_frame, read_raw, schema_drift
 from workload import derive, oracle
 from workload.lakes import corrected_lake, gold_lake, silver_lake
@@ -400,8 +401,10 @@ def fare_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_select("*", "anomalies"), rounded=_SCORES)
 def fare_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4, C5, E3."""
-    trips = _fact(spark, sf_dir)
-    return marts.fare_anomalies(trips, marts.fare_baseline(trips))
+    lake = gold_lake(spark, sf_dir)
+    trips = lake.fact.read(spark)
+    baseline = cut(marts.fare_baseline(trips), jobs.staging_path(spark, lake, "marts"), "baseline")
+    return marts.fare_anomalies(trips, baseline)
 
 
 @query(_select("*", "monthly"), rounded=_MONTHLY, digits=4)
@@ -548,7 +551,7 @@ def upsert_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_select("*", "upserted"))
 def upsert_trips_in_one_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same merge as one lazy plan, without tables."""
-    first, second = derive.correction_batches(spark, sf_dir)
+    first, second = derive.correction_batches(spark, sf_dir, merge_next=True)
     return upsert.merge(first, second)
 
 
@@ -713,6 +716,10 @@ _ACCEPTED_SQL = _all_rows(
 )
 
 
+def _work(spark: SparkSession, sf_dir: str) -> str:
+    return jobs.staging_path(spark, silver_lake(spark, sf_dir), "checks")
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -732,7 +739,8 @@ def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2."""
     tables = _tables(spark, sf_dir)
-    return _union([checks.unique(tables[t], t, c) for t, c in checks.UNIQUE.items()])
+    folder = _work(spark, sf_dir)
+    return _union([checks.unique(tables[t], t, c, folder) for t, c in checks.UNIQUE.items()])
 
 
 @query(_ACCEPTED_SQL)
@@ -779,7 +787,7 @@ def check_unique_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeated_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q5 where it fails: trips before deduplication."""
     trips = derive.trips(spark, sf_dir).withColumn("business_trip_key", business_trip_key())
-    return checks.unique_grain(trips)
+    return checks.unique_grain(trips, _work(spark, sf_dir))
 
 
 @query(
