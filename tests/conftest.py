@@ -31,8 +31,7 @@ def spark(tmp_path_factory):
     return session
 
 
-@pytest.fixture
-def lake(tmp_path) -> Lake:
+def new_lake(tmp_path: Path) -> Lake:
     source = tmp_path / "source"
     source.mkdir()
     zones = tmp_path / "zones.csv"
@@ -46,6 +45,11 @@ def lake(tmp_path) -> Lake:
     return Lake(str(tmp_path / "lake"), str(source), str(zones))
 
 
+@pytest.fixture
+def lake(tmp_path) -> Lake:
+    return new_lake(tmp_path)
+
+
 def write_parquet(path: Path | str, columns: dict, **types) -> None:
     """A parquet file from lists; ``types`` gives arrow types where they matter."""
     arrays = {

@@ -10,7 +10,7 @@ from meterlake.operators.prepare import prepare_batch, to_silver
 from meterlake.plans import fact, jobs, marts, staging
 from meterlake.schema import KEY_HASH
 from meterlake.sources import trips
-from tests.conftest import at, write_parquet, yellow_columns
+from tests.conftest import at, new_lake, write_parquet, yellow_columns
 
 
 def plan_of(df):
@@ -21,8 +21,10 @@ def lines(df, word):
     return [line for line in plan_of(df).splitlines() if word in line]
 
 
-@pytest.fixture
-def loaded(spark, lake):
+@pytest.fixture(scope="module")
+def loaded(spark, tmp_path_factory):
+    """Two loaded months and their gold tables; these tests only read them."""
+    lake = new_lake(tmp_path_factory.mktemp("plans"))
     for month, rows in (("2024-01", 4), ("2024-02", 3)):
         write_parquet(trips.source_url(lake.source_base, "yellow", month), yellow_columns(rows))
     jobs.bootstrap(spark, lake)

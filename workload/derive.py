@@ -45,8 +45,6 @@ def lineitem_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trips_from(lines: DataFrame) -> DataFrame:
     """Trip columns from line items; ``copy_no`` adds to the money columns."""
     values = {
-        "batch_id": "md5(concat(taxi_type, '|', source_year_month, '|1'))",
-        "source_file_name": "concat(taxi_type, '_tripdata_', source_year_month, '.parquet')",
         "vendor_id": "case when l_suppkey % 40 = 0 then null else cast(l_suppkey % 5 as bigint) end",
         "pickup_datetime": """case when l_partkey % 97 = 0 then null else l_shipdate
             + make_interval(0, 0, 0, 0, cast(l_orderkey % 24 as int), l_linenumber * 7, 0) end""",
@@ -85,12 +83,24 @@ def trips_from(lines: DataFrame) -> DataFrame:
     )
 
 
+def with_batch(trips: DataFrame) -> DataFrame:
+    """Batch and file name, which follow from type and month and need not be shuffled."""
+    return trips.withColumns(
+        {
+            "batch_id": F.expr("md5(concat(taxi_type, '|', source_year_month, '|1'))"),
+            "source_file_name": F.expr(
+                "concat(taxi_type, '_tripdata_', source_year_month, '.parquet')"
+            ),
+        }
+    )
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_from(lineitem_passes(spark, sf_dir))
 
 
 def prepared_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_batch(trips(spark, sf_dir), schema_drift=False, order_by=FILE_ORDER)
+    return with_batch(prepare_batch(trips(spark, sf_dir), schema_drift=False, order_by=FILE_ORDER))
 
 
 def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +119,8 @@ def correction_batches(
         moved = trips_from(part).withColumns(
             {c: F.col(c) + add for c in ("fare_amount", "total_amount")}
         )
-        return to_silver(prepare_batch(moved, False, FILE_ORDER, merge_next=ahead), at)
+        prepared = prepare_batch(moved, False, FILE_ORDER, merge_next=ahead)
+        return to_silver(with_batch(prepared), at)
 
     return silver(first, 0, FIRST_LOAD, False), silver(second, 2, CORRECTION, merge_next)
 

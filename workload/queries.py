@@ -249,7 +249,7 @@ def quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedupe_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E2."""
     kept = keep_first(derive.trips(spark, sf_dir), derive.FILE_ORDER)
-    return kept.select(
+    return derive.with_batch(kept).select(
         "batch_id", "taxi_type", "source_year_month", "source_file_name", *TRIP_NAMES
     )
 
@@ -274,7 +274,8 @@ def prepared_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D6."""
-    return batch_metrics(derive.trips(spark, sf_dir), derive.prepared_trips(spark, sf_dir))
+    source = derive.with_batch(derive.trips(spark, sf_dir))
+    return batch_metrics(source, derive.prepared_trips(spark, sf_dir))
 
 
 # Tables and staging ------------------------------------------------------------------
