@@ -16,8 +16,11 @@ from meterlake.operators.upsert import upsert_table
 from meterlake.plans import jobs
 from meterlake.schema import LEDGER
 from meterlake.sources.tables import Lake, working_dir
+from meterlake.sources.trips import source_url
 from workload import derive
 
+RAW_MONTH = "1995-01"
+
 _BUILT: dict[tuple[str, str, str], Lake] = {}
 
 
@@ -93,6 +96,15 @@ def corrected_lake(spark: SparkSession, sf_dir: str) -> Lake:
     return _memo(spark, sf_dir, "corrected", _corrected)
 
 
+def raw_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """A new empty lake whose source folder has the yellow trips as one raw file."""
+    root = new_root(spark)
+    lake = Lake(root, f"{root}/source")
+    url = source_url(lake.source_base, "yellow", RAW_MONTH)
+    derive.raw_yellow(spark, sf_dir).write.parquet(url)
+    return lake
+
+
 def build_fresh(spark: SparkSession, sf_dir: str, stage: str) -> Lake:
     """Build without the memo, for timing."""
     lake = Lake(new_root(spark))

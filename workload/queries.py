@@ -11,19 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterlake.functions import keys
 from meterlake.functions.calendar import months_between
 from meterlake.functions.casts import clean_scalars, lenient_cast
 from meterlake.functions.flags import quality_status, row_flags
-from meterlake.functions.keys import business_trip_key, row_fingerprint, surrogate_key
-from meterlake.operators import checks, ledger, upsert
+from meterlake.operators import checks, ledger, prepare, upsert
 from meterlake.operators.dedupe import keep_first
-from meterlake.operators.prepare import batch_metrics
 from meterlake.plans import dashboards, dimensions, fact, jobs, marts, monitoring, staging
 from meterlake.schema import FLAGS, LEDGER, TRIP_NAMES
+from meterlake.sources import trips as raw_trips
 from meterlake.sources.tables import cut
-from meterlake.sources.trips import file_row_number, normalize_frame, read_raw, schema_drift
+from meterlake.streaming.landing import land_stream
 from workload import derive, oracle
-from workload.lakes import corrected_lake, gold_lake, silver_lake
+from workload.lakes import RAW_MONTH, corrected_lake, gold_lake, raw_lake, silver_lake
 from workload.oracle import statement
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -82,7 +82,7 @@ _NAMES = ", ".join(TRIP_NAMES)
 
 def _normalized(raw: DataFrame, taxi_type: str) -> DataFrame:
     month = F.col("file_month")
-    return normalize_frame(
+    return raw_trips.normalize_frame(
         raw,
         batch_id=F.md5(F.concat_ws("|", F.lit(taxi_type), month, F.lit("1"))),
         taxi_type=taxi_type,
@@ -111,8 +111,8 @@ def normalize_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Physical row number in the file."""
-    raw = read_raw(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
-    return raw.select(file_row_number().alias("row_number_in_file"), "l_orderkey", "l_linenumber")
+    raw = raw_trips.read_raw(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    return raw.select(raw_trips.file_row_number().alias("row_number_in_file"), "l_orderkey", "l_linenumber")
 
 
 @query(
@@ -122,13 +122,13 @@ def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
          count(*) as source_rows
        from lineitem group by 1, 2"""
 )
-def schema_drift_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B2: columns of the raw frames outside the alias table."""
 
     def drift(raw: DataFrame, taxi_type: str) -> DataFrame:
         return raw.agg(
             F.lit(taxi_type).alias("taxi_type"),
-            F.lit(schema_drift(raw.columns)).alias("schema_drift_columns"),
+            F.lit(raw_trips.schema_drift(raw.columns)).alias("schema_drift_columns"),
             F.count("*").alias("source_rows"),
         )
 
@@ -216,7 +216,7 @@ def normalize_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
 def business_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B8."""
     return derive.trips(spark, sf_dir).select(
-        *derive.FILE_ORDER, business_trip_key().alias("business_trip_key")
+        *derive.FILE_ORDER, keys.business_trip_key().alias("business_trip_key")
     )
 
 
@@ -226,10 +226,10 @@ def business_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         "trips",
     )
 )
-def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+def row_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B9."""
     return derive.trips(spark, sf_dir).select(
-        *derive.FILE_ORDER, row_fingerprint().alias("row_fingerprint")
+        *derive.FILE_ORDER, keys.row_fingerprint().alias("row_fingerprint")
     )
 
 
@@ -272,10 +272,78 @@ def prepared_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "counts",
     )
 )
-def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D6."""
     source = derive.with_batch(derive.trips(spark, sf_dir))
-    return batch_metrics(source, derive.prepared_trips(spark, sf_dir))
+    return prepare.batch_metrics(source, derive.prepared_trips(spark, sf_dir))
+
+
+# Loads of raw files ------------------------------------------------------------------
+
+# The yellow trips as one raw file, and what its load keeps.
+_YELLOW = oracle.trips_of("select *, 0 as copy_no from lineitem where l_linestatus = 'F'")
+_LOADED = f"""select count(*) as source_rows, count(distinct {oracle.KEY_TEXT}) as loaded_rows,
+  count(distinct case when vendor_id is null or pickup_datetime is null then {oracle.KEY_TEXT} end)
+    as null_key_rows
+  from ({_YELLOW}) as y"""
+
+
+@query(
+    f"""select vendor_id as "VendorID", cast(pickup_datetime as varchar) as tpep_pickup_datetime,
+         cast(passenger_count as bigint) as passenger_count, trip_distance, fare_amount,
+         'drift' as bonus_field
+       from ({_YELLOW}) as y"""
+)
+def bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: a raw file under its bronze key, with its own columns."""
+    lake = raw_lake(spark, sf_dir)
+    url = raw_trips.source_url(lake.source_base, "yellow", RAW_MONTH)
+    key = raw_trips.land_bronze(spark, url, lake.root, "yellow", RAW_MONTH)
+    landed = spark.read.parquet(lake.path(key))
+    return landed.select(
+        "VendorID",
+        "tpep_pickup_datetime",
+        "passenger_count",
+        "trip_distance",
+        "fare_amount",
+        "bonus_field",
+    )
+
+
+@query(
+    f"""select 'success' as status, cast(source_rows as int) as source_rows,
+         cast(loaded_rows as int) as loaded_rows,
+         cast(source_rows - loaded_rows as int) as duplicate_rows,
+         cast(loaded_rows as int) as invalid_rows, cast(null_key_rows as int) as null_key_rows,
+         'bonus_field,file_month' as schema_drift_columns
+       from ({_LOADED}) as l"""
+)
+def run_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger row after a raw file went through the whole load."""
+    lake = raw_lake(spark, sf_dir)
+    jobs.run_month(spark, lake, "yellow", RAW_MONTH)
+    return ledger.current_batches(lake.ledger.read(spark)).select(
+        "status",
+        "source_rows",
+        "loaded_rows",
+        "duplicate_rows",
+        "invalid_rows",
+        "null_key_rows",
+        "schema_drift_columns",
+    )
+
+
+@query(
+    f"""select distinct {oracle.KEY_TEXT} as business_trip_key, '{RAW_MONTH}' as source_year_month
+        from ({_YELLOW}) as y"""
+)
+def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after the stream has taken up a new raw file."""
+    lake = raw_lake(spark, sf_dir)
+    schema = spark.read.parquet(lake.source_base + "/*").schema
+    stream = land_stream(spark, lake, "yellow", schema, lake.path("stream_checkpoint"))
+    stream.awaitTermination()
+    return lake.silver.read(spark).select("business_trip_key", "source_year_month")
 
 
 # Tables and staging ------------------------------------------------------------------
@@ -331,8 +399,8 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B19."""
     return derive.trips(spark, sf_dir).select(
         *derive.FILE_ORDER,
-        surrogate_key("taxi_type", "vendor_id").alias("vendor_sk"),
-        surrogate_key("pickup_location_id").alias("zone_sk"),
+        keys.surrogate_key("taxi_type", "vendor_id").alias("vendor_sk"),
+        keys.surrogate_key("pickup_location_id").alias("zone_sk"),
     )
 
 
@@ -787,7 +855,7 @@ def check_unique_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def repeated_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q5 where it fails: trips before deduplication."""
-    trips = derive.trips(spark, sf_dir).withColumn("business_trip_key", business_trip_key())
+    trips = derive.trips(spark, sf_dir).withColumn("business_trip_key", keys.business_trip_key())
     return checks.unique_grain(trips, _work(spark, sf_dir))
 
 
