@@ -32,37 +32,30 @@ def fare_zscore() -> Column:
 
 
 def anomaly_type() -> Column:
-    """The first reason that applies."""
-    return (
-        F.when(F.col("has_negative_fare"), "negative_fare")
-        .when(F.col("has_invalid_distance"), "invalid_distance")
-        .when(F.col("has_temporal_anomaly"), "pickup_after_dropoff")
-        .when(F.col("has_invalid_zone"), "invalid_zone")
-        .when(F.col("has_null_key"), "null_business_key")
-        .when(F.abs("fare_per_mile_zscore") >= OUTLIER_ZSCORE, "fare_rate_outlier")
-        .otherwise("other")
-    )
+    """The first reason that applies, null for none; drift alone is no reason."""
+    reasons = [
+        (F.col("has_negative_fare"), "negative_fare"),
+        (F.col("has_invalid_distance"), "invalid_distance"),
+        (F.col("has_temporal_anomaly"), "pickup_after_dropoff"),
+        (F.col("has_invalid_zone"), "invalid_zone"),
+        (F.col("has_null_key"), "null_business_key"),
+        (F.abs("fare_per_mile_zscore") >= OUTLIER_ZSCORE, "fare_rate_outlier"),
+    ]
+    return F.coalesce(*[F.when(applies, F.lit(reason)) for applies, reason in reasons])
 
 
 def fare_anomalies(fact: DataFrame, baseline: DataFrame) -> DataFrame:
-    """Flagged trips and fare-rate outliers; drift alone is no anomaly.
+    """Trips with a reason to review them.
 
     The baseline is an aggregate joined back, not a window, so that trips are not
     shuffled on two columns of few values. Pass it as a table (``cut``): its size is
     then known before the join is planned.
     """
-    reasons = (
-        F.col("has_negative_fare")
-        | F.col("has_invalid_distance")
-        | F.col("has_temporal_anomaly")
-        | F.col("has_invalid_zone")
-        | F.col("has_null_key")
-        | (F.abs("fare_per_mile_zscore") >= OUTLIER_ZSCORE)
-    )
     return (
         fact.join(baseline, list(_BASELINE_KEY), "left")
         .withColumn("fare_per_mile_zscore", fare_zscore())
-        .where(reasons)
+        .withColumn("anomaly_type", anomaly_type())
+        .where("anomaly_type is not null")
         .select(
             "business_trip_key",
             "source_year_month",
@@ -81,7 +74,7 @@ def fare_anomalies(fact: DataFrame, baseline: DataFrame) -> DataFrame:
             "has_temporal_anomaly",
             "has_invalid_zone",
             "has_null_key",
-            anomaly_type().alias("anomaly_type"),
+            "anomaly_type",
         )
     )
 

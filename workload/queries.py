@@ -39,6 +39,8 @@ class Query:
     digits: int = 6
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        # The lake's times are UTC.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         return _comparable(self.build(spark, sf_dir), self.rounded, self.digits)
 
     def oracle(self) -> str | None:
