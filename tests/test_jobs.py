@@ -158,6 +158,24 @@ def test_range_loads_pending_months_in_one_plan(spark, lake):
     assert by_month["2024-02"].invalid_rows == 3 and by_month["2024-01"].invalid_rows == 0
 
 
+def test_range_with_a_reloaded_and_a_new_month(spark, lake):
+    put(lake, "2024-01", yellow_columns(3))
+    jobs.run_month(spark, lake, "yellow", "2024-01")
+    first = silver(spark, lake).first().loaded_at
+    put(lake, "2024-01", yellow_columns(2, total_amount=[5.0] * 2))
+    put(lake, "2024-02", yellow_columns(4, total_amount=[6.0] * 4))
+    result = jobs.run_range(spark, lake, "yellow", "2024-01", "2024-02")
+    assert [r["loaded_rows"] for r in result["results"]] == [2, 4]
+    rows = silver(spark, lake).collect()
+    assert sorted((r.source_year_month, r.total_amount) for r in rows) == [
+        ("2024-01", 5.0),
+        ("2024-01", 5.0),
+        ("2024-01", 24.0),
+    ] + [("2024-02", 6.0)] * 4
+    assert {r.loaded_at == first for r in rows if r.source_year_month == "2024-01"} == {True}
+    assert len({r.batch_id for r in rows}) == 3
+
+
 def test_range_stops_or_continues_on_error(spark, lake):
     put(lake, "2024-01", yellow_columns(1))
     with pytest.raises(FileNotFoundError):
