@@ -22,6 +22,8 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Plans are printed in full for the tests that read them.
+        .config("spark.sql.maxMetadataStringLength", "100000")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     )
     for key, value in SETTINGS.items():
