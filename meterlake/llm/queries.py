@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from meterlake.llm.bpe import op9_bpe
 from meterlake.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op9_bpe": op9_bpe,
 }
 
 SQL = {
