@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer as Library
 
-from meterlake.llm.common import slices, with_column
+from meterlake.llm.common import arrow_map, slices, with_column
 
 # Pieces a worker remembers, and their longest length.
 REMEMBERED = 250_000
@@ -275,7 +275,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids")
                 ids = np.frombuffer(b"".join(parts), np.int32)
                 yield with_column(batch, out, pa.ListArray.from_arrays(ends.astype(np.int32), ids))
 
-    return source.mapInArrow(run, schema)
+    return arrow_map(source, run, schema)
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -290,7 +290,7 @@ def decode(docs: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded
                 ids = batch.column(ids_col).to_pylist()
                 yield with_column(batch, out, pa.array([tokenizer.decode(x or []) for x in ids], pa.string()))
 
-    return source.mapInArrow(run, schema)
+    return arrow_map(source, run, schema)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:

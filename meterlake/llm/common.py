@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +42,32 @@ def small_enough(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, as ``--py-files`` does, once an application."""
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(application)
+
+
+def arrow_map(
+    df: DataFrame,
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: object,
+) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose ``column`` holds about ``most`` bytes, so long rows go few at a time."""
     if not batch.num_rows:
