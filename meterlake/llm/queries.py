@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from meterlake.llm.bpe import op9_bpe
+from meterlake.llm.decontaminate import op7_decontaminate
 from meterlake.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from meterlake.llm.simhash import op6_simhash
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op6_simhash": op6_simhash,
+    "op7_decontaminate": op7_decontaminate,
     "op9_bpe": op9_bpe,
 }
 
