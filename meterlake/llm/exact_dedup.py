@@ -1,8 +1,9 @@
 """Exact deduplication: group by a 128-bit content hash, compare bytes inside the groups.
 
-Only hashes and ids are shuffled for the whole corpus. Texts move for rows whose hash
-repeats, once, collapsed map-side to one row per task and text, to prove that a group
-holds one text. A hash shared by different texts splits into one class per text.
+Only hashes and ids are shuffled for the whole corpus. Hashes that repeat are kept as a
+table; while it is small it is broadcast, and texts then move only for rows whose hash
+repeats, collapsed map-side to one row per task and text, to prove that a group holds one
+text. A hash shared by different texts splits into one class per text.
 
 Defined cases: a null text equals the empty text; a null id loses against any other id;
 rows that repeat both id and text count in the group size, and one of them stays; an
@@ -17,6 +18,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from meterlake.llm.common import checkpointed, small_enough
+
+# Repeated hashes that are broadcast, some 40 bytes each; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
 
 def content_hash(text: Column) -> Column:
     """128 bits of the text."""
@@ -43,12 +49,13 @@ def classify(
         "doc_id", "h", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha")
     )
     groups = hashed.groupBy("h").agg(
-        F.count("*").alias("group_size"), best("doc_id").alias("keep_id")
+        F.count("*").alias("group_size"), best("doc_id").alias("best_id")
     )
+    repeated = checkpointed(groups.filter("group_size > 1"))
+    repeated = small_enough(repeated, BROADCAST_ROWS)
     # The comparison of bytes: a class is a hash together with its text.
-    suspects = groups.filter("group_size > 1").select("h")
     texts = (
-        hashed.join(suspects, "h", "left_semi")
+        hashed.join(repeated.select("h"), "h", "left_semi")
         .groupBy("h", "text")
         .agg(F.count("*").alias("group_size"), best("doc_id").alias("keep_id"))
     )
@@ -60,7 +67,14 @@ def classify(
     ordered = thin.withColumn(
         "copy", F.row_number().over(Window.partitionBy("doc_id", "h", "sha").orderBy(F.lit(1)))
     )
-    plain = ordered.join(groups, "h").join(collided, "h", "left_anti")
+    plain = ordered.join(repeated, "h", "left").join(collided, "h", "left_anti")
+    alone = F.col("group_size").isNull()
+    plain = plain.withColumns(
+        {
+            "keep_id": F.when(alone, F.col("doc_id")).otherwise(F.col("best_id")),
+            "group_size": F.coalesce("group_size", F.lit(1).cast("long")),
+        }
+    )
     split = ordered.join(by_text, ["h", "sha"])
     columns = ["doc_id", "keep_id", "group_size", "copy", "sha"]
     return plain.select(columns).unionByName(split.select(columns)).select(
