@@ -5,6 +5,7 @@ from __future__ import annotations
 from meterlake.llm.bpe import op9_bpe
 from meterlake.llm.decontaminate import op7_decontaminate
 from meterlake.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from meterlake.llm.language_id import op5_language_id
 from meterlake.llm.simhash import op6_simhash
 from meterlake.llm.substring_dedup import op2_substring_dedup
 from meterlake.llm.token_counts import op3_token_counts
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_token_counts": op3_token_counts,
+    "op5_language_id": op5_language_id,
     "op6_simhash": op6_simhash,
     "op7_decontaminate": op7_decontaminate,
     "op9_bpe": op9_bpe,
