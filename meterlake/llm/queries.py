@@ -6,6 +6,7 @@ from meterlake.llm.bpe import op9_bpe
 from meterlake.llm.decontaminate import op7_decontaminate
 from meterlake.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from meterlake.llm.language_id import op5_language_id
+from meterlake.llm.quality import op8_quality
 from meterlake.llm.simhash import op6_simhash
 from meterlake.llm.substring_dedup import op2_substring_dedup
 from meterlake.llm.token_counts import op3_token_counts
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_simhash": op6_simhash,
     "op7_decontaminate": op7_decontaminate,
+    "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
 }
 
