@@ -10,11 +10,13 @@ from meterlake.llm.quality import op8_quality
 from meterlake.llm.simhash import op6_simhash
 from meterlake.llm.substring_dedup import op2_substring_dedup
 from meterlake.llm.token_counts import op3_token_counts
+from meterlake.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_token_counts": op3_token_counts,
+    "op4_warc": op4_warc,
     "op5_language_id": op5_language_id,
     "op6_simhash": op6_simhash,
     "op7_decontaminate": op7_decontaminate,
@@ -24,4 +26,5 @@ QUERIES = {
 
 SQL = {
     "op1_exact_dedup": OP1_SQL,
+    "op4_warc": OP4_SQL,
 }
