@@ -68,6 +68,15 @@ def arrow_map(
     return df.mapInArrow(run, schema)
 
 
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` but the rows whose id, null or not, is in the one column of ``ids``. While
+    these are few they are broadcast, and no text moves."""
+    gone = ids.select(F.struct(F.col(ids.columns[0]).alias("id")).alias("_id")).distinct()
+    gone = small_enough(checkpointed(gone), 1_000_000)
+    rows = docs.withColumn("_id", F.struct(F.col(id_col).alias("id")))
+    return rows.join(gone, "_id", "left_anti").drop("_id")
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose ``column`` holds about ``most`` bytes, so long rows go few at a time."""
     if not batch.num_rows:

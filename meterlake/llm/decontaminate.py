@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import arrow_map, shared_dir, ship
+from meterlake.llm.common import arrow_map, shared_dir, ship, without_ids
 
 # Words of a segment, but for a document that alone has more.
 SEGMENT_WORDS = 400_000
@@ -380,9 +380,7 @@ def decontaminate(
 ) -> DataFrame:
     """The rows of ``docs`` without any window of ``items``. Rows that share an id go together."""
     bad = contamination(docs, items, window, id_col, text_col).filter("contaminated")
-    bad = bad.select(F.struct(F.col("doc_id").alias("id")).alias("_id")).distinct()
-    rows = docs.withColumn("_id", F.struct(F.col(id_col).alias("id")))
-    return rows.join(bad, "_id", "left_anti").drop("_id")
+    return without_ids(docs, bad.select("doc_id"), id_col)
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

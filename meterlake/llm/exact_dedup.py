@@ -100,8 +100,10 @@ def deduplicate(
         "kept",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("first"),
     )
-    dropped = seen.filter("not first").select("_row")
-    repeated = seen.filter("first and not kept").select("_row").distinct()
+    seen = checkpointed(seen.filter("not kept"))
+    dropped = small_enough(seen.filter("not first").select("_row"), BROADCAST_ROWS // 4)
+    repeated = seen.filter("first").select("_row").distinct()
+    repeated = small_enough(repeated, BROADCAST_ROWS // 4)
     rows = docs.withColumn("_row", key).join(dropped, "_row", "left_anti")
     once = rows.join(repeated, "_row", "left_anti")
     again = rows.join(repeated, "_row", "left_semi").dropDuplicates(["_row"])

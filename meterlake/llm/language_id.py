@@ -39,6 +39,7 @@ RIDGE = 1e-3
 ALPHABET = 159
 BATCH = 256  # texts of one product
 UNKNOWN = "und"
+LEAST = 0.05  # score below which no learned language fits
 
 
 @dataclass
@@ -158,6 +159,20 @@ def sample(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[
     return chosen
 
 
+def predict(texts: list[str | None], model: Model | None) -> tuple[list[str], np.ndarray]:
+    """Languages and scores of a batch of texts."""
+    names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    told = [k for k, t in enumerate(texts) if t and any(map(str.isalpha, t))]
+    if model is not None and told:
+        bits = _matrix([texts[k] for k in told], model, len(model.weights))
+        out = (bits @ model.weights) / np.sqrt(np.maximum(bits.sum(axis=1, keepdims=True), 1))
+        best = out.argmax(axis=1)
+        scores[told] = np.clip(out[np.arange(len(told)), best], 0, 1)
+        for k, b in zip(told, best.tolist(), strict=True):
+            names[k] = model.languages[b]
+    return names, scores
+
+
 def identify(
     docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -167,22 +182,10 @@ def identify(
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(at, BATCH)
-                texts = batch.column("text").to_pylist()
-                names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-                told = [k for k, t in enumerate(texts) if t and any(map(str.isalpha, t))]
-                if model is not None and told:
-                    bits = _matrix([texts[k] for k in told], model, len(model.weights))
-                    out = (bits @ model.weights) / np.sqrt(
-                        np.maximum(bits.sum(axis=1, keepdims=True), 1)
-                    )
-                    best = out.argmax(axis=1)
-                    scores[told] = np.clip(out[np.arange(len(told)), best], 0, 1)
-                    for k, b in zip(told, best.tolist(), strict=True):
-                        names[k] = model.languages[b]
+                names, scores = predict(batch.column("text").to_pylist(), shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores)],
                     ["doc_id", "lang_pred", "score"],
@@ -191,6 +194,23 @@ def identify(
     return arrow_map(source, run, f"doc_id {kind}, lang_pred string, score double")
 
 
+def keep_identified(
+    docs: DataFrame, model: Model | None, least: float = LEAST, text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` whose language is known with a score of at least ``least``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH):
+                batch = whole.slice(at, BATCH)
+                names, scores = predict(batch.column(text_col).to_pylist(), shared.value)
+                known = np.array([name != UNKNOWN for name in names], bool)
+                yield batch.filter(pa.array(known & (scores >= least)))
+
+    return arrow_map(docs, run, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents that the model must not learn from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

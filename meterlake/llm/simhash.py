@@ -1,7 +1,12 @@
 """Near-duplicate documents by SimHash fingerprints and covering locality-sensitive hashing.
 
 **Fingerprint.** One or several lanes of up to 64 bits. A bit is 1 if it is set in over
-half the hashes of the document's features (word shingles with repeats, or distinct words).
+half the hashes of the document's features. Table lanes say who may meet, check lanes
+(or, without them, the table lanes) who is linked: documents whose lanes differ in at
+most ``distance`` bits. By default tables take distinct words, which few edits change,
+and the check takes six times 64 bits of five-word shingles: a similarity of 0.8 makes
+each bit differ with probability acos(2 * 0.8 / 1.8) / pi = 0.151, 58 of 384 bits; the
+distance of 72 leaves room for its spread.
 
 **Candidates.** Bit ``i`` of a lane is given a non-zero vector ``m(i)`` of ``r + 1`` bits,
 all vectors alike often. Mask ``v`` (``1 .. 2^(r+1) - 1``) has the bits for which
@@ -38,17 +43,19 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import arrow_map, checkpointed, slices
+from meterlake.llm.common import arrow_map, checkpointed, slices, without_ids
 from meterlake.llm.components import components
 
 
 @dataclass(frozen=True)
 class Settings:
-    shingle: int = 5  # words; 0: distinct words
-    lanes: int = 6
-    bits: int = 48  # of a lane
-    radius: int = 3  # of a lane
-    distance: int = 33  # of a fingerprint; links differ in so many bits at most
+    shingle: int = 0  # words of a table lane's features; 0: distinct words
+    lanes: int = 6  # of tables
+    bits: int = 56  # of a table lane
+    radius: int = 3  # of a table lane
+    check_shingle: int = 5
+    check_lanes: int = 6  # of 64 bits; 0: the table lanes are checked
+    distance: int = 72  # links differ in so many checked bits at most
     most: int = 4096  # nodes of a bucket
 
 
@@ -88,17 +95,29 @@ def _majority(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)
 
 
-def fingerprint(text: str | None, s: Settings) -> list[int]:
-    """Lanes as unsigned numbers. Lane ``k`` hashes with seed ``42 + k``."""
-    found = shingles_of(text, s.shingle)
+def _lanes(found: list[bytes], lanes: int) -> np.ndarray:
+    """The first lane takes the hash itself, each other one a mix of it."""
     if not found:
-        return [0] * s.lanes
+        return np.zeros(lanes, np.uint64)
     digest = xxhash.xxh64_intdigest
-    hashes = np.empty((len(found), s.lanes), np.uint64)
-    for k in range(s.lanes):
-        hashes[:, k] = [digest(x, 42 + k) for x in found]
+    first = np.array([digest(x, 42) for x in found], np.uint64)
+    hashes = np.empty((len(found), lanes), np.uint64)
+    hashes[:, 0] = first
+    for k in range(1, lanes):
+        mixed = first + np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        hashes[:, k] = mixed ^ (mixed >> np.uint64(31))
+    return _majority(hashes)
+
+
+def fingerprint(text: str | None, s: Settings) -> list[int]:
+    """Lanes as unsigned numbers: those of the tables, then those of the check."""
     keep = np.uint64((1 << s.bits) - 1)
-    return [int(x & keep) for x in _majority(hashes)]
+    lanes = (_lanes(shingles_of(text, s.shingle), s.lanes) & keep).tolist()
+    if s.check_lanes:
+        lanes += _lanes(shingles_of(text, s.check_shingle), s.check_lanes).tolist()
+    return lanes
 
 
 def fingerprints(
@@ -172,7 +191,9 @@ def _compared(rows: DataFrame, s: Settings) -> DataFrame:
             part = (
                 batch.column("bucket").to_numpy(),
                 batch.column("node").to_numpy(),
-                batch.column("lanes").flatten().to_numpy().view(np.uint64).reshape(-1, s.lanes),
+                batch.column("lanes").flatten().to_numpy().view(np.uint64).reshape(
+                    batch.num_rows, -1
+                )[:, s.lanes if s.check_lanes else 0 :],
             )
             if rest is not None:
                 part = tuple(np.concatenate(x) for x in zip(rest, part, strict=True))
@@ -188,7 +209,7 @@ def _compared(rows: DataFrame, s: Settings) -> DataFrame:
 
 
 def _deal(nodes: DataFrame, s: Settings) -> DataFrame:
-    """``nodes`` once for each mask of each lane: ``bucket, node, lanes, lane, mask``."""
+    """``nodes`` once for each mask of each table lane: ``bucket, node, lane, mask``."""
     lanes = range(s.lanes)
     tables = [(lane, mask) for lane in lanes for mask in masks(list(range(s.bits)), s.radius)]
     keys = F.array(
@@ -201,9 +222,9 @@ def _deal(nodes: DataFrame, s: Settings) -> DataFrame:
             for lane, mask in tables
         )
     )
-    rows = nodes.select("node", "lanes", F.explode(keys).alias("k"))
+    rows = nodes.select("node", F.explode(keys).alias("k"))
     return rows.select(
-        F.xxhash64("k.lane", "k.mask", "k.key").alias("bucket"), "node", "lanes", "k.lane", "k.mask"
+        F.xxhash64("k.lane", "k.mask", "k.key").alias("bucket"), "node", "k.lane", "k.mask"
     )
 
 
@@ -230,9 +251,7 @@ def _deal_anew(rows: DataFrame, s: Settings) -> DataFrame:
         rows.select("node", "lanes", "lane", "mask"), run, "node bigint, lanes array<bigint>, lane int, mask bigint"
     )
     key = F.get("lanes", F.col("lane")).bitwiseAND(F.col("mask"))
-    return dealt.select(
-        F.xxhash64("lane", "mask", key).alias("bucket"), "node", "lanes", "lane", "mask"
-    )
+    return dealt.select(F.xxhash64("lane", "mask", key).alias("bucket"), "node", "lane", "mask")
 
 
 def _blocks(rows: DataFrame, s: Settings) -> DataFrame:
@@ -250,20 +269,27 @@ def _blocks(rows: DataFrame, s: Settings) -> DataFrame:
     )
 
 
+def _met(rows: DataFrame) -> DataFrame:
+    """Rows of buckets with company, with their ``count``; one shuffle serves both sides."""
+    dealt = rows.repartition("bucket")
+    sizes = dealt.groupBy("bucket").count().filter("count > 1")
+    return checkpointed(dealt.join(sizes, "bucket"))
+
+
 def links(nodes: DataFrame, s: Settings) -> DataFrame:
     """Edges ``a, b`` between ``nodes (node, lanes)``; all that are linked are connected."""
     found, rows = [], _deal(nodes, s)
     for _ in range(3):
-        sizes = checkpointed(rows.select("bucket").groupBy("bucket").count().filter("count > 1"))
-        met = rows.join(sizes, "bucket")
-        found.append(_compared(met.filter(F.col("count") <= s.most), s))
-        over = sizes.filter(F.col("count") > s.most)
+        met = _met(rows)
+        few = met.filter(F.col("count") <= s.most).select("bucket", "node")
+        found.append(_compared(few.join(nodes, "node"), s))
+        over = met.filter(F.col("count") > s.most)
         if over.isEmpty():
             break
-        over_full = rows.join(over, "bucket")
-        rows = _deal_anew(over_full, s)
+        over = over.join(nodes, "node")
+        rows = _deal_anew(over, s)
     else:
-        found.append(_compared(_blocks(over_full, s), s))
+        found.append(_compared(_blocks(over, s), s))
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)
@@ -279,10 +305,11 @@ def near_duplicates(
     """``doc_id, lanes, component_id`` for each document; the component is its least id."""
     s = s or Settings()
     prints = checkpointed(fingerprints(docs, s, id_col, text_col))
-    node = F.get("lanes", F.lit(0)) if s.lanes == 1 else F.xxhash64("lanes")
+    one = s.lanes == 1 and not s.check_lanes
+    node = F.get("lanes", F.lit(0)) if one else F.xxhash64("lanes")
     nodes = prints.groupBy("lanes").agg(F.min("doc_id").alias("least")).withColumn("node", node)
     nodes = checkpointed(nodes)
-    joined = components(links(nodes, s))
+    joined = components(links(nodes.select("node", "lanes"), s))
     linked = nodes.join(joined, "node").select("lanes", "component", "least")
     least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
     linked = linked.join(least, "component").select("lanes", "component_id")
@@ -301,12 +328,10 @@ def deduplicate(
     dropped = groups.filter(
         F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
-    dropped = dropped.select(F.struct(F.col("doc_id").alias("id")).alias("_id")).distinct()
-    rows = docs.withColumn("_id", F.struct(F.col(id_col).alias("id")))
-    return rows.join(dropped, "_id", "left_anti").drop("_id")
+    return without_ids(docs, dropped.select("doc_id"), id_col)
 
 
-OP6 = Settings(shingle=3, lanes=1, bits=64, radius=3, distance=3, most=16384)
+OP6 = Settings(shingle=3, lanes=1, bits=64, radius=3, check_lanes=0, distance=3, most=16384)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
