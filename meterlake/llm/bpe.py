@@ -5,13 +5,14 @@ token. It starts as one state with a loop for each base symbol. Each merge ``(u,
 one gadget: every path ``p -u-> q -v-> r`` is closed by leading the ``u`` arcs to a copy
 of ``q`` without the ``v`` arc, and replaced by an arc ``p -uv-> r``. After all merges the
 automaton accepts one token sequence for each word, which is that of the merges. All arcs
-of one label lead to one state, so a state is kept as its origin, the arc that its gadget
-removed and the time of the gadget: compiling is linear in the merges, and a row of the
-transition table is filled in when a word first needs it.
+of one label lead to one state, so a state goes by the label of its arcs and is kept as
+the gadgets that removed arcs from it, with their times: compiling is linear in the
+merges, and a cell of the transition table is filled in when a word first needs it.
 
-**Encoding.** Every prefix of a word has one path. A word is read from left to right; the
-table says which tokens may leave a prefix's state. Pieces between white space repeat, so
-each worker keeps a bounded table of those it has encoded; longer ones are not kept.
+**Encoding.** A word is read along the arcs, the longest token first; every prefix of a
+word has one path, so a place that does not lead to the end is never tried again. Pieces
+between white space repeat, so each worker keeps a bounded table of those it has encoded;
+longer ones are not kept.
 
 Tokenizer files are JSON as the ``tokenizers`` library writes it, with words closed by a
 suffix: normalization to NFC, white space to one space and lower case; a pattern that
@@ -28,8 +29,8 @@ from __future__ import annotations
 
 import functools
 import json
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +43,11 @@ from tokenizers import Tokenizer as Library
 from meterlake.llm.common import arrow_map, slices, with_column
 
 # Pieces a worker remembers, and their longest length.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 REMEMBERED_CHARS = 48
 # Cells of the transition table a worker keeps.
-TABLE_CELLS = 2_000_000
+TABLE_CELLS = 300_000
+_NEVER = 1 << 60
 
 
 def byte_alphabet() -> list[str]:
@@ -55,76 +57,68 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
 
 
-@dataclass
 class Automaton:
-    """States by number; state 0 has every arc. Tokens are ids of the vocabulary."""
-
-    left: list[int]  # of each token: the first token of its merge, or -1
-    born: list[int]  # of each token: the time of its merge, 0 for base symbols
-    state_after: list[int]  # of each token: the state its arcs lead to; -1 if no arc has it
-    origin: list[int] = field(default_factory=lambda: [-1])  # of each state
-    removed: list[int] = field(default_factory=lambda: [-1])  # of each state
-    made: list[int] = field(default_factory=lambda: [0])  # of each state: time
-    table: dict[int, bool] = field(default_factory=dict)
-
-    @classmethod
-    def compile(cls, base: list[int], merges: list[tuple[int, int, int]], tokens: int) -> Automaton:
-        auto = cls([-1] * tokens, [0] * tokens, [-1] * tokens)
+    """States by the label of the arcs that lead to them, -1 for the first; tokens are ids."""
+
+    def __init__(self, base: list[int], merges: list[tuple[int, int, int]], tokens: int):
+        self.left, self.right = [-1] * tokens, [-1] * tokens  # the parts of a merged token
+        self.born = [0] * tokens  # the time of its gadget
+        self.live = [False] * tokens  # some arc has it
+        self.removed: dict[int, int] = {}  # (state, token) to the time of the gadget
+        self.table: dict[int, bool] = {}
         for token in base:
-            auto.state_after[token] = 0
+            self.live[token] = True
         for time, (u, v, joined) in enumerate(merges, 1):
-            if auto.born[joined] or joined in (u, v):
+            if self.live[joined]:
                 raise ValueError("two merges give one token")
-            q, r = auto.state_after[u], auto.state_after[v]
-            if q < 0 or r < 0 or not auto.has_arc(q, v):
-                continue
-            auto.origin.append(q)
-            auto.removed.append(v)
-            auto.made.append(time)
-            auto.left[joined], auto.born[joined] = u, time
-            auto.state_after[joined] = r
-            auto.state_after[u] = len(auto.origin) - 1
-        return auto
+            if self.live[u] and self.live[v] and self.has_arc(u, v):
+                self.removed[u << 20 | v] = time
+                self.left[joined], self.right[joined] = u, v
+                self.born[joined], self.live[joined] = time, True
 
     def has_arc(self, state: int, token: int) -> bool:
-        """Arcs of later tokens follow the arc of their first part; earlier ones are
-        those of the state's origin but for the removed one."""
-        while True:
-            born = self.born[token]
-            while self.made[state] > born:
-                if self.removed[state] == token:
+        """Whether the state after ``state`` has an arc ``token``. Where the gadget of a token
+        ``uv`` leads is the state after ``v`` as it then was, so removals from that state
+        count if they came before. A state got the arc ``uv`` if it then had the arc ``u``,
+        so removals of ``u`` count up to then."""
+        removed, born, left, right = self.removed, self.born, self.left, self.right
+        until = _NEVER
+        while state >= 0:
+            part, upto = token, _NEVER
+            while part >= 0:
+                time = removed.get(state << 20 | part)
+                if time is not None and time < until and time <= upto:
                     return False
-                state = self.origin[state]
-            if born == 0:
-                return True
-            token = self.left[token]
-
-    def follows(self, last: int, token: int) -> bool:
-        """The cell of the transition table for the state after ``last``."""
-        state = 0 if last < 0 else self.state_after[last]
-        key = state << 32 | token
-        cell = self.table.get(key)
-        if cell is None:
-            if len(self.table) >= TABLE_CELLS:
-                self.table.clear()
-            cell = self.table[key] = self.has_arc(state, token)
-        return cell
-
-
-class Pieces(dict):
-    """Ids of a piece of text between white space, as bytes of 32-bit numbers."""
-
-    def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
+                upto, part = born[part], left[part]
+            until, state = born[state], right[state]
+        return True
+
+    def fill(self, cell: int) -> bool:
+        """The cell ``state << 20 | token`` of the transition table."""
+        if len(self.table) >= TABLE_CELLS:
+            self.table.clear()
+        found = self.table[cell] = self.has_arc(cell >> 20, cell & 0xFFFFF)
+        return found
+
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.tokenizer.encode_piece(piece)
-        if len(piece) <= REMEMBERED_CHARS:
-            if len(self) >= REMEMBERED:
+class Remembered(dict):
+    """Results by key, of the latest keys: when full it becomes the older half, from which
+    keys that are asked for again come back."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(key) <= REMEMBERED_CHARS:
+            if len(self) >= REMEMBERED // 2:
+                self.older = dict(self)
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[key] = found
+        return found
 
 
 class Tokenizer:
@@ -157,13 +151,13 @@ class Tokenizer:
         self.labels = {i: t for t, i in (vocab | self.special).items()}
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         joined = {u + v for u, v in pairs}
-        self.auto = Automaton.compile(
+        self.auto = Automaton(
             [i for t, i in vocab.items() if t not in joined],
             [(vocab[u], vocab[v], vocab[u + v]) for u, v in pairs],
             max(self.labels) + 1,
         )
         # Tokens that no arc has are never emitted.
-        live = {t: i for t, i in vocab.items() if self.auto.state_after[i] >= 0}
+        live = {t: i for t, i in vocab.items() if self.auto.live[i]}
         self.closing = {t[: -len(end)]: i for t, i in live.items() if t.endswith(end)}
         self.inner = {t: i for t, i in live.items() if not t.endswith(end)}
         self.longest = max(map(len, live))
@@ -177,7 +171,7 @@ class Tokenizer:
         library = Library.from_str(self.rest)
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
         self.symbols = "".join(byte_alphabet()[:128])
-        self.pieces, self.known = Pieces(self), {}
+        self.pieces, self.known = Remembered(self.encode_piece), Remembered(self.encode_word)
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in vars(self).items() if k in self.KEPT}
@@ -186,45 +180,53 @@ class Tokenizer:
         vars(self).update(state)
         self._prepare()
 
-    def encode_word(self, symbols: str) -> list[int]:
+    def encode_word(self, symbols: str) -> bytes:
         """``symbols`` are the bytes of a word, at least one, as characters."""
-        ids = self.known.get(symbols)
-        if ids is not None:
-            return ids
-        n = len(symbols)
-        last, start = [-1] * (n + 1), [-1] * (n + 1)
-        inner, follows, longest = self.inner, self.auto.follows, self.longest
-        for i in range(n):
-            before = last[i]
-            for j in range(i + 1, min(n - 1, i + longest) + 1):
-                token = inner.get(symbols[i:j])
-                if token is not None and follows(before, token):
-                    last[j], start[j] = token, i
-            if n - i <= longest:
-                token = self.closing.get(symbols[i:])
-                if token is not None and follows(before, token):
-                    last[n], start[n] = token, i
-        ids, at = [], n
-        while at:
-            ids.append(last[at])
-            at = start[at]
-        ids.reverse()
-        if n <= REMEMBERED_CHARS:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[symbols] = ids
+        whole = self.closing.get(symbols)
+        return array("i", [whole] if whole is not None else self._path(symbols, len(symbols))).tobytes()
+
+    def _path(self, symbols: str, n: int) -> list[int]:
+        inner, closing, longest = self.inner, self.closing, self.longest
+        table, fill = self.auto.table, self.auto.fill
+        ids: list[int] = []
+        steps: list[tuple[int, int]] = []
+        dead: set[int] = set()
+        i, j, last = 0, min(n, longest), -1
+        while i < n:
+            while j > i:
+                token = inner.get(symbols[i:j]) if j < n else closing.get(symbols[i:])
+                if token is not None and j not in dead:
+                    if last < 0:
+                        break
+                    cell = last << 20 | token
+                    arc = table.get(cell)
+                    if arc if arc is not None else fill(cell):
+                        break
+                j -= 1
+            if j > i:
+                steps.append((i, j))
+                ids.append(token)
+                i, j, last = j, min(n, j + longest), token
+            else:
+                dead.add(i)
+                i, j = steps.pop()
+                ids.pop()
+                j -= 1
+                last = ids[-1] if ids else -1
         return ids
 
     def words_of(self, text: str) -> list[str]:
         if text.isascii():
+            text = text.lower()
+            if text.isalpha():
+                return [text]
             # Printable bytes stand for themselves; the others are controls.
-            words = self.words.findall(text.lower())
+            words = self.words.findall(text)
             return words if text.isprintable() else [w.translate(self.symbols) for w in words]
         return [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))]
 
     def encode_piece(self, piece: str) -> bytes:
-        ids = [i for word in self.words_of(piece) for i in self.encode_word(word)]
-        return np.array(ids, np.int32).tobytes()
+        return b"".join([self.known[word] for word in self.words_of(piece)])
 
     def _plain(self, text: str) -> list[bytes]:
         # Python's split also breaks at these four, which are no white space here.
@@ -240,12 +242,13 @@ class Tokenizer:
             return b"".join(self._plain(text))
         out = []
         for part in self.specials.split(text):
-            out += [np.int32(self.special[part]).tobytes()] if part in self.special else self._plain(part)
+            out += [array("i", [self.special[part]]).tobytes()] if part in self.special else self._plain(part)
         return b"".join(out)
 
-    def decode(self, ids: list[int]) -> str:
-        """Labels of the arcs, joined by a space."""
-        return " ".join([self.labels[i] for i in ids if i in self.labels])
+
+def text_of(ids: list[int], labels: dict[int, str]) -> str:
+    """Labels of the arcs, joined by a space."""
+    return " ".join([labels[i] for i in ids if i in labels])
 
 
 @functools.lru_cache(2)
@@ -260,35 +263,52 @@ def _with(docs: DataFrame, column: str, kind: T.DataType) -> tuple[DataFrame, T.
     return docs, T.StructType([*docs.schema.fields, T.StructField(column, kind)])
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the column ``out``: an array of token ids."""
+# Bytes of text that a worker turns into one batch.
+_BATCH = 4 << 20
+
+
+def encode(
+    docs: DataFrame, path: str, text_col: str = "text", out: str = "ids", decoded: str | None = None
+) -> DataFrame:
+    """``docs`` with the column ``out``: an array of token ids; and where it is named, with
+    the column ``decoded``: the text of these ids."""
     shared = docs.sparkSession.sparkContext.broadcast(load(path))
     source = docs.withColumn(text_col, F.col(text_col).cast("string"))
     source, schema = _with(source, out, T.ArrayType(T.IntegerType(), False))
+    if decoded:
+        source, _ = _with(source, decoded, T.StringType())
+        schema = T.StructType(
+            [f for f in schema.fields if f.name != decoded] + [T.StructField(decoded, T.StringType())]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = shared.value
         for whole in batches:
-            for batch in slices(whole, text_col):
-                parts = [tokenizer.encode(t) for t in batch.column(text_col).to_pylist()]
+            for batch in slices(whole, text_col, _BATCH):
+                parts = [tokenizer.encode(t.as_py()) for t in batch.column(text_col)]
                 ends = np.cumsum([0] + [len(p) // 4 for p in parts])
                 ids = np.frombuffer(b"".join(parts), np.int32)
-                yield with_column(batch, out, pa.ListArray.from_arrays(ends.astype(np.int32), ids))
+                batch = with_column(batch, out, pa.ListArray.from_arrays(ends.astype(np.int32), ids))
+                if decoded:
+                    labels = tokenizer.labels
+                    texts = [text_of(np.frombuffer(p, np.int32).tolist(), labels) for p in parts]
+                    batch = with_column(batch, decoded, pa.array(texts, pa.string()))
+                yield batch
 
     return arrow_map(source, run, schema)
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the column ``out``: the text of the token ids."""
-    shared = docs.sparkSession.sparkContext.broadcast(load(path))
+    shared = docs.sparkSession.sparkContext.broadcast(load(path).labels)
     source, schema = _with(docs, out, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = shared.value
+        labels = shared.value
         for whole in batches:
-            for batch in slices(whole, ids_col):
-                ids = batch.column(ids_col).to_pylist()
-                yield with_column(batch, out, pa.array([tokenizer.decode(x or []) for x in ids], pa.string()))
+            for batch in slices(whole, ids_col, _BATCH):
+                texts = [text_of(x.as_py() or [], labels) for x in batch.column(ids_col)]
+                yield with_column(batch, out, pa.array(texts, pa.string()))
 
     return arrow_map(source, run, schema)
 
@@ -298,8 +318,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
 
     path = path or public_tokenizers.path("word_bpe_49k.json")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    encoded = encode(docs, path).drop("text")
-    return decode(encoded, path).select(
+    return encode(docs, path, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias(
