@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -68,13 +68,34 @@ def arrow_map(
     return df.mapInArrow(run, schema)
 
 
-def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """``docs`` but the rows whose id, null or not, is in the one column of ``ids``. While
-    these are few they are broadcast, and no text moves."""
-    gone = ids.select(F.struct(F.col(ids.columns[0]).alias("id")).alias("_id")).distinct()
-    gone = small_enough(checkpointed(gone), 1_000_000)
-    rows = docs.withColumn("_id", F.struct(F.col(id_col).alias("id")))
-    return rows.join(gone, "_id", "left_anti").drop("_id")
+def fresh(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    name, n = stem, 0
+    while name in taken:
+        n += 1
+        name = f"{stem}{n}"
+    return name
+
+
+def row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """A key of a row: its id, null last, and its text; rows that share both are one."""
+    ident, text = F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return F.struct(
+        ident.isNull().alias("no_id"),
+        ident.alias("id"),
+        F.unhex(F.md5(text.cast("binary"))).alias("text"),
+    )
+
+
+def without_rows(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` but the rows whose ``row_key`` is in the one column of ``keys``. While these
+    are few they are broadcast, and no text moves."""
+    name = fresh(docs, "row_key")
+    gone = keys.select(F.col(keys.columns[0]).alias(name)).distinct()
+    gone = small_enough(checkpointed(gone), 500_000)
+    rows = docs.withColumn(name, row_key(docs, id_col, text_col))
+    return rows.join(gone, name, "left_anti").drop(name)
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import arrow_map, shared_dir, ship, without_ids
+from meterlake.llm.common import arrow_map, row_key, shared_dir, ship, without_rows
 
 # Words of a segment, but for a document that alone has more.
 SEGMENT_WORDS = 400_000
@@ -378,9 +378,10 @@ def _per_document(index: Index, hits: DataFrame) -> DataFrame:
 def decontaminate(
     docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` without any window of ``items``. Rows that share an id go together."""
-    bad = contamination(docs, items, window, id_col, text_col).filter("contaminated")
-    return without_ids(docs, bad.select("doc_id"), id_col)
+    """The rows of ``docs`` without any window of ``items``."""
+    keyed = docs.select(row_key(docs, id_col, text_col).alias("doc_id"), F.col(text_col).alias("text"))
+    bad = contamination(keyed, items, window).filter("contaminated")
+    return without_rows(docs, bad.select("doc_id"), id_col, text_col)
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from meterlake.llm.common import checkpointed, small_enough
+from meterlake.llm.common import checkpointed, fresh, small_enough
 
 # Repeated hashes that are broadcast, some 40 bytes each; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -90,24 +90,25 @@ def deduplicate(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest"
 ) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    row = fresh(docs, "row_key")
     key = F.struct(
         F.col(id_col).alias("id"),
         F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256).alias("sha"),
     )
     seen = classify(docs, id_col, text_col, keep)
     seen = seen.select(
-        F.struct(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")).alias("_row"),
+        F.struct(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")).alias(row),
         "kept",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("first"),
     )
     seen = checkpointed(seen.filter("not kept"))
-    dropped = small_enough(seen.filter("not first").select("_row"), BROADCAST_ROWS // 4)
-    repeated = seen.filter("first").select("_row").distinct()
+    dropped = small_enough(seen.filter("not first").select(row), BROADCAST_ROWS // 4)
+    repeated = seen.filter("first").select(row).distinct()
     repeated = small_enough(repeated, BROADCAST_ROWS // 4)
-    rows = docs.withColumn("_row", key).join(dropped, "_row", "left_anti")
-    once = rows.join(repeated, "_row", "left_anti")
-    again = rows.join(repeated, "_row", "left_semi").dropDuplicates(["_row"])
-    return once.unionByName(again).drop("_row")
+    rows = docs.withColumn(row, key).join(dropped, row, "left_anti")
+    once = rows.join(repeated, row, "left_anti")
+    again = rows.join(repeated, row, "left_semi").dropDuplicates([row])
+    return once.unionByName(again).drop(row)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,6 +40,7 @@ TRAIN_DOCS = 3_000
 BELIEF = 0.9
 ROUNDS, DAMPING = 12, 0.5
 WIDTH = 1 << 14  # rows of feature weights
+FEATURES = 9  # of a token
 STEPS, RATE, DECAY = 150, 0.5, 1e-4
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -215,7 +216,7 @@ def graph(texts: list[str | None]) -> Graph:
     return Graph(
         owner,
         spans,
-        np.array(features, np.int64).reshape(len(spans), -1),
+        np.array(features, np.int64).reshape(len(spans), FEATURES),
         np.array(edges, np.int64).reshape(-1, 2),
         np.array(kinds, np.int64),
     )
@@ -378,8 +379,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
-        for k in KINDS
+        F.expr(f"cast(size(filter(base, s -> s.kind = '{kind}')) as bigint)").alias(f"n_{kind}")
+        for kind in KINDS
     ]
     return found.select(
         "doc_id",

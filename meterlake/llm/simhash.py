@@ -13,7 +13,8 @@ all vectors alike often. Mask ``v`` (``1 .. 2^(r+1) - 1``) has the bits for whic
 ``m(i) . v`` is odd. If two lanes differ in at most ``r`` bits, the conditions
 ``m(i) . v = 0`` on those bits are at most ``r`` in ``r + 1`` unknowns, so some non-zero
 mask has none of them: the two agree on that mask and meet in its table. Each mask has
-about half the bits.
+about half the bits. Documents that meet in any table are compared, also if they differ in
+more bits than the radius.
 
 **Buckets.** Equal fingerprints are one node. Nodes that meet in a bucket are compared in
 it, and the bucket gives the edges of a spanning forest of its links, fewer than its
@@ -43,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import arrow_map, checkpointed, slices, without_ids
+from meterlake.llm.common import arrow_map, checkpointed, row_key, slices, without_rows
 from meterlake.llm.components import components
 
 
@@ -322,13 +323,12 @@ def near_duplicates(
 def deduplicate(
     docs: DataFrame, s: Settings | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group that with the least id, and all rows
-    of a group that has no id. Rows that repeat that id stay as they are."""
-    groups = near_duplicates(docs, s, id_col, text_col)
-    dropped = groups.filter(
-        F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
-    return without_ids(docs, dropped.select("doc_id"), id_col)
+    """The rows of ``docs`` that stay: of each group that with the least id, null ids last;
+    rows that repeat its id and text stay with it."""
+    keyed = docs.select(row_key(docs, id_col, text_col).alias("doc_id"), F.col(text_col).alias("text"))
+    groups = near_duplicates(keyed, s)
+    dropped = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
+    return without_rows(docs, dropped, id_col, text_col)
 
 
 OP6 = Settings(shingle=3, lanes=1, bits=64, radius=3, check_lanes=0, distance=3, most=16384)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.llm.common import arrow_map, checkpointed, slices, small_enough, with_column
+from meterlake.llm.common import arrow_map, checkpointed, fresh, slices, small_enough, with_column
 
 RUN = 2
 MIN_WORDS = 8
@@ -109,10 +109,11 @@ def remove_repeats(
     ``start:end`` of the old text (code points, end exclusive), comma-joined."""
     starts = checkpointed(repeated_runs(docs, run, min_words, id_col, text_col))
     starts = small_enough(starts, BROADCAST_ROWS)
-    starts = starts.select(F.col("doc_id").alias("_id"), F.col("starts").alias("_starts"))
     results = ["n_sentences", "n_removed", "removed"]
     docs = docs.drop(*results).withColumn(text_col, F.col(text_col).cast("string"))
-    source = docs.join(starts, docs[id_col].eqNullSafe(starts["_id"]), "left").drop("_id")
+    key, where = fresh(docs, "span_id"), fresh(docs, "span_starts")
+    starts = starts.select(F.col("doc_id").alias(key), F.col("starts").alias(where))
+    source = docs.join(starts, docs[id_col].eqNullSafe(starts[key]), "left").drop(key)
     schema = T.StructType(
         [
             *docs.schema.fields,
@@ -141,11 +142,11 @@ def remove_repeats(
                 done = [
                     cut(t, s)
                     for t, s in zip(
-                        batch.column(text_col).to_pylist(), batch.column("_starts").to_pylist(), strict=True
+                        batch.column(text_col).to_pylist(), batch.column(where).to_pylist(), strict=True
                     )
                 ]
                 columns = list(zip(*done, strict=True)) or [[], [], [], []]
-                batch = batch.drop_columns(["_starts"])
+                batch = batch.drop_columns([where])
                 batch = batch.set_column(
                     batch.schema.get_field_index(text_col), text_col, pa.array(columns[0], pa.string())
                 )
