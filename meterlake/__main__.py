@@ -5,9 +5,9 @@ from __future__ import annotations
 import argparse
 import json
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime, timezone
 
-from meterlake.functions.calendar import resolve_months
+from meterlake.functions.calendar import month_before, resolve_months
 from meterlake.plans import jobs
 from meterlake.schema import TAXI_TYPES
 from meterlake.session import lake_session
@@ -40,6 +40,11 @@ def parser() -> argparse.ArgumentParser:
     everything = loading("run-all", "Load, build, check, and fail on error alerts")
     for option in ("--year-month", "--start-month", "--end-month"):
         everything.add_argument(option)
+    everything.add_argument(
+        "--run-date",
+        type=date.fromisoformat,
+        help="Day of the run; the month before it is loaded by default (today in UTC)",
+    )
     return root
 
 
@@ -76,7 +81,7 @@ def main(arguments: Sequence[str] | None = None) -> dict:
             )
         case _:
             months = resolve_months(
-                date.today().strftime("%Y-%m"),
+                month_before(args.run_date or datetime.now(timezone.utc).date()),
                 args.year_month,
                 args.start_month,
                 args.end_month,

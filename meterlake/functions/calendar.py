@@ -14,15 +14,21 @@ _YEAR_MONTH = re.compile(r"(\d{4})-(0?[1-9]|1[0-2])")
 def parse_month(text: str) -> date:
     match = _YEAR_MONTH.fullmatch(text or "")
     if match is None or int(match[1]) == 0:
-        raise ValueError(f"invalid year_month '{text}', expected YYYY-MM")
+        raise ValueError(f"'{text}' is no month of the form YYYY-MM")
     return date(int(match[1]), int(match[2]), 1)
 
 
+def month_before(day: date) -> str:
+    """The month before that of ``day``: the latest whose file can be complete."""
+    month = day.year * 12 + day.month - 2
+    return f"{month // 12:04d}-{month % 12 + 1:02d}"
+
+
 def month_range(start_month: str, end_month: str) -> list[str]:
     """All months from start to end, both included."""
     start, end = parse_month(start_month), parse_month(end_month)
     if start > end:
-        raise ValueError("start_month must be less than or equal to end_month")
+        raise ValueError("the range ends before it starts")
     first, last = start.year * 12 + start.month - 1, end.year * 12 + end.month - 1
     return [f"{month // 12:04d}-{month % 12 + 1:02d}" for month in range(first, last + 1)]
 
@@ -41,11 +47,11 @@ def resolve_months(
     start_month: str | None = None,
     end_month: str | None = None,
 ) -> list[str]:
-    """The months of a run: one month or a range, never both; the run's own month by default."""
+    """The months of a run: one month or a range, never both; ``run_month`` by default."""
     if year_month and (start_month or end_month):
-        raise ValueError("Provide either year_month or a start_month/end_month range, not both")
+        raise ValueError("give one month or a range of months, not both")
     if bool(start_month) != bool(end_month):
-        raise ValueError("Both start_month and end_month are required for backfills")
+        raise ValueError("a range needs its first and its last month")
     if start_month and end_month:
         return month_range(start_month, end_month)
     return [year_month or run_month]

@@ -1,7 +1,9 @@
 """The batch ledger.
 
 Each state change appends one event that carries the whole ledger row. The current row
-of a batch is its latest event, which looks the same as updating rows in place.
+of a batch is its latest event, which looks the same as updating rows in place. Events of
+a batch are numbered through; a batch that is started again after it failed (a stream
+that replays a micro-batch) goes on with the next number.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ def start_events(batches: DataFrame, started_at: Column) -> DataFrame:
         "started_at": started_at,
         "finished_at": F.lit(None),
         "runtime_seconds": F.lit(None),
-        "event_seq": F.lit(0),
+        "event_seq": F.col("event_seq") if "event_seq" in batches.columns else F.lit(0),
     }
     return batches.select(
         *[
@@ -55,7 +57,7 @@ def _closed(running: DataFrame, finished_at: Column, changes: dict[str, Column])
         **changes,
         "finished_at": finished_at,
         "runtime_seconds": seconds,
-        "event_seq": F.lit(1),
+        "event_seq": F.col("event_seq") + 1 if "event_seq" in running.columns else F.lit(1),
     }
     return running.select(
         *[
@@ -105,27 +107,33 @@ def pending_batches(candidates: DataFrame, batches: DataFrame) -> DataFrame:
     return already_succeeded(candidates, batches, "left_anti")
 
 
-def running_batches(spark: SparkSession, table: LakeTable, batch_ids: list[str]) -> DataFrame:
-    return current_batches(table.read(spark)).where(
-        F.col("batch_id").isin(batch_ids) & (F.col("status") == "running")
-    )
+def running_batches(spark: SparkSession, table: LakeTable, batches: DataFrame) -> DataFrame:
+    """Ledger rows, with the number of their latest event, of those of ``batches
+    (batch_id)`` that run."""
+    events = table.read(spark).join(batches.select("batch_id"), "batch_id", "left_semi")
+    last = events.groupBy("batch_id").agg(F.max("event_seq").alias("event_seq"))
+    return current_batches(events).where("status = 'running'").join(last, "batch_id")
 
 
 def start_batches(
     spark: SparkSession, table: LakeTable, batches: DataFrame, now: datetime
 ) -> None:
-    table.append(start_events(batches, F.lit(now)))
+    """Mark ``batches`` as running, each after its earlier events if it has any."""
+    before = table.read(spark).join(batches.select("batch_id"), "batch_id", "left_semi")
+    before = before.groupBy("batch_id").agg((F.max("event_seq") + 1).alias("event_seq"))
+    numbered = batches.join(before, "batch_id", "left").fillna(0, ["event_seq"])
+    table.append(start_events(numbered, F.lit(now)))
 
 
 def finish_batches(
-    spark: SparkSession, table: LakeTable, batch_ids: list[str], metrics: DataFrame, now: datetime
+    spark: SparkSession, table: LakeTable, batches: DataFrame, metrics: DataFrame, now: datetime
 ) -> None:
-    running = running_batches(spark, table, batch_ids)
+    running = running_batches(spark, table, batches)
     table.append(finish_events(running, metrics, F.lit(now)))
 
 
 def fail_batches(
-    spark: SparkSession, table: LakeTable, batch_ids: list[str], message: str, now: datetime
+    spark: SparkSession, table: LakeTable, batches: DataFrame, message: str, now: datetime
 ) -> None:
-    running = running_batches(spark, table, batch_ids)
+    running = running_batches(spark, table, batches)
     table.append(fail_events(running, message, F.lit(now)))

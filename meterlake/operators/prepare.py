@@ -59,9 +59,9 @@ def to_silver(prepared: DataFrame, loaded_at: datetime | Column) -> DataFrame:
 def loaded_metrics(prepared: DataFrame, by: Sequence[str] = ("batch_id",)) -> DataFrame:
     """Loaded, invalid and null-key rows per batch."""
     return prepared.groupBy(*by).agg(
-        F.count("*").cast("int").alias("loaded_rows"),
-        F.count_if(F.col("quality_status") == "flagged").cast("int").alias("invalid_rows"),
-        F.count_if("has_null_key").cast("int").alias("null_key_rows"),
+        F.count("*").alias("loaded_rows"),
+        F.count_if(F.col("quality_status") == "flagged").alias("invalid_rows"),
+        F.count_if("has_null_key").alias("null_key_rows"),
     )
 
 
@@ -73,7 +73,7 @@ def batch_metrics(
     Counted from the data rather than from accumulators, which count a task again when
     its executor is lost.
     """
-    counts = source.groupBy(*by).agg(F.count("*").cast("int").alias("source_rows"))
+    counts = source.groupBy(*by).agg(F.count("*").alias("source_rows"))
     metrics = counts.join(loaded_metrics(prepared, by), list(by), "left").fillna(
         0, ["loaded_rows", "invalid_rows", "null_key_rows"]
     )

@@ -1,6 +1,13 @@
 """Upserts on plain parquet (I1, I3) and column sync.
 
 A table format with MERGE INTO can replace ``upsert_table`` behind the same signature.
+
+**Steps of an upsert.** The new content of all touched partitions is written to the
+table's staging folder; a marker is put beside it; the staged folders are moved over the
+table's; the marker is removed. A job that dies before the marker leaves the table as it
+was. One that dies after it is completed by ``recover``, with which every later writer of
+the table begins, so a partition that is being replaced is never taken for an empty one.
+A table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -14,8 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.schema import KEY_HASH, TRIP_KEY, ZONE_COLUMNS
+from meterlake.sources import files
 from meterlake.sources.tables import LakeTable
 
+# Keys of so many incoming rows are broadcast in a merge: some 200 MB at most.
+BROADCAST_ROWS = 1_000_000
+
 
 def latest_per_key(
     rows: DataFrame, keys: Sequence[str], latest_first: Sequence[Column]
@@ -101,36 +112,73 @@ def held_partitions(
     return set(touched_partitions(rows, table))
 
 
-def _clustered(df: DataFrame, table: LakeTable, partitions: Sequence[Sequence[str]]) -> DataFrame:
+def _staging(table: LakeTable, name: str) -> LakeTable:
+    return LakeTable(f"{table.path}__staging/{name}", table.schema, table.partition_by)
+
+
+def _marker(table: LakeTable) -> str:
+    return f"{table.path}__staging/_READY"
+
+
+def materialize(
+    spark: SparkSession,
+    table: LakeTable,
+    incoming: DataFrame,
+    partitions: Sequence[Sequence[str]] | None = None,
+) -> DataFrame:
+    """``incoming`` as a table of its own, in files of the advisory size by partition."""
+    held = _staging(table, "incoming")
+    rows = incoming.select(*table.schema.names)
+    held.rewrite(rows if partitions is not None and len(partitions) < 2 else _clustered(rows, table))
+    return held.read(spark)
+
+
+def _clustered(df: DataFrame, table: LakeTable) -> DataFrame:
     """Rows of one partition together, in files of the advisory size.
 
     Rebalancing splits a partition that holds much of the data over many tasks, and
-    puts small ones in a single file. A lone partition needs none.
+    puts small ones in a single file.
     """
-    if len(partitions) < 2:
-        return df
     return df.hint("rebalance", *table.partition_by)
 
 
+def merge_narrow(
+    current: DataFrame, incoming: DataFrame, keys: Sequence[str], keep: Sequence[str], small: bool
+) -> DataFrame:
+    """``merge`` for incoming rows that are a table. When they are ``small`` their keys are
+    broadcast, and no current row is shuffled; either way the rows are the same."""
+    names = incoming.select(*keys)
+    names = F.broadcast(names) if small else names
+    stay = current.join(names, list(keys), "left_anti").select(*current.columns)
+    new = incoming
+    if keep:
+        old = current.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in keep])
+        old = old.join(names, list(keys), "left_semi")
+        new = incoming.join(old, list(keys), "left").withColumns(
+            {c: F.coalesce(f"_old_{c}", c) for c in keep}
+        )
+    return stay.unionByName(new.select(*current.columns))
+
+
 def upsert_table(
     spark: SparkSession,
     table: LakeTable,
     incoming: DataFrame,
-    staging: str,
     keys: Sequence[str] = TRIP_KEY,
     keep: Sequence[str] = ("loaded_at",),
     partitions: Sequence[Sequence[str]] | None = None,
+    materialized: bool = False,
 ) -> None:
     """Upsert ``incoming`` (unique on ``keys``) into a partitioned table.
 
-    ``partitions`` names those that ``incoming`` falls in. Without it, they are looked up,
-    for which ``incoming`` had better be a table, not a long plan.
-
-    Partitions that hold no rows yet are written directly. The others are merged into
-    ``staging`` first and published from there by dynamic partition overwrite, because
-    a plan cannot overwrite the files it reads. Every step can be run again: a job that
-    died while publishing is completed with ``publish``.
+    ``partitions`` names those that ``incoming`` falls in; without it, they are looked up.
+    ``materialized`` says that ``incoming`` is what ``materialize`` returned. Only touched
+    partitions are read and rewritten, each row is encoded once, and partitions that hold
+    no rows yet take the incoming rows as they are.
     """
+    recover(spark, table)
+    if not materialized:
+        incoming = materialize(spark, table, incoming, partitions)
     touched = partitions if partitions is not None else touched_partitions(incoming, table)
     if not touched:
         return
@@ -138,23 +186,38 @@ def upsert_table(
     held = held_partitions(spark, table, touched)
     fresh = [value for value in touched if tuple(value) not in held]
     stale = [value for value in touched if tuple(value) in held]
-    if fresh:
-        rows = incoming.drop(KEY_HASH)
-        rows = rows if not stale else rows.where(in_partitions(columns, fresh))
-        table.overwrite_partitions(_clustered(rows, table, fresh))
+    rows = incoming.where(in_partitions(columns, fresh)) if stale else incoming
     if stale:
-        rows = incoming if not fresh else incoming.where(in_partitions(columns, stale))
         current = table.read(spark).where(in_partitions(columns, stale))
-        staged = LakeTable(staging, table.schema, table.partition_by)
-        staged.rewrite(_clustered(merge(current, rows, keys, keep), table, stale))
-        publish(spark, table, staging)
-
-
-def publish(spark: SparkSession, table: LakeTable, staging: str) -> None:
-    """Copy staged partitions over the table's, then empty the staging table."""
-    staged = LakeTable(staging, table.schema, table.partition_by)
-    table.overwrite_partitions(staged.read(spark))
-    staged.rewrite(spark.createDataFrame([], table.schema))
+        corrections = incoming.where(in_partitions(columns, stale)) if fresh else incoming
+        small = corrections.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        merged = merge_narrow(current, corrections, keys, keep, small)
+        # Without a shuffle, rows come by partition as they were read.
+        merged = merged if small or len(stale) < 2 else _clustered(merged, table)
+        rows = rows.unionByName(merged) if fresh else merged
+    _staging(table, "rows").rewrite(rows)
+    files.touch(spark, _marker(table))
+    publish(spark, table)
+
+
+def publish(spark: SparkSession, table: LakeTable) -> None:
+    """Move the staged partitions over the table's; may be run again at any point."""
+    staged = _staging(table, "rows")
+    pattern = "/".join(f"{column}=*" for column in table.partition_by)
+    for folder in files.folders(spark, staged.path, pattern):
+        files.delete(spark, f"{table.path}/{folder}")
+        files.move(spark, f"{staged.path}/{folder}", f"{table.path}/{folder}")
+    files.delete(spark, _marker(table))
+    files.delete(spark, staged.path)
+    files.delete(spark, _staging(table, "incoming").path)
+
+
+def recover(spark: SparkSession, table: LakeTable) -> bool:
+    """Complete the upsert of a job that died while it published; whether there was one."""
+    if not files.exists(spark, _marker(table)):
+        return False
+    publish(spark, table)
+    return True
 
 
 def upsert_zones(current: DataFrame, incoming: DataFrame, updated_at: Column) -> DataFrame:

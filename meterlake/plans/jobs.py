@@ -37,6 +37,10 @@ _PLANNED = (
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
+# Source bytes of the months that are loaded in one plan.
+WAVE_BYTES = 1 << 40
+
+
 class CheckFailed(Exception):
     """A freshness or data check failed in a run that asked for it to stop there."""
 
@@ -122,78 +126,96 @@ def _plan(lake: Lake, taxi_type: str, year_month: str, source: Row | None = None
     }
 
 
-def _load(spark: SparkSession, lake: Lake, taxi_type: str, plans: list[dict], parts: bool) -> dict:
+def _load(
+    spark: SparkSession,
+    lake: Lake,
+    taxi_type: str,
+    plans: list[dict],
+    files: list[str],
+    parts: bool,
+) -> dict:
     """Load planned months of one type in one plan; returns metrics by batch id."""
-    ids = [plan["batch_id"] for plan in plans]
-    started = False
+    started = None
     try:
-        urls = {plan["source_url"]: plan for plan in plans}
-        groups = trips.read_schema_groups(spark, urls)
-        rows = {r["year_month"]: r["source_rows"] for r in trips.count_source_rows(groups).collect()}
-        for raw, members in groups:
-            drift = trips.schema_drift(raw.columns)
+        groups = trips.read_schema_groups(spark, files)
+        for raw, _ in groups:
             # Raises on colliding names before anything is written.
             trips.canonical_columns(raw.schema)
-            for url in members:
-                urls[url]["schema_drift_columns"] = drift
+        rows = {r["year_month"]: r["source_rows"] for r in trips.count_source_rows(groups).collect()}
+        drift = trips.drift_by_month(groups)
         for plan in plans:
+            plan["schema_drift_columns"] = drift.get(plan["year_month"], [])
             plan["source_rows"] = rows.get(plan["year_month"], 0)
-            trips.land_bronze(
-                spark, plan["source_url"], lake.root, taxi_type, plan["year_month"]
-            )
+        months = [plan["year_month"] for plan in plans]
+        trips.land_months(spark, groups, lake.root, taxi_type, months)
         planned = _planned(spark, plans)
         ledger.start_batches(spark, lake.ledger, planned, utc_now())
-        started = True
+        started = planned
 
-        only_month = plans[0]["year_month"] if len(plans) == 1 else None
+        only_month = months[0] if len(plans) == 1 else None
         normalized = trips.normalize_groups(groups, taxi_type, only_month, parts)
         order = (trips.SOURCE_PART, ROW_NUMBER) if parts else (ROW_NUMBER,)
-        partitions = [(plan["year_month"], taxi_type) for plan in plans]
-        merge_next = bool(upsert.held_partitions(spark, lake.silver, partitions))
-        drift = F.col("has_schema_drift")
-        prepared = prepare_batch(normalized, drift, order, merge_next=merge_next)
-        upsert.upsert_table(
+        prepared = prepare_batch(normalized, F.col("has_schema_drift"), order)
+        metrics = load_prepared(
             spark,
-            lake.silver,
+            lake,
             to_silver(trips.with_batches(prepared, planned), utc_now()),
-            staging_path(spark, lake, f"silver-{ids[0]}"),
-            partitions=partitions,
+            planned,
+            [(month, taxi_type) for month in months],
         )
-        metrics = _metrics(spark, lake, planned, partitions)
-        ledger.finish_batches(spark, lake.ledger, ids, metrics, utc_now())
+        ledger.finish_batches(spark, lake.ledger, planned, metrics, utc_now())
         return {row["batch_id"]: row.asDict() for row in metrics.collect()}
     except Exception as error:
-        if not started:
-            ledger.start_batches(spark, lake.ledger, _planned(spark, plans), utc_now())
-        ledger.fail_batches(spark, lake.ledger, ids, str(error), utc_now())
+        if started is None:
+            started = _planned(spark, plans)
+            ledger.start_batches(spark, lake.ledger, started, utc_now())
+        ledger.fail_batches(spark, lake.ledger, started, str(error), utc_now())
         raise
 
 
-def _metrics(
-    spark: SparkSession, lake: Lake, planned: DataFrame, partitions: list[tuple[str, str]]
+class LostRows(Exception):
+    """A write left out rows that were prepared for it."""
+
+
+def load_prepared(
+    spark: SparkSession,
+    lake: Lake,
+    silver: DataFrame,
+    planned: DataFrame,
+    partitions: list[tuple[str, str]],
 ) -> DataFrame:
-    """Metrics of the loaded batches, counted in the partitions they were written to."""
+    """Upsert prepared rows and count them per batch; raises when the table lacks any.
+
+    Rows are written once to the staging folder; the counts are theirs, not the target's,
+    so rows that a write loses cannot pass for duplicates.
+    """
+    upsert.recover(spark, lake.silver)
+    rows = upsert.materialize(spark, lake.silver, silver, partitions)
+    counted = loaded_metrics(rows).collect()
+    upsert.upsert_table(spark, lake.silver, rows, partitions=partitions, materialized=True)
     written = lake.silver.read(spark).where(
         upsert.in_partitions(lake.silver.partition_by, partitions)
     )
-    loaded = loaded_metrics(written.join(planned.select("batch_id"), "batch_id", "left_semi"))
+    written = written.join(F.broadcast(planned.select("batch_id")), "batch_id", "left_semi")
+    found = {r["batch_id"]: r["count"] for r in written.groupBy("batch_id").count().collect()}
+    for row in counted:
+        if found.get(row["batch_id"], 0) != row["loaded_rows"]:
+            raise LostRows(
+                f"batch {row['batch_id']}: {row['loaded_rows']} rows prepared, "
+                f"{found.get(row['batch_id'], 0)} in the table"
+            )
+    # One row per batch, read twice by the caller.
+    loaded = spark.createDataFrame(
+        counted, "batch_id string, loaded_rows bigint, invalid_rows bigint, null_key_rows bigint"
+    )
     counts = planned.select("batch_id", "source_rows").join(loaded, "batch_id", "left").fillna(0)
-    rows = counts.select(
+    return counts.select(
         "batch_id",
         "source_rows",
         "loaded_rows",
         (F.col("source_rows") - F.col("loaded_rows")).alias("duplicate_rows"),
         "invalid_rows",
         "null_key_rows",
-    ).collect()
-    # One row per batch, read twice by the caller.
-    return spark.createDataFrame(rows, counts_schema())
-
-
-def counts_schema() -> str:
-    return (
-        "batch_id string, source_rows int, loaded_rows int, duplicate_rows int,"
-        " invalid_rows int, null_key_rows int"
     )
 
 
@@ -213,7 +235,7 @@ def _outcome(plan: dict, metrics: dict) -> dict:
 def _skipped(plan: dict) -> dict:
     return {
         "status": "skipped",
-        "reason": "batch with the same source etag already succeeded",
+        "reason": "this source file is loaded already",
         "taxi_type": plan["taxi_type"],
         "year_month": plan["year_month"],
         "source_url": plan["source_url"],
@@ -221,49 +243,120 @@ def _skipped(plan: dict) -> dict:
     }
 
 
-def _record_missing(spark: SparkSession, lake: Lake, plans: list[dict], message: str) -> None:
+def _record_failed(spark: SparkSession, lake: Lake, plans: list[dict], message: str) -> None:
     """Ledger rows for months whose file could not be found."""
-    ledger.start_batches(spark, lake.ledger, _planned(spark, plans), utc_now())
-    ids = [plan["batch_id"] for plan in plans]
-    ledger.fail_batches(spark, lake.ledger, ids, message, utc_now())
+    planned = _planned(spark, plans)
+    ledger.start_batches(spark, lake.ledger, planned, utc_now())
+    ledger.fail_batches(spark, lake.ledger, planned, message, utc_now())
+
+
+def _waves(plans: list[dict], sources: dict[str, Row], limit: int) -> Iterator[list[dict]]:
+    """Months in order, in runs of at most ``limit`` source bytes, one month at least."""
+    wave, size = [], 0
+    for plan in plans:
+        more = sources[plan["year_month"]]["source_bytes"]
+        if wave and size + more > limit:
+            yield wave
+            wave, size = [], 0
+        wave.append(plan)
+        size += more
+    if wave:
+        yield wave
+
+
+def _load_wave(
+    spark: SparkSession, lake: Lake, taxi_type: str, wave: list[dict], sources: dict[str, Row]
+) -> dict:
+    loading = [sources[plan["year_month"]] for plan in wave]
+    with shuffle_sized_for(spark, sum(row["source_bytes"] for row in loading)):
+        parts = any(row["source_parts"] > 1 for row in loading)
+        files = [file for row in loading for file in row["source_files"]]
+        return _load(spark, lake, taxi_type, wave, files, parts)
 
 
-def _run(spark: SparkSession, lake: Lake, taxi_type: str, months: list[str]) -> list[dict]:
-    """Load the months that are not loaded yet: one normalization, one dedupe, one upsert."""
+def _run(
+    spark: SparkSession,
+    lake: Lake,
+    taxi_type: str,
+    months: list[str],
+    continue_on_error: bool = False,
+    wave_bytes: int = WAVE_BYTES,
+) -> tuple[list[dict], list[tuple[str, Exception]]]:
+    """Load the months that are not loaded yet, in waves; results and failures in order.
+
+    The months of a wave share one normalization, one deduplication and one upsert. When a
+    wave of several months fails, its months are loaded one by one, so each is loaded or
+    has failed by itself. Loading stops at the first month that fails, and what was loaded
+    before stays; with ``continue_on_error`` the rest is loaded too.
+    """
     ensure_warehouse(spark, lake)
     pattern = months[0] if len(months) == 1 else "*"
     try:
         listed = trips.list_sources(spark, lake.source_base, taxi_type, pattern)
         sources = {row["year_month"]: row for row in listed.collect()}
     except Exception as error:
-        _record_missing(spark, lake, [_plan(lake, taxi_type, m) for m in months], str(error))
+        _record_failed(spark, lake, [_plan(lake, taxi_type, m) for m in months], str(error))
         raise
+    failures: dict[str, Exception] = {}
+    wanted = months
     missing = [month for month in months if month not in sources]
+    if missing and not continue_on_error:
+        wanted, missing = months[: months.index(missing[0])], missing[:1]
+    for month in missing:
+        error = FileNotFoundError(f"no source file for {taxi_type} {month}")
+        failures[month] = error
     if missing:
-        message = f"no source file for {taxi_type} {', '.join(missing)}"
-        _record_missing(spark, lake, [_plan(lake, taxi_type, m) for m in missing], message)
-        raise FileNotFoundError(message)
+        plans = [_plan(lake, taxi_type, m) for m in missing]
+        _record_failed(spark, lake, plans, f"no source file for {taxi_type} {', '.join(missing)}")
+
+    plans = [_plan(lake, taxi_type, m, sources[m]) for m in wanted if m in sources]
+    results: dict[str, dict] = {}
+    if plans:
+        batches = ledger.current_batches(lake.ledger.read(spark))
+        pending = ledger.pending_batches(_planned(spark, plans), batches).select("batch_id")
+        pending_ids = {row["batch_id"] for row in pending.collect()}
+        to_load = [plan for plan in plans if plan["batch_id"] in pending_ids]
+        results = {p["year_month"]: _skipped(p) for p in plans if p["batch_id"] not in pending_ids}
+        for wave in _waves(to_load, sources, wave_bytes):
+            failed = _load_months(spark, lake, taxi_type, wave, sources, results)
+            failures |= failed
+            if failed and not continue_on_error:
+                break
+    return (
+        [results[m] for m in months if m in results],
+        [(m, failures[m]) for m in months if m in failures],
+    )
 
-    plans = [_plan(lake, taxi_type, month, sources[month]) for month in months]
-    batches = ledger.current_batches(lake.ledger.read(spark))
-    pending = ledger.pending_batches(_planned(spark, plans), batches).select("batch_id")
-    pending_ids = {row["batch_id"] for row in pending.collect()}
-    to_load = [plan for plan in plans if plan["batch_id"] in pending_ids]
-    metrics: dict[str, dict] = {}
-    if to_load:
-        loading = [sources[plan["year_month"]] for plan in to_load]
-        with shuffle_sized_for(spark, sum(row["source_bytes"] for row in loading)):
-            parts = any(row["source_parts"] > 1 for row in loading)
-            metrics = _load(spark, lake, taxi_type, to_load, parts)
-    return [
-        _outcome(plan, metrics) if plan["batch_id"] in pending_ids else _skipped(plan)
-        for plan in plans
-    ]
+
+def _load_months(
+    spark: SparkSession,
+    lake: Lake,
+    taxi_type: str,
+    wave: list[dict],
+    sources: dict[str, Row],
+    results: dict[str, dict],
+) -> dict[str, Exception]:
+    """Load a wave into ``results``; failures by month."""
+    try:
+        metrics = _load_wave(spark, lake, taxi_type, wave, sources)
+        results |= {plan["year_month"]: _outcome(plan, metrics) for plan in wave}
+        return {}
+    except Exception as error:
+        if len(wave) == 1:
+            return {wave[0]["year_month"]: error}
+    failures: dict[str, Exception] = {}
+    for plan in wave:
+        alone = _plan(lake, taxi_type, plan["year_month"], sources[plan["year_month"]])
+        failures |= _load_months(spark, lake, taxi_type, [alone], sources, results)
+    return failures
 
 
 def run_month(spark: SparkSession, lake: Lake, taxi_type: str, year_month: str) -> dict:
     """Load one month, or skip it when the same file was loaded before."""
-    return _run(spark, lake, taxi_type, month_range(year_month, year_month))[0]
+    results, failures = _run(spark, lake, taxi_type, month_range(year_month, year_month))
+    for _, error in failures:
+        raise error
+    return results[0]
 
 
 def run_range(
@@ -273,23 +366,17 @@ def run_range(
     start_month: str,
     end_month: str,
     continue_on_error: bool = False,
+    wave_bytes: int = WAVE_BYTES,
 ) -> dict:
     """Load a range of months, both ends included.
 
-    All pending months go through one plan and succeed or fail together. With
-    ``continue_on_error`` each month is loaded by itself and failures are listed.
+    The first month that fails raises, and months loaded before it stay loaded. With
+    ``continue_on_error`` all others are loaded and failures are listed.
     """
     months = month_range(start_month, end_month)
-    results: list[dict] = []
-    failures: list[dict] = []
-    if continue_on_error:
-        for month in months:
-            try:
-                results.append(run_month(spark, lake, taxi_type, month))
-            except Exception as error:
-                failures.append({"year_month": month, "error": str(error)})
-    else:
-        results = _run(spark, lake, taxi_type, months)
+    results, failures = _run(spark, lake, taxi_type, months, continue_on_error, wave_bytes)
+    if failures and not continue_on_error:
+        raise failures[0][1]
     return {
         "status": "partial_success" if failures else "success",
         "taxi_type": taxi_type,
@@ -297,7 +384,7 @@ def run_range(
         "end_month": end_month,
         "requested_months": months,
         "successful_months": [result["year_month"] for result in results],
-        "failed_months": failures,
+        "failed_months": [{"year_month": m, "error": str(error)} for m, error in failures],
         "results": results,
     }
 
@@ -321,6 +408,7 @@ def refresh_fact(spark: SparkSession, lake: Lake, full: bool = False) -> None:
     """
     staged = staging.stage_trips(lake.silver.read(spark))
     vendors, zone_dim = lake.gold("dim_vendor").read(spark), lake.gold("dim_zone").read(spark)
+    upsert.recover(spark, lake.fact)
     if full or not lake.fact.exists(spark):
         lake.fact.rewrite(fact.trip_fact(staged, vendors, zone_dim))
         return
@@ -329,7 +417,6 @@ def refresh_fact(spark: SparkSession, lake: Lake, full: bool = False) -> None:
         spark,
         lake.fact,
         fact.trip_fact(delta, vendors, zone_dim),
-        staging_path(spark, lake, f"fct_taxi_trips-{uuid4().hex}"),
         keep=(),
         partitions=upsert.touched_partitions(delta, lake.fact),
     )
@@ -409,7 +496,9 @@ def run_all(
     Failed checks are returned, and raise only with ``strict_checks``.
     """
     bootstrap(spark, lake)
-    loads = _run(spark, lake, taxi_type, months)
+    loads, failures = _run(spark, lake, taxi_type, months)
+    for _, error in failures:
+        raise error
     freshness = checks.source_freshness(lake.silver.read(spark), as_of or utc_now()).first()
     if freshness["status"] == "error":
         raise CheckFailed(f"{freshness['target']} was last loaded at {freshness['max_loaded_at']}")

@@ -78,6 +78,7 @@ PROVENANCE = ("batch_id", "taxi_type", "source_year_month", "source_file_name")
 ROW_NUMBER = "row_number_in_file"
 BASE_COLUMNS = PROVENANCE + (ROW_NUMBER,) + TRIP_NAMES
 
+# The flags of a trip.
 FLAGS = (
     "has_negative_fare",
     "has_invalid_distance",
@@ -104,6 +105,7 @@ TRIP_KEY = ("business_trip_key", "source_year_month")
 KEY_HASH = "trip_key_hash"
 TRIP_PARTITIONS = ("source_year_month", "taxi_type")
 
+# The columns of the trip table.
 SILVER = _struct(
     ("business_trip_key", _TEXT),
     ("source_year_month", _TEXT),
@@ -146,6 +148,7 @@ FACT = T.StructType(
     ]
 )
 
+# The columns of the batch ledger.
 LEDGER = _struct(
     ("batch_id", _TEXT),
     ("taxi_type", _TEXT),
@@ -155,11 +158,11 @@ LEDGER = _struct(
     ("bronze_object_key", _TEXT),
     ("source_etag", _TEXT),
     ("source_last_modified", T.TimestampType()),
-    ("source_rows", T.IntegerType()),
-    ("loaded_rows", T.IntegerType()),
-    ("duplicate_rows", T.IntegerType()),
-    ("invalid_rows", T.IntegerType()),
-    ("null_key_rows", T.IntegerType()),
+    ("source_rows", _LONG),
+    ("loaded_rows", _LONG),
+    ("duplicate_rows", _LONG),
+    ("invalid_rows", _LONG),
+    ("null_key_rows", _LONG),
     ("status", _TEXT),
     ("schema_drift_columns", T.ArrayType(_TEXT)),
     ("error_message", _TEXT),

@@ -10,9 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlake import __main__ as cli
-from meterlake.operators import checks, ledger, upsert
+from meterlake.operators import checks, ledger
 from meterlake.plans import jobs, monitoring
-from meterlake.sources import trips
+from meterlake.sources import files, trips
 from meterlake.streaming.landing import land_stream
 from tests.conftest import at, write_parquet, yellow_columns
 
@@ -226,18 +226,155 @@ def test_fact_refresh_equals_full_build_and_rewrites_touched_months_only(spark,
     assert lake.fact.read(spark).where("pickup_zone_sk is null").count() == 0
 
 
-def test_publishing_again_after_a_crash_completes_the_upsert(spark, lake):
-    put(lake, "2024-01", yellow_columns(3))
-    jobs.run_month(spark, lake, "yellow", "2024-01")
-    current = silver(spark, lake)
-    incoming = current.withColumn("total_amount", F.lit(77.0))
-    staging = jobs.staging_path(spark, lake, "crash")
-    staged = type(lake.silver)(staging, lake.silver.schema, lake.silver.partition_by)
-    staged.rewrite(upsert.merge(current, incoming))
-    upsert.publish(spark, lake.silver, staging)
-    assert {r.total_amount for r in silver(spark, lake).collect()} == {77.0}
-    upsert.publish(spark, lake.silver, staging)
-    assert silver(spark, lake).count() == 3
+class Died(Exception):
+    """The job was killed."""
+
+
+def die_in_publish(monkeypatch, after):
+    """The next publishing moves ``after`` folders and dies with the next one's target gone."""
+    real, moved = files.move, []
+
+    def move(spark, source, target):
+        if len(moved) == after:
+            raise Died()
+        moved.append(target)
+        real(spark, source, target)
+
+    monkeypatch.setattr(files, "move", move)
+
+
+def load_and_correct(spark, lake):
+    for month in ("2024-01", "2024-02"):
+        put(lake, month, yellow_columns(4))
+    jobs.run_range(spark, lake, "yellow", "2024-01", "2024-02")
+    for month in ("2024-01", "2024-02"):
+        put(lake, month, yellow_columns(2, total_amount=[77.0] * 2))
+
+
+def content(table):
+    return sorted(map(str, table.drop("batch_id", "updated_at").collect()))
+
+
+@pytest.mark.parametrize("after", [0, 1])
+def test_a_job_that_died_while_publishing_loses_nothing(spark, lake, monkeypatch, after):
+    load_and_correct(spark, lake)
+    loaded_at = {r.loaded_at for r in silver(spark, lake).collect()}
+    with monkeypatch.context() as patch:
+        die_in_publish(patch, after)
+        with pytest.raises(Died):
+            jobs.run_range(spark, lake, "yellow", "2024-01", "2024-02")
+    assert silver(spark, lake).count() < 8
+    jobs.run_range(spark, lake, "yellow", "2024-01", "2024-02")
+    rows = silver(spark, lake).collect()
+    assert sorted((r.source_year_month, r.total_amount) for r in rows) == sorted(
+        [(m, a) for m in ("2024-01", "2024-02") for a in (24.0, 24.0, 77.0, 77.0)]
+    )
+    assert {r.loaded_at for r in rows} == loaded_at
+    current = {r.year_month: r.status for r in batches(spark, lake).orderBy("started_at").collect()}
+    assert current == {"2024-01": "success", "2024-02": "success"}
+
+
+def test_a_job_that_died_before_publishing_changes_nothing(spark, lake, monkeypatch):
+    load_and_correct(spark, lake)
+    before = content(silver(spark, lake))
+    with monkeypatch.context() as patch:
+        patch.setattr(files, "touch", lambda *_: (_ for _ in ()).throw(Died()))
+        with pytest.raises(Died):
+            jobs.run_month(spark, lake, "yellow", "2024-01")
+    assert content(silver(spark, lake)) == before
+    assert jobs.run_month(spark, lake, "yellow", "2024-01")["loaded_rows"] == 2
+    assert silver(spark, lake).count() == 8
+
+
+def test_a_fact_refresh_that_died_is_completed(spark, lake, monkeypatch):
+    load_and_correct(spark, lake)
+    jobs.refresh_dimensions(spark, lake)
+    jobs.refresh_fact(spark, lake)
+    jobs.run_range(spark, lake, "yellow", "2024-01", "2024-02")
+    with monkeypatch.context() as patch:
+        die_in_publish(patch, 1)
+        with pytest.raises(Died):
+            jobs.refresh_fact(spark, lake)
+    jobs.refresh_fact(spark, lake)
+    refreshed = sorted(map(str, lake.fact.read(spark).collect()))
+    jobs.refresh_fact(spark, lake, full=True)
+    assert sorted(map(str, lake.fact.read(spark).collect())) == refreshed and len(refreshed) == 8
+
+
+def test_rows_lost_in_a_write_fail_the_batch(spark, lake, monkeypatch):
+    put(lake, "2024-01", yellow_columns(6))
+    real = type(lake.silver).rewrite
+
+    def lossy(table, df):
+        real(table, df.limit(3) if table.path.endswith("__staging/rows") else df)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(lake.silver), "rewrite", lossy)
+        with pytest.raises(jobs.LostRows, match="6 rows prepared, 3 in the table"):
+            jobs.run_month(spark, lake, "yellow", "2024-01")
+    assert batches(spark, lake).first().status == "failed"
+    assert jobs.run_month(spark, lake, "yellow", "2024-01")["loaded_rows"] == 6
+    assert silver(spark, lake).count() == 6
+
+
+def test_counts_beyond_32_bits_go_through_the_ledger(spark, lake):
+    jobs.ensure_warehouse(spark, lake)
+    many = 3 * 10**9
+    plan = jobs._plan(lake, "yellow", "2024-01") | {"source_rows": many}
+    planned = jobs._planned(spark, [plan])
+    now = datetime.now(timezone.utc)
+    ledger.start_batches(spark, lake.ledger, planned, now)
+    metrics = spark.createDataFrame(
+        [(plan["batch_id"], many - 1, 1, many - 2, 0)],
+        "batch_id string, loaded_rows long, duplicate_rows long, invalid_rows long, null_key_rows long",
+    )
+    ledger.finish_batches(spark, lake.ledger, planned, metrics, now)
+    row = batches(spark, lake).first()
+    assert (row.status, row.source_rows, row.loaded_rows) == ("success", many, many - 1)
+
+
+def test_parts_of_a_month_with_schemas_of_their_own(spark, lake, tmp_path):
+    folder = tmp_path / "source" / "yellow_tripdata_2024-01.parquet"
+    folder.mkdir()
+    plain = yellow_columns(1, trip_distance=[1.0])
+    write_parquet(folder / "part-0.parquet", plain)
+    # An extra column, an alias of its own, and integers where the first has doubles.
+    extra = yellow_columns(1, trip_distance=[2], Airport_fee=[1.25], new_field=["n"])
+    extra["tpep_dropoff_datetime"] = ["2024-01-01 11:00:00"]
+    write_parquet(folder / "part-1.parquet", extra)
+    # A column missing.
+    less = {k: v for k, v in yellow_columns(1).items() if k != "tip_amount"}
+    less["tpep_dropoff_datetime"] = ["2024-01-01 12:00:00"]
+    write_parquet(folder / "part-2.parquet", less)
+    result = jobs.run_month(spark, lake, "yellow", "2024-01")
+    assert (result["source_rows"], result["loaded_rows"]) == (3, 3)
+    assert result["schema_drift_columns"] == ["new_field"]
+    rows = silver(spark, lake).orderBy("dropoff_datetime").collect()
+    assert [(r.trip_distance, r.airport_fee, r.tip_amount) for r in rows] == [
+        (1.0, None, 2.0),
+        (2.0, 1.25, 2.0),
+        (4.0, None, None),
+    ]
+    # Drift is a matter of the whole month.
+    assert all(r.has_schema_drift for r in rows)
+    landed = lake.path(trips.bronze_key("yellow", "2024-01"))
+    names = {f.name for part in spark.read.format("binaryFile").load(landed).collect()
+             if part.path.endswith(".parquet") for f in spark.read.parquet(part.path).schema}
+    assert {"new_field", "Airport_fee", "tip_amount"} <= names
+
+
+def test_range_keeps_months_before_the_first_failure(spark, lake):
+    for month in ("2024-01", "2024-02", "2024-04"):
+        put(lake, month, yellow_columns(2))
+    put(lake, "2024-03", yellow_columns(1, payment_type=[2**40]))
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        jobs.run_range(spark, lake, "yellow", "2024-01", "2024-04", wave_bytes=1)
+    months = {r.source_year_month for r in silver(spark, lake).collect()}
+    assert months == {"2024-01", "2024-02"}
+    result = jobs.run_range(spark, lake, "yellow", "2024-01", "2024-05", continue_on_error=True)
+    assert [r["status"] for r in result["results"]] == ["skipped", "skipped", "success"]
+    assert [f["year_month"] for f in result["failed_months"]] == ["2024-03", "2024-05"]
+    assert silver(spark, lake).count() == 6
 
 
 def test_run_all_passes_checks_and_gate(spark, lake):
@@ -307,6 +444,44 @@ def test_stream_loads_each_file_once(spark, lake, tmp_path):
     assert {r.status for r in rows.values()} == {"success"}
 
 
+def test_stream_batch_that_failed_once_ends_in_success(spark, lake, tmp_path, monkeypatch):
+    put(lake, "2024-01", yellow_columns(3))
+    schema = spark.read.parquet(lake.source_base).schema
+    checkpoint = str(tmp_path / "stream")
+    with monkeypatch.context() as patch:
+        die_in_publish(patch, 0)
+        with pytest.raises(Exception):
+            land_stream(spark, lake, "yellow", schema, checkpoint).awaitTermination()
+    assert batches(spark, lake).first().status == "failed"
+    land_stream(spark, lake, "yellow", schema, checkpoint).awaitTermination()
+    row = batches(spark, lake).first()
+    assert batches(spark, lake).count() == 1
+    assert (row.status, row.loaded_rows, row.error_message) == ("success", 3, None)
+    assert silver(spark, lake).count() == 3
+
+
+def test_stream_takes_a_folder_as_the_month_load_does(spark, lake, tmp_path):
+    folder = tmp_path / "source" / "yellow_tripdata_2024-01.parquet"
+    folder.mkdir()
+    write_parquet(folder / "part-1.parquet", yellow_columns(total_amount=[2.0]))
+    write_parquet(folder / "part-0.parquet", yellow_columns(total_amount=[1.0]))
+    schema = spark.read.parquet(str(folder)).schema
+    land_stream(spark, lake, "yellow", schema, str(tmp_path / "s")).awaitTermination()
+    row = batches(spark, lake).first()
+    assert batches(spark, lake).count() == 1
+    assert (row.source_rows, row.loaded_rows, row.duplicate_rows) == (2, 1, 1)
+    assert silver(spark, lake).first().total_amount == 1.0
+
+
+def test_stream_takes_all_files_of_a_backlog(spark, lake, tmp_path):
+    for month in range(1, 6):
+        put(lake, f"2024-{month:02d}", yellow_columns(2))
+    schema = spark.read.parquet(lake.source_base).schema
+    checkpoint = str(tmp_path / "s")
+    land_stream(spark, lake, "yellow", schema, checkpoint, files_per_trigger=2).awaitTermination()
+    assert silver(spark, lake).count() == 10 and batches(spark, lake).count() == 5
+
+
 def test_freshness_levels(spark, lake):
     put(lake, "2024-01", yellow_columns(1))
     jobs.run_month(spark, lake, "yellow", "2024-01")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meterlake.operators import checks, upsert
 from meterlake.operators.prepare import prepare_batch, to_silver
 from meterlake.plans import fact, jobs, marts, staging
-from meterlake.schema import KEY_HASH
+from meterlake.schema import KEY_HASH, TRIP_KEY
 from meterlake.sources import trips
 from tests.conftest import at, new_lake, write_parquet, yellow_columns
 
@@ -35,7 +35,7 @@ def loaded(spark, tmp_path_factory):
 
 def normalized(spark, lake, month):
     url = trips.source_url(lake.source_base, "yellow", month)
-    return trips.normalize_trip_file(spark, url, "yellow", month, "b").dataframe
+    return trips.normalize_groups(trips.read_schema_groups(spark, [url]), "yellow", month)
 
 
 def test_a_fresh_load_shuffles_once(spark, loaded):
@@ -58,6 +58,20 @@ def test_a_merge_right_after_deduplication_shuffles_incoming_rows_once(spark, lo
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_small_correction_shuffles_no_current_row(spark, loaded):
+    current = loaded.silver.read(spark)
+    incoming = current.where("source_year_month = '2024-01'").limit(1)
+    narrow = upsert.merge_narrow(current, incoming, TRIP_KEY, ("loaded_at",), small=True)
+    above_scans = [
+        part.split("Exchange")[0] for part in plan_of(narrow).split("BroadcastHashJoin")[1:]
+    ]
+    assert above_scans and not lines(narrow, "SortMergeJoin")
+    whole = upsert.merge(current, incoming)
+    assert sorted(map(str, narrow.collect())) == sorted(map(str, whole.collect()))
+    wide = upsert.merge_narrow(current, incoming, TRIP_KEY, ("loaded_at",), small=False)
+    assert sorted(map(str, wide.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_months_prune_partitions(spark, loaded):
     wanted = upsert.in_partitions(loaded.silver.partition_by, [("2024-01", "yellow")])
     scan = lines(loaded.silver.read(spark).where(wanted), "FileScan")[0]

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import random
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from meterlake.functions.calendar import month_range, resolve_months
+from meterlake.functions.calendar import month_before, month_range, resolve_months
 from meterlake.functions.keys import business_trip_key, surrogate_key
 from meterlake.operators.dedupe import keep_first
 from meterlake.operators.prepare import batch_metrics, prepare_batch, to_silver
@@ -198,11 +199,16 @@ def test_month_range_rejects(start, end):
         month_range(start, end)
 
 
+def test_default_month_is_the_one_before_the_run():
+    assert month_before(date(2024, 2, 2)) == "2024-01"
+    assert month_before(date(2024, 1, 31)) == "2023-12"
+
+
 def test_resolve_months():
     assert resolve_months("2024-05") == ["2024-05"]
     assert resolve_months("2024-05", year_month="2024-01") == ["2024-01"]
     assert resolve_months("2024-05", None, "2024-01", "2024-02") == ["2024-01", "2024-02"]
     with pytest.raises(ValueError, match="not both"):
         resolve_months("2024-05", "2024-01", "2024-01", "2024-02")
-    with pytest.raises(ValueError, match="required"):
+    with pytest.raises(ValueError, match="first and its last"):
         resolve_months("2024-05", start_month="2024-01")

@@ -107,36 +107,37 @@ def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_silver(prepared_trips(spark, sf_dir), FIRST_LOAD)
 
 
-def correction_batches(
-    spark: SparkSession, sf_dir: str, merge_next: bool = False
-) -> tuple[DataFrame, DataFrame]:
+def correction_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A first load and a later one that corrects some of its trips and adds others."""
     lines = table(spark, sf_dir, "lineitem").withColumn("copy_no", F.lit(0))
     first = lines.where("l_orderkey % 50 <> 1")
     second = lines.where("l_orderkey % 15 = 0 or l_orderkey % 50 = 1")
 
-    def silver(part: DataFrame, add: int, at: datetime, ahead: bool) -> DataFrame:
+    def silver(part: DataFrame, add: int, at: datetime) -> DataFrame:
         moved = trips_from(part).withColumns(
             {c: F.col(c) + add for c in ("fare_amount", "total_amount")}
         )
-        prepared = prepare_batch(moved, False, FILE_ORDER, merge_next=ahead)
+        prepared = prepare_batch(moved, False, FILE_ORDER)
         return to_silver(with_batch(prepared), at)
 
-    return silver(first, 0, FIRST_LOAD, False), silver(second, 2, CORRECTION, merge_next)
+    return silver(first, 0, FIRST_LOAD), silver(second, 2, CORRECTION)
 
 
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones from all parts: 265 locations at most, those divisible by 17 left out."""
     part, nation, region = (table(spark, sf_dir, n) for n in ("part", "nation", "region"))
+    location = "cast(p_partkey % 265 + 1 as int)"
+    named = part.join(nation, F.expr(f"{location} % 25 = n_nationkey")).join(
+        region, F.expr("n_regionkey = r_regionkey")
+    )
     return (
-        part.where("p_partkey between 1 and 265 and p_partkey % 17 <> 0")
-        .join(nation, F.expr("p_partkey % 25 = n_nationkey"))
-        .join(region, F.expr("n_regionkey = r_regionkey"))
-        .selectExpr(
-            "cast(p_partkey as int) as location_id",
-            "r_name as borough",
-            "concat(n_name, '-', cast(p_partkey as string)) as zone",
-            "p_type as service_zone",
+        named.groupBy(F.expr(location).alias("location_id"))
+        .agg(
+            F.min("r_name").alias("borough"),
+            F.min(F.expr(f"concat(n_name, '-', {location})")).alias("zone"),
+            F.min("p_type").alias("service_zone"),
         )
+        .where("location_id % 17 <> 0")
     )
 
 
@@ -173,8 +174,8 @@ def ledger_from(counts: DataFrame) -> DataFrame:
         return "cast(null as timestamp)" if n is None else minutes.format(sign="+", n=n)
 
     rows = ", ".join(
-        f"""if({condition}, named_struct('tag', '{tag}', 'source_rows', cast({source} as int),
-        'loaded_rows', cast({loaded} as int), 'duplicate_rows', cast({duplicate} as int),
+        f"""if({condition}, named_struct('tag', '{tag}', 'source_rows', cast({source} as bigint),
+        'loaded_rows', cast({loaded} as bigint), 'duplicate_rows', cast({duplicate} as bigint),
         'status', '{status}', 'started_at', {at(start)}, 'finished_at', {at(end)}), null)"""
         for tag, condition, source, loaded, duplicate, status, start, end in kinds
     )

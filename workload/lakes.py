@@ -6,7 +6,6 @@ the built tables do not repeat the load. ``bench.py`` times the load by itself.
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,23 +13,19 @@ from pyspark.sql import functions as F
 
 from meterlake.operators.upsert import upsert_table
 from meterlake.plans import jobs
-from meterlake.schema import LEDGER
+from meterlake.schema import LEDGER, TAXI_TYPES
+from meterlake.sources import files
 from meterlake.sources.tables import Lake, working_dir
-from meterlake.sources.trips import source_url
+from meterlake.sources.trips import list_sources, source_url
 from workload import derive
 
-RAW_MONTH = "1995-01"
-
 _BUILT: dict[tuple[str, str, str], Lake] = {}
 
 
 def new_root(spark: SparkSession) -> str:
-    """A fresh folder on the shared storage the cluster names; local sessions may use /tmp."""
-    shared = working_dir(spark, "")
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="meterlake-")
+    """A fresh folder on the shared storage the session names: ``spark.checkpoint.dir``, or
+    the warehouse where that is unset."""
+    shared = working_dir(spark, "") or f"{spark.conf.get('spark.sql.warehouse.dir')}/lakes"
     return f"{shared.rstrip('/')}/lake-{uuid4().hex}"
 
 
@@ -56,8 +51,7 @@ def _silver(spark: SparkSession, sf_dir: str, lake: Lake) -> Lake:
     lake.zones.append(derive.zones(spark, sf_dir))
     trips = derive.silver_trips(spark, sf_dir)
     partitions = months_of(derive.trips(spark, sf_dir))
-    staging = jobs.staging_path(spark, lake, f"silver-{uuid4().hex}")
-    upsert_table(spark, lake.silver, trips, staging, partitions=partitions)
+    upsert_table(spark, lake.silver, trips, partitions=partitions)
     return lake
 
 
@@ -73,9 +67,8 @@ def _corrected(spark: SparkSession, sf_dir: str, lake: Lake) -> Lake:
     jobs.ensure_warehouse(spark, lake)
     lake.zones.append(derive.zones(spark, sf_dir))
     partitions = months_of(derive.trips(spark, sf_dir))
-    for batch in derive.correction_batches(spark, sf_dir, merge_next=True):
-        staging = jobs.staging_path(spark, lake, f"silver-{uuid4().hex}")
-        upsert_table(spark, lake.silver, batch, staging, partitions=partitions)
+    for batch in derive.correction_batches(spark, sf_dir):
+        upsert_table(spark, lake.silver, batch, partitions=partitions)
         jobs.refresh_dimensions(spark, lake)
         jobs.refresh_fact(spark, lake)
     return lake
@@ -96,15 +89,61 @@ def corrected_lake(spark: SparkSession, sf_dir: str) -> Lake:
     return _memo(spark, sf_dir, "corrected", _corrected)
 
 
+def write_raw(spark: SparkSession, sf_dir: str, lake: Lake) -> None:
+    """All line items as raw files: for each type a folder of part files for each month."""
+    for taxi_type, rows in (
+        ("yellow", derive.raw_yellow(spark, sf_dir)),
+        ("green", derive.raw_green(spark, sf_dir)),
+    ):
+        written = f"{lake.root}/raw_{taxi_type}"
+        rows.repartition("file_month").write.partitionBy("file_month").parquet(written)
+        for folder in files.folders(spark, written, "file_month=*"):
+            month = folder.split("=", 1)[1]
+            url = source_url(lake.source_base, taxi_type, month)
+            files.move(spark, f"{written}/{folder}", url)
+
+
+def _raw(spark: SparkSession, sf_dir: str, lake: Lake) -> Lake:
+    lake = Lake(lake.root, f"{lake.root}/source", f"{lake.root}/zones.csv")
+    write_raw(spark, sf_dir, lake)
+    listed = derive.zone_lookup(spark, sf_dir).selectExpr(
+        "location_id as LocationID", "borough as Borough", "zone as Zone", "service_zone"
+    )
+    listed.coalesce(1).write.option("header", True).csv(lake.zone_csv)
+    return lake
+
+
 def raw_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """A new empty lake whose source folder has the yellow trips as one raw file."""
-    root = new_root(spark)
-    lake = Lake(root, f"{root}/source")
-    url = source_url(lake.source_base, "yellow", RAW_MONTH)
-    derive.raw_yellow(spark, sf_dir).write.parquet(url)
+    """Raw files of all types and months, and the zone list as CSV; nothing loaded yet."""
+    return _memo(spark, sf_dir, "raw", _raw)
+
+
+def beside(spark: SparkSession, lake: Lake) -> Lake:
+    """An empty lake over the same sources."""
+    return Lake(new_root(spark), lake.source_base, lake.zone_csv)
+
+
+def months_listed(spark: SparkSession, lake: Lake, taxi_type: str) -> list[str]:
+    listed = list_sources(spark, lake.source_base, taxi_type).select("year_month").collect()
+    return sorted(row["year_month"] for row in listed)
+
+
+def _landed(spark: SparkSession, sf_dir: str, lake: Lake) -> Lake:
+    """Every raw file through the range load."""
+    raw = raw_lake(spark, sf_dir)
+    lake = Lake(lake.root, raw.source_base, raw.zone_csv)
+    jobs.bootstrap(spark, lake)
+    for taxi_type in TAXI_TYPES:
+        months = months_listed(spark, lake, taxi_type)
+        jobs.run_range(spark, lake, taxi_type, months[0], months[-1], continue_on_error=True)
     return lake
 
 
+def landed_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Bronze, silver, zones and ledger from the raw files."""
+    return _memo(spark, sf_dir, "landed", _landed)
+
+
 def build_fresh(spark: SparkSession, sf_dir: str, stage: str) -> Lake:
     """Build without the memo, for timing."""
     lake = Lake(new_root(spark))

@@ -18,12 +18,19 @@ from meterlake.functions.flags import quality_status, row_flags
 from meterlake.operators import checks, ledger, prepare, upsert
 from meterlake.operators.dedupe import keep_first
 from meterlake.plans import dashboards, dimensions, fact, jobs, marts, monitoring, staging
-from meterlake.schema import FLAGS, LEDGER, TRIP_NAMES
+from meterlake.schema import FLAGS, LEDGER, TAXI_TYPES, TRIP_NAMES
 from meterlake.sources import trips as raw_trips
 from meterlake.sources.tables import cut
 from meterlake.streaming.landing import land_stream
 from workload import derive, oracle
-from workload.lakes import RAW_MONTH, corrected_lake, gold_lake, raw_lake, silver_lake
+from workload.lakes import (
+    beside,
+    corrected_lake,
+    gold_lake,
+    landed_lake,
+    raw_lake,
+    silver_lake,
+)
 from workload.oracle import statement
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -264,11 +271,8 @@ def prepared_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     statement(
-        """select batch_id, cast(source_rows as int) as source_rows,
-             cast(loaded_rows as int) as loaded_rows,
-             cast(duplicate_rows as int) as duplicate_rows,
-             cast(invalid_rows as int) as invalid_rows,
-             cast(null_key_rows as int) as null_key_rows
+        """select batch_id, source_rows, loaded_rows, duplicate_rows, invalid_rows,
+             null_key_rows
            from (select *, md5(taxi_type || '|' || source_year_month || '|1') as batch_id
                  from counts) as c""",
         "counts",
@@ -282,49 +286,56 @@ def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Loads of raw files ------------------------------------------------------------------
 
-# The yellow trips as one raw file, and what its load keeps.
-_YELLOW = oracle.trips_of("select *, 0 as copy_no from lineitem where l_linestatus = 'F'")
-_LOADED = f"""select count(*) as source_rows, count(distinct {oracle.KEY_TEXT}) as loaded_rows,
-  count(distinct case when vendor_id is null or pickup_datetime is null then {oracle.KEY_TEXT} end)
-    as null_key_rows
-  from ({_YELLOW}) as y"""
+# Columns of a raw file whose names or types differ from the canonical ones.
+_RAW_YELLOW = """
+  vendor_id as "VendorID", cast(pickup_datetime as varchar) as tpep_pickup_datetime,
+  cast(dropoff_datetime as varchar) as tpep_dropoff_datetime,
+  cast(passenger_count as bigint) as passenger_count, trip_distance, rate_code_id as "RatecodeID",
+  store_and_fwd_flag, pickup_location_id as "PULocationID", dropoff_location_id as "DOLocationID",
+  payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge,
+  total_amount, congestion_surcharge, airport_fee as "Airport_fee", 'drift' as bonus_field"""
+_RAW_GREEN = """
+  cast(vendor_id as int) as "VendorID", pickup_datetime as lpep_pickup_datetime,
+  dropoff_datetime as lpep_dropoff_datetime, passenger_count, trip_distance,
+  cast(rate_code_id as double) as "RatecodeID", store_and_fwd_flag,
+  cast(pickup_location_id as int) as "PULocationID",
+  cast(dropoff_location_id as varchar) as "DOLocationID",
+  cast(payment_type as double) as payment_type, fare_amount, extra, mta_tax, tip_amount,
+  tolls_amount, improvement_surcharge, total_amount, congestion_surcharge,
+  cast(trip_type as double) as trip_type, ehail_fee"""
+
+
+def _landed_files(spark: SparkSession, sf_dir: str, taxi_type: str) -> DataFrame:
+    lake = landed_lake(spark, sf_dir)
+    return spark.read.parquet(f"{lake.root}/bronze/{taxi_type}/*/*.parquet")
+
+
+@query(statement(f"select {_RAW_YELLOW} from raw_trips where taxi_type = 'yellow'", "raw_trips"))
+def bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: all yellow files under their bronze keys, with their own columns."""
+    return _landed_files(spark, sf_dir, "yellow")
 
 
-@query(
-    f"""select vendor_id as "VendorID", cast(pickup_datetime as varchar) as tpep_pickup_datetime,
-         cast(passenger_count as bigint) as passenger_count, trip_distance, fare_amount,
-         'drift' as bonus_field
-       from ({_YELLOW}) as y"""
-)
-def bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A4: a raw file under its bronze key, with its own columns."""
-    lake = raw_lake(spark, sf_dir)
-    url = raw_trips.source_url(lake.source_base, "yellow", RAW_MONTH)
-    key = raw_trips.land_bronze(spark, url, lake.root, "yellow", RAW_MONTH)
-    landed = spark.read.parquet(lake.path(key))
-    return landed.select(
-        "VendorID",
-        "tpep_pickup_datetime",
-        "passenger_count",
-        "trip_distance",
-        "fare_amount",
-        "bonus_field",
-    )
+@query(statement(f"select {_RAW_GREEN} from raw_trips where taxi_type = 'green'", "raw_trips"))
+def bronze_landing_green(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: all green files under their bronze keys."""
+    return _landed_files(spark, sf_dir, "green")
 
 
-@query(
-    f"""select 'success' as status, cast(source_rows as int) as source_rows,
-         cast(loaded_rows as int) as loaded_rows,
-         cast(source_rows - loaded_rows as int) as duplicate_rows,
-         cast(loaded_rows as int) as invalid_rows, cast(null_key_rows as int) as null_key_rows,
-         'bonus_field,file_month' as schema_drift_columns
-       from ({_LOADED}) as l"""
-)
-def run_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger row after a raw file went through the whole load."""
-    lake = raw_lake(spark, sf_dir)
-    jobs.run_month(spark, lake, "yellow", RAW_MONTH)
-    return ledger.current_batches(lake.ledger.read(spark)).select(
+_BATCH_COUNTS = """
+    select taxi_type, source_year_month as year_month, 'success' as status,
+      count(*) as source_rows, count(*) as loaded_rows, cast(0 as bigint) as duplicate_rows,
+      cast(sum(case when quality_status = 'flagged' then 1 else 0 end) as bigint)
+        as invalid_rows,
+      cast(sum(case when has_null_key then 1 else 0 end) as bigint) as null_key_rows,
+      case when taxi_type = 'yellow' then 'bonus_field' else '' end as schema_drift_columns
+    from raw_prepared group by 1, 2"""
+
+
+def _batch_counts(batches: DataFrame) -> DataFrame:
+    return batches.select(
+        "taxi_type",
+        "year_month",
         "status",
         "source_rows",
         "loaded_rows",
@@ -335,17 +346,46 @@ def run_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    f"""select distinct {oracle.KEY_TEXT} as business_trip_key, '{RAW_MONTH}' as source_year_month
-        from ({_YELLOW}) as y"""
+@query(statement(_BATCH_COUNTS, "raw_prepared"))
+def run_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger rows after every raw file went through the whole load."""
+    lake = landed_lake(spark, sf_dir)
+    return _batch_counts(ledger.current_batches(lake.ledger.read(spark)))
+
+
+# Load details that differ from run to run.
+_RUN_COLUMNS = ("batch_id", "loaded_at", "updated_at")
+_LOADED_TRIPS = statement(
+    f"select * exclude ({', '.join(_RUN_COLUMNS)}) from raw_silver",
+    "raw_silver",
+    raw_silver=(("raw_prepared",), oracle.silver_of("raw_prepared", oracle.FIRST_LOAD)),
 )
+
+
+@query(_LOADED_TRIPS)
+def run_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after a range load of all months of both types, in their own schemas."""
+    return landed_lake(spark, sf_dir).silver.read(spark).drop(*_RUN_COLUMNS)
+
+
+@query(_LOADED_TRIPS)
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver after the stream has taken up a new raw file."""
-    lake = raw_lake(spark, sf_dir)
-    schema = spark.read.parquet(lake.source_base + "/*").schema
-    stream = land_stream(spark, lake, "yellow", schema, lake.path("stream_checkpoint"))
-    stream.awaitTermination()
-    return lake.silver.read(spark).select("business_trip_key", "source_year_month")
+    """Silver after the stream has taken up all raw files: what the range load gives."""
+    lake = beside(spark, raw_lake(spark, sf_dir))
+    for taxi_type in TAXI_TYPES:
+        source = raw_trips.source_url(lake.source_base, taxi_type, "*")
+        schema = spark.read.parquet(source).schema
+        checkpoint = lake.path(f"stream_checkpoint_{taxi_type}")
+        land_stream(spark, lake, taxi_type, schema, checkpoint).awaitTermination()
+    return lake.silver.read(spark).drop(*_RUN_COLUMNS)
+
+
+@query(_select("location_id, borough, zone, service_zone", "zone_list"))
+def bootstrap_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone list written as CSV and loaded by the bootstrap."""
+    lake = beside(spark, raw_lake(spark, sf_dir))
+    jobs.bootstrap(spark, lake)
+    return lake.zones.read(spark).drop("updated_at")
 
 
 # Tables and staging ------------------------------------------------------------------
@@ -622,7 +662,7 @@ def upsert_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_select("*", "upserted"))
 def upsert_trips_in_one_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same merge as one lazy plan, without tables."""
-    first, second = derive.correction_batches(spark, sf_dir, merge_next=True)
+    first, second = derive.correction_batches(spark, sf_dir)
     return upsert.merge(first, second)
 
 
