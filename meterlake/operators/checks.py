@@ -63,18 +63,33 @@ def summary(check: str, target: str, column: str, failures: DataFrame) -> DataFr
 
 def not_null(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     """All columns of a table in one pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("failures")) for c in columns])
-    )
-    row = counts.select(pairs.alias("r")).select("r.column", "r.failures")
-    return row.select(
-        F.lit("not_null").alias("check"),
-        F.lit(target).alias("target"),
-        "column",
-        "failures",
-        F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status"),
+    return column_checks(df, [("not_null", target, c, None) for c in columns])
+
+
+def column_checks(
+    df: DataFrame, wanted: Sequence[tuple[str, str, str, Sequence[str] | None]]
+) -> DataFrame:
+    """Checks of single columns in one pass: ``not_null``, and ``accepted_values`` with the
+    values; of the latter the distinct values outside the list are failures."""
+
+    def failures(check: str, column: str, values: Sequence[str] | None) -> Column:
+        if check == "not_null":
+            return F.count_if(F.col(column).isNull())
+        return F.count_distinct(F.when(~F.col(column).isin(*values), F.col(column)))
+
+    counts = df.agg(*[failures(k, c, v).alias(f"_{n}") for n, (k, _, c, v) in enumerate(wanted)])
+    names = ("check", "target", "column")
+    rows = F.array(
+        *[
+            F.struct(
+                *[F.lit(x).alias(name) for name, x in zip(names, rule[:3], strict=True)],
+                F.col(f"_{n}").cast("bigint").alias("failures"),
+            )
+            for n, rule in enumerate(wanted)
+        ]
     )
+    passed = F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status")
+    return counts.select(F.explode(rows).alias("r")).select("r.*").select("*", passed)
 
 
 def repeated(df: DataFrame, columns: Sequence[str], folder: str | None = None) -> DataFrame:
@@ -101,8 +116,7 @@ def accepted_values(
     df: DataFrame, target: str, column: str, values: Sequence[str]
 ) -> DataFrame:
     """Counts distinct values outside the list; nulls are left to ``not_null``."""
-    others = df.where(~F.col(column).isin(*values)).select(column).distinct()
-    return summary("accepted_values", target, column, others.agg(F.count("*").alias("failures")))
+    return column_checks(df, [("accepted_values", target, column, values)])
 
 
 def batch_accounting(batches: DataFrame) -> DataFrame:
@@ -144,18 +158,30 @@ def source_freshness(trips: DataFrame, as_of: datetime | Column) -> DataFrame:
     )
 
 
+# A staging view has the rows of its table and all checked columns: one pass serves both.
+_SAME_ROWS = {
+    "silver.taxi_trips": "stg_taxi_trips",
+    "raw.taxi_zone_lookup": "stg_taxi_zones",
+    "ops.batch_runs": "stg_batch_runs",
+}
 # Tables with a row per trip: their keys are counted by hash first.
 _TRIP_TABLES = ("stg_taxi_trips", "fct_taxi_trips")
 
 
 def run_checks(tables: dict[str, DataFrame], folder: str) -> DataFrame:
     """Summary rows of all checks on the tables given by name."""
-    results = [not_null(tables[t], t, columns) for t, columns in NOT_NULL.items()]
+    by_rows: dict[str, list] = {}
+    for target, columns in NOT_NULL.items():
+        rules = [("not_null", target, column, None) for column in columns]
+        by_rows.setdefault(_SAME_ROWS.get(target, target), []).extend(rules)
+    for target, (column, values) in ACCEPTED_VALUES.items():
+        rule = ("accepted_values", target, column, values)
+        by_rows.setdefault(_SAME_ROWS.get(target, target), []).append(rule)
+    results = [column_checks(tables[t], rules) for t, rules in by_rows.items()]
     results += [
         unique(tables[t], t, column, folder if t in _TRIP_TABLES else None)
         for t, column in UNIQUE.items()
     ]
-    results += [accepted_values(tables[t], t, *rule) for t, rule in ACCEPTED_VALUES.items()]
 
     def rows_of(df: DataFrame) -> DataFrame:
         return df.agg(F.count("*").alias("failures"))

@@ -169,19 +169,33 @@ def upsert_table(
     partitions: Sequence[Sequence[str]] | None = None,
     materialized: bool = False,
 ) -> None:
+    """Upsert ``incoming`` into a partitioned table: ``stage_upsert``, then ``publish``."""
+    if stage_upsert(spark, table, incoming, keys, keep, partitions, materialized):
+        publish(spark, table)
+
+
+def stage_upsert(
+    spark: SparkSession,
+    table: LakeTable,
+    incoming: DataFrame,
+    keys: Sequence[str] = TRIP_KEY,
+    keep: Sequence[str] = ("loaded_at",),
+    partitions: Sequence[Sequence[str]] | None = None,
+    materialized: bool = False,
+) -> list[str]:
     """Upsert ``incoming`` (unique on ``keys``) into a partitioned table.
 
     ``partitions`` names those that ``incoming`` falls in; without it, they are looked up.
     ``materialized`` says that ``incoming`` is what ``materialize`` returned. Only touched
     partitions are read and rewritten, each row is encoded once, and partitions that hold
-    no rows yet take the incoming rows as they are.
+    no rows yet take the incoming rows as they are. Returns the staged folders.
     """
     recover(spark, table)
     if not materialized:
         incoming = materialize(spark, table, incoming, partitions)
     touched = partitions if partitions is not None else touched_partitions(incoming, table)
     if not touched:
-        return
+        return []
     columns = table.partition_by
     held = held_partitions(spark, table, touched)
     fresh = [value for value in touched if tuple(value) not in held]
@@ -197,18 +211,25 @@ def upsert_table(
         rows = rows.unionByName(merged) if fresh else merged
     _staging(table, "rows").rewrite(rows)
     files.touch(spark, _marker(table))
-    publish(spark, table)
+    return staged_folders(spark, table)
+
+
+def staged_folders(spark: SparkSession, table: LakeTable) -> list[str]:
+    pattern = "/".join(f"{column}=*" for column in table.partition_by)
+    return files.folders(spark, _staging(table, "rows").path, pattern)
+
+
+def publish_folder(spark: SparkSession, table: LakeTable, folder: str) -> None:
+    files.delete(spark, f"{table.path}/{folder}")
+    files.move(spark, f"{_staging(table, 'rows').path}/{folder}", f"{table.path}/{folder}")
 
 
 def publish(spark: SparkSession, table: LakeTable) -> None:
     """Move the staged partitions over the table's; may be run again at any point."""
-    staged = _staging(table, "rows")
-    pattern = "/".join(f"{column}=*" for column in table.partition_by)
-    for folder in files.folders(spark, staged.path, pattern):
-        files.delete(spark, f"{table.path}/{folder}")
-        files.move(spark, f"{staged.path}/{folder}", f"{table.path}/{folder}")
+    for folder in staged_folders(spark, table):
+        publish_folder(spark, table, folder)
     files.delete(spark, _marker(table))
-    files.delete(spark, staged.path)
+    files.delete(spark, _staging(table, "rows").path)
     files.delete(spark, _staging(table, "incoming").path)
 
 

@@ -11,6 +11,8 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.plans.marts import money_sum
+
 
 def filtered(df: DataFrame, **filters: Any) -> DataFrame:
     for name, value in filters.items():
@@ -181,6 +183,6 @@ def revenue_by_borough(
         .groupBy("pickup_borough")
         .agg(
             F.sum("trip_count").alias("trip_count"),
-            F.sum("total_revenue").alias("total_revenue"),
+            money_sum("total_revenue").alias("total_revenue"),
         )
     )

@@ -79,11 +79,20 @@ def fare_anomalies(fact: DataFrame, baseline: DataFrame) -> DataFrame:
     )
 
 
+def money_sum(column: str) -> Column:
+    """The sum of amounts in cents, exact in whatever order rows come."""
+    return F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
+
+
+def money_avg(column: str) -> Column:
+    return money_sum(column) / F.count(column)
+
+
 def monthly_metrics(trips: DataFrame) -> DataFrame:
     return trips.groupBy("taxi_type", "trip_month").agg(
         F.count("*").alias("trip_count"),
-        F.sum("total_amount").alias("total_revenue"),
-        F.avg("total_amount").alias("avg_total_amount"),
+        money_sum("total_amount").alias("total_revenue"),
+        money_avg("total_amount").alias("avg_total_amount"),
         F.avg("trip_distance").alias("avg_trip_distance"),
         F.avg("fare_per_mile").alias("avg_fare_per_mile"),
         F.count_if(F.col("quality_status") == "flagged").alias("flagged_trip_count"),
@@ -104,7 +113,7 @@ def zone_hourly_metrics(fact: DataFrame, zones: DataFrame) -> DataFrame:
         "taxi_type", "pickup_date", "pickup_hour", "pickup_location_id", "pickup_zone_sk"
     ).agg(
         F.count("*").alias("trip_count"),
-        F.sum("total_amount").alias("total_revenue"),
+        money_sum("total_amount").alias("total_revenue"),
         F.avg("trip_distance").alias("avg_trip_distance"),
     )
     names = zones.select(

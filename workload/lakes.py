@@ -11,7 +11,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.operators.upsert import upsert_table
+from meterlake.operators.upsert import publish_folder, stage_upsert, upsert_table
 from meterlake.plans import jobs
 from meterlake.schema import LEDGER, TAXI_TYPES
 from meterlake.sources import files
@@ -89,6 +89,26 @@ def corrected_lake(spark: SparkSession, sf_dir: str) -> Lake:
     return _memo(spark, sf_dir, "corrected", _corrected)
 
 
+def _interrupted(spark: SparkSession, sf_dir: str, lake: Lake) -> Lake:
+    """As ``corrected``, but the correction dies while it publishes, and is run again."""
+    jobs.ensure_warehouse(spark, lake)
+    partitions = months_of(derive.trips(spark, sf_dir))
+    first, second = derive.correction_batches(spark, sf_dir)
+    upsert_table(spark, lake.silver, first, partitions=partitions)
+    staged = stage_upsert(spark, lake.silver, second, partitions=partitions)
+    for folder in staged[: len(staged) // 2]:
+        publish_folder(spark, lake.silver, folder)
+    # One more has lost its old rows and not yet got the new ones.
+    files.delete(spark, f"{lake.silver.path}/{staged[-1]}")
+    upsert_table(spark, lake.silver, second, partitions=partitions)
+    return lake
+
+
+def interrupted_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Silver after a correction that was interrupted and repeated."""
+    return _memo(spark, sf_dir, "interrupted", _interrupted)
+
+
 def write_raw(spark: SparkSession, sf_dir: str, lake: Lake) -> None:
     """All line items as raw files: for each type a folder of part files for each month."""
     for taxi_type, rows in (
