@@ -238,3 +238,37 @@ def test_dashboard_orders_and_filters(spark):
     assert dashboards.peak_zones(hours, pickup_date=date(2024, 1, 2), pickup_hour=9).count() == 1
     revenue = {r.pickup_borough: r.total_revenue for r in dashboards.revenue_by_borough(hours).collect()}
     assert revenue == {"B": 12.0, "C": 3.0}
+
+
+def test_orders_of_months_anomalies_and_reconciliation(spark):
+    months = spark.createDataFrame(
+        [("2024-02-01", "yellow"), (None, "green"), ("2024-01-01", "yellow"), ("2024-01-01", "green")],
+        "trip_month string, taxi_type string",
+    ).selectExpr(
+        "cast(trip_month as date) trip_month", "taxi_type", "1 trip_count", "1D total_revenue",
+        "1D avg_total_amount", "0 flagged_trip_count",
+    )
+    found = dashboards.monthly_volume(months.repartition(3)).collect()
+    assert [(str(r.trip_month), r.taxi_type) for r in found] == [
+        ("2024-01-01", "green"), ("2024-01-01", "yellow"), ("2024-02-01", "yellow"), ("None", "green"),
+    ]
+    anomalies = spark.createDataFrame(
+        [("2024-01-01 10:00:00",), (None,), ("2024-03-01 10:00:00",)], "t string"
+    ).selectExpr(
+        "cast(t as timestamp_ntz) pickup_datetime", "'yellow' taxi_type", "'x' anomaly_type",
+        "1 pickup_location_id", "1 dropoff_location_id", "1D trip_distance", "1D total_amount",
+        "1D fare_per_mile_zscore",
+    )
+    found = dashboards.anomaly_review(anomalies.repartition(3)).collect()
+    assert [r.pickup_datetime and r.pickup_datetime.month for r in found] == [None, 3, 1]
+    totals = spark.createDataFrame(
+        [("2024-01", "yellow"), ("2024-02", "yellow"), ("2024-02", "green"), (None, "green")],
+        "year_month string, taxi_type string",
+    ).selectExpr(
+        "*", "1 source_rows", "1 expected_loaded_rows", "0 duplicate_rows", "1 warehouse_rows",
+        "0 source_variance", "0 loaded_variance",
+    )
+    found = dashboards.reconciliation(totals.repartition(3)).collect()
+    assert [(r.year_month, r.taxi_type) for r in found] == [
+        (None, "green"), ("2024-02", "green"), ("2024-02", "yellow"), ("2024-01", "yellow"),
+    ]
