@@ -123,6 +123,7 @@ def monitoring_alerts(monitoring: DataFrame) -> DataFrame:
 
     success, lag = F.col("ingest_success_rate"), F.col("freshness_lag_hours")
     duplicates, null_keys = F.col("duplicate_rate"), F.col("null_rate_key_columns")
+    # Severities and codes, in the order of their rank.
     rules = [
         (
             success < MIN_SUCCESS_RATE,
@@ -161,6 +162,7 @@ def reconciliation_alerts(reconciliation: DataFrame) -> DataFrame:
         "warehouse_rows",
         "source_rows",
     )
+    # Severities and codes, in the order of their rank.
     rules = [
         (F.col("loaded_variance") != 0, "error", "loaded_reconciliation_mismatch", context),
         (F.col("source_variance") != 0, "warn", "source_reconciliation_mismatch", context),
@@ -198,5 +200,5 @@ def alert_gate(alerts: DataFrame) -> None:
     )
     if errors:
         raise AlertThresholdBreached(
-            "Operational alert threshold breached: " + "; ".join(row["text"] for row in errors)
+            "alerts of severity error: " + "; ".join(row["text"] for row in errors)
         )
