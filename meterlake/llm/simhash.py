@@ -4,9 +4,9 @@
 half the hashes of the document's features. Table lanes say who may meet, check lanes
 (or, without them, the table lanes) who is linked: documents whose lanes differ in at
 most ``distance`` bits. By default tables take distinct words, which few edits change,
-and the check takes six times 64 bits of five-word shingles: a similarity of 0.8 makes
-each bit differ with probability acos(2 * 0.8 / 1.8) / pi = 0.151, 58 of 384 bits; the
-distance of 72 leaves room for its spread.
+and the check takes 16 times 64 bits of five-word shingles: a similarity of 0.8 makes
+each bit differ with probability acos(2 * 0.8 / 1.8) / pi = 0.151, 155 of 1024 bits; the
+distance of 176 leaves room for its spread (11.5 bits).
 
 **Candidates.** Bit ``i`` of a lane is given a non-zero vector ``m(i)`` of ``r + 1`` bits,
 all vectors alike often. Mask ``v`` (``1 .. 2^(r+1) - 1``) has the bits for which
@@ -55,8 +55,8 @@ class Settings:
     bits: int = 56  # of a table lane
     radius: int = 3  # of a table lane
     check_shingle: int = 5
-    check_lanes: int = 6  # of 64 bits; 0: the table lanes are checked
-    distance: int = 72  # links differ in so many checked bits at most
+    check_lanes: int = 16  # of 64 bits; 0: the table lanes are checked
+    distance: int = 176  # links differ in so many checked bits at most
     most: int = 4096  # nodes of a bucket
 
 

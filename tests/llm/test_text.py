@@ -168,7 +168,7 @@ def test_kernel_scores_equal_the_plain_kernel():
     a = np.linalg.solve(c.T @ c + ridge, c.T @ y)
     for text in ("the hund", "katze ran xyz"):
         expected = np.array([kernel(text, m) for m in marks]) @ a
-        bits = language_id._matrix([text], model, len(model.weights))
+        bits = language_id._matrix([text], model)
         got = (bits @ model.weights)[0] / max(1, bits.sum()) ** 0.5
         assert np.allclose(got, expected, atol=1e-4)
 
