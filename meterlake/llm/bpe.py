@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer as Library
 
-from meterlake.llm.common import arrow_map, slices, with_column
+from meterlake.llm.common import arrow_map, sent, slices, with_column
 
 # Pieces a worker remembers, and their longest length.
 REMEMBERED = 200_000
@@ -185,6 +185,12 @@ class Tokenizer:
         whole = self.closing.get(symbols)
         return array("i", [whole] if whole is not None else self._path(symbols, len(symbols))).tobytes()
 
+    def forget(self) -> None:
+        """Drop what was remembered: a task's worker goes on with other work."""
+        for table in (self.pieces, self.known, self.auto.table):
+            table.clear()
+        self.pieces.older, self.known.older = {}, {}
+
     def _path(self, symbols: str, n: int) -> list[int]:
         inner, closing, longest = self.inner, self.closing, self.longest
         table, fill = self.auto.table, self.auto.fill
@@ -272,7 +278,7 @@ def encode(
 ) -> DataFrame:
     """``docs`` with the column ``out``: an array of token ids; and where it is named, with
     the column ``decoded``: the text of these ids."""
-    shared = docs.sparkSession.sparkContext.broadcast(load(path))
+    shared = sent(docs.sparkSession, ("bpe", path), lambda: load(path))
     source = docs.withColumn(text_col, F.col(text_col).cast("string"))
     source, schema = _with(source, out, T.ArrayType(T.IntegerType(), False))
     if decoded:
@@ -283,24 +289,30 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = shared.value
-        for whole in batches:
-            for batch in slices(whole, text_col, _BATCH):
-                parts = [tokenizer.encode(t.as_py()) for t in batch.column(text_col)]
-                ends = np.cumsum([0] + [len(p) // 4 for p in parts])
-                ids = np.frombuffer(b"".join(parts), np.int32)
-                batch = with_column(batch, out, pa.ListArray.from_arrays(ends.astype(np.int32), ids))
-                if decoded:
-                    labels = tokenizer.labels
-                    texts = [text_of(np.frombuffer(p, np.int32).tolist(), labels) for p in parts]
-                    batch = with_column(batch, decoded, pa.array(texts, pa.string()))
-                yield batch
+        try:
+            for whole in batches:
+                for batch in slices(whole, text_col, _BATCH):
+                    yield encoded(batch, tokenizer)
+        finally:
+            tokenizer.forget()
+
+    def encoded(batch: pa.RecordBatch, tokenizer: Tokenizer) -> pa.RecordBatch:
+        parts = [tokenizer.encode(t.as_py()) for t in batch.column(text_col)]
+        ends = np.cumsum([0] + [len(p) // 4 for p in parts])
+        ids = np.frombuffer(b"".join(parts), np.int32)
+        batch = with_column(batch, out, pa.ListArray.from_arrays(ends.astype(np.int32), ids))
+        if decoded:
+            labels = tokenizer.labels
+            texts = [text_of(np.frombuffer(p, np.int32).tolist(), labels) for p in parts]
+            batch = with_column(batch, decoded, pa.array(texts, pa.string()))
+        return batch
 
     return arrow_map(source, run, schema)
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the column ``out``: the text of the token ids."""
-    shared = docs.sparkSession.sparkContext.broadcast(load(path).labels)
+    shared = sent(docs.sparkSession, ("labels", path), lambda: load(path).labels)
     source, schema = _with(docs, out, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

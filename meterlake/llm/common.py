@@ -5,9 +5,11 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +36,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    with short_batches(df.sparkSession):
+        return df.checkpoint(eager=True)
+
+
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Fewer rows of text at a time between executors and their workers, for what runs now."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def small_enough(df: DataFrame, rows: int) -> DataFrame:
@@ -64,8 +79,17 @@ def arrow_map(
     run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: object,
 ) -> DataFrame:
+    """``mapInArrow`` by workers that have this package and, at a task's end, give back the
+    memory of its batches: they go on to other work."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(task, schema)
 
 
 def fresh(df: DataFrame, stem: str) -> str:
@@ -98,7 +122,19 @@ def without_rows(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -
     return rows.join(gone, name, "left_anti").drop(name)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+_SENT: dict[tuple, Broadcast] = {}
+
+
+def sent(spark: SparkSession, key: tuple, make: Callable[[], object]) -> Broadcast:
+    """A broadcast that an application makes once for a key: workers keep what they load of
+    it, so making it anew for each query would add to their memory."""
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _SENT:
+        _SENT[key] = spark.sparkContext.broadcast(make())
+    return _SENT[key]
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose ``column`` holds about ``most`` bytes, so long rows go few at a time."""
     if not batch.num_rows:
         return

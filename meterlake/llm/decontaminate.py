@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import arrow_map, row_key, shared_dir, ship, without_rows
+from meterlake.llm.common import arrow_map, row_key, shared_dir, ship, short_batches, without_rows
 
 # Words of a segment, but for a document that alone has more.
 SEGMENT_WORDS = 400_000
@@ -171,7 +171,10 @@ def build_index(
             yield from filled()
 
     path = f"{shared_dir(spark)}/index-{uuid4().hex}"
-    arrow_map(source, run, schema).write.partitionBy("kind").parquet(path)
+    # Rows of both kinds in the order they are made: no sort, and columns of the other kind
+    # are null, so a scan of one kind reads little of the other.
+    with short_batches(spark):
+        arrow_map(source, run, schema).write.parquet(path)
     stored = spark.read.schema(schema).parquet(path)
     return Index(
         stored.filter("kind = 'documents'").select("segment", "doc_id", "first", "words"),

@@ -45,29 +45,55 @@ LEAST = 0.05  # score below which no learned language fits
 @dataclass
 class Model:
     languages: list[str]
-    characters: np.ndarray  # number of each character in the alphabet, 0: none
-    size: int  # of the alphabet, with 0
-    grams: list[np.ndarray]  # for n = 1, 2, 3: column of each n-gram, 0: none
+    letters: np.ndarray  # the alphabet, sorted
+    known: list[np.ndarray]  # for n = 1, 2, 3: codes of the n-grams, in order of their columns
     weights: np.ndarray  # columns by languages
 
+    def tables(self) -> Tables:
+        """The look-up tables; a worker keeps those of one model."""
+        key = (self.letters.tobytes(), *(k.tobytes() for k in self.known))
+        if key not in _TABLES:
+            _TABLES.clear()
+            _TABLES[key] = Tables(self.letters, self.known)
+        return _TABLES[key]
 
-def _presence(text: str, model: Model, out: np.ndarray) -> None:
+
+class Tables:
+    def __init__(self, letters: np.ndarray, known: list[np.ndarray]):
+        self.size = len(letters) + 1
+        # Number of each character in the alphabet, 0: none.
+        self.characters = np.zeros(0x110000, np.uint8)
+        self.characters[letters] = np.arange(1, self.size)
+        # For n = 1, 2, 3: column of each n-gram, 0: none.
+        self.grams, self.columns = [], 1
+        for n, codes in enumerate(known, 1):
+            grams = np.zeros(self.size**n, np.int32)
+            grams[codes] = np.arange(self.columns, self.columns + len(codes))
+            self.columns += len(codes)
+            self.grams.append(grams)
+
+
+_TABLES: dict[tuple, Tables] = {}
+
+
+def _presence(text: str, tables: Tables, out: np.ndarray) -> None:
     """Mark the columns of the text's n-grams; column 0 is for those of no landmark."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    ids = model.characters[codes]
+    ids = tables.characters[codes]
     code = ids.astype(np.int32)
-    out[model.grams[0][code]] = 1
+    out[tables.grams[0][code]] = 1
     for n in (1, 2):
         if len(ids) <= n:
             break
-        code = code[:-1] * model.size + ids[n:]
-        out[model.grams[n][code]] = 1
+        code = code[:-1] * tables.size + ids[n:]
+        out[tables.grams[n][code]] = 1
 
 
-def _matrix(texts: list[str], model: Model, columns: int) -> np.ndarray:
-    bits = np.zeros((len(texts), columns), np.float32)
+def _matrix(texts: list[str], model: Model) -> np.ndarray:
+    tables = model.tables()
+    bits = np.zeros((len(texts), tables.columns), np.float32)
     for row, text in zip(bits, texts, strict=True):
-        _presence(text, model, row)
+        _presence(text, tables, row)
     bits[:, 0] = 0
     return bits
 
@@ -93,8 +119,6 @@ def fit(samples: list[tuple[str, str]]) -> Model | None:
     characters = np.zeros(0x110000, np.uint8)
     characters[letters] = np.arange(1, size)
     # Every n-gram of a landmark gets a column.
-    model = Model(languages, characters, size, [], np.empty(0))
-    columns = 1
     seen = [np.zeros(size**n, bool) for n in (1, 2, 3)]
     for text in marks:
         ids = characters[
@@ -107,19 +131,14 @@ def fit(samples: list[tuple[str, str]]) -> Model | None:
                     break
                 code, whole = code[:-1] * size + ids[n:], whole[:-1] & (ids[n:] > 0)
             seen[n][code[whole]] = True
-    for table in seen:
-        known = np.flatnonzero(table)
-        grams = np.zeros(len(table), np.int32)
-        grams[known] = np.arange(columns, columns + len(known))
-        columns += len(known)
-        model.grams.append(grams)
-    landmarks = _normed(_matrix(marks, model, columns)).astype(np.float64)
+    model = Model(languages, letters, [np.flatnonzero(table) for table in seen], np.empty(0))
+    landmarks = _normed(_matrix(marks, model)).astype(np.float64)
     own = landmarks @ landmarks.T
     gram = RIDGE * len(samples) * (own + 1e-6 * np.eye(len(own)))
     target = np.zeros((len(own), len(languages)))
     for at in range(0, len(samples), BATCH):
         part = samples[at : at + BATCH]
-        kernel = _normed(_matrix([t for t, _ in part], model, columns)) @ landmarks.T
+        kernel = _normed(_matrix([t for t, _ in part], model)) @ landmarks.T
         answers = np.array([[lang == other for other in languages] for _, lang in part], float)
         gram += kernel.T @ kernel
         target += kernel.T @ answers
@@ -164,7 +183,7 @@ def predict(texts: list[str | None], model: Model | None) -> tuple[list[str], np
     names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
     told = [k for k, t in enumerate(texts) if t and any(map(str.isalpha, t))]
     if model is not None and told:
-        bits = _matrix([texts[k] for k in told], model, len(model.weights))
+        bits = _matrix([texts[k] for k in told], model)
         out = (bits @ model.weights) / np.sqrt(np.maximum(bits.sum(axis=1, keepdims=True), 1))
         best = out.argmax(axis=1)
         scores[told] = np.clip(out[np.arange(len(told)), best], 0, 1)

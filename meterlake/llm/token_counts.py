@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.llm.common import arrow_map, slices, with_column
+from meterlake.llm.common import arrow_map, sent, slices, with_column
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -107,7 +107,7 @@ def count_tokens(
     docs: DataFrame, path: str, text_col: str = "text", out: str = "n_tokens"
 ) -> DataFrame:
     """``docs`` with the column ``out``, the number of tokens of the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(vocabulary(path)))
+    shared = sent(docs.sparkSession, ("pieces", path), lambda: tuple(vocabulary(path)))
     docs = docs.drop(out).withColumn(text_col, F.col(text_col).cast("string"))
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())])
 
