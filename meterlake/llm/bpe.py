@@ -43,10 +43,10 @@ from tokenizers import Tokenizer as Library
 from meterlake.llm.common import arrow_map, sent, slices, with_column
 
 # Pieces a worker remembers, and their longest length.
-REMEMBERED = 200_000
+REMEMBERED = 140_000
 REMEMBERED_CHARS = 48
 # Cells of the transition table a worker keeps.
-TABLE_CELLS = 300_000
+TABLE_CELLS = 200_000
 _NEVER = 1 << 60
 
 
