@@ -1,0 +1,97 @@
+"""Near copies against the exact similarity of five-word shingles, by kind of edit."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from meterlake.llm import near_copies
+from meterlake.llm.common import row_key
+from meterlake.llm.simhash import shingles_of
+from tests.llm.data import SF, rows
+from tests.llm.test_dedup import _groups
+
+
+def _jaccard(a: str, b: str) -> float:
+    x, y = set(shingles_of(a, 5)), set(shingles_of(b, 5))
+    return len(x & y) / len(x | y)
+
+
+def _words(rng: random.Random, n: int) -> list[str]:
+    return ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(n)]
+
+
+def _edited(rng: random.Random, kind: str, words: list[str]) -> list[str]:
+    n = len(words)
+    if kind == "cut":
+        return words[: n - round(n * rng.uniform(0.155, 0.185))]
+    if kind == "appended":
+        return words + _words(rng, round(n * rng.uniform(0.19, 0.23)))
+    changed, step = list(words), rng.randrange(30, 60)
+    for at in range(0, n - step, step):
+        changed[at + rng.randrange(6, step - 6)] = "changed"
+    return changed
+
+
+def _pairs(seed: int, kind: str, count: int, low: float, high: float) -> list[tuple[str, str]]:
+    rng, found = random.Random(f"{seed} {kind}"), []
+    while len(found) < count:
+        words = _words(rng, rng.randrange(100, 400))
+        pair = " ".join(words), " ".join(_edited(rng, kind, words))
+        if low <= _jaccard(*pair) <= high:
+            found.append(pair)
+    return found
+
+
+def test_pairs_meet_whatever_the_edit():
+    for kind in ("cut", "appended", "scattered"):
+        met = 0
+        for pair in _pairs(11, kind, 150, 0.8, 0.85):
+            a, b = (near_copies.minima(near_copies.shingle_set(t)) for t in pair)
+            sizes = np.array([len(near_copies.shingle_set(t)) for t in pair])
+            together = set(near_copies.buckets_of(a)) & set(near_copies.buckets_of(b))
+            sketch = (np.array([a, b]) & 255).astype(np.uint8)
+            met += bool(together) and bool(near_copies.chain(sketch, sizes)[0])
+        assert met >= 149, (kind, met)
+
+
+def test_cut_and_appended_copies_go(spark):
+    documents, copies = [], set()
+    for kind in ("cut", "appended"):
+        for a, b in _pairs(12, kind, 30, 0.8, 0.85):
+            n = len(documents)
+            documents += [(n, a), (n + 1, b)]
+            copies.add(n + 1)
+    frame = spark.createDataFrame(documents, "doc_id long, text string")
+    kept = corpus_pipeline.near_stage(spark, frame, SF)
+    assert {r.doc_id for r in kept.collect()} == {d for d, _ in documents} - copies
+
+
+def test_pairs_below_the_similarity_stay(spark):
+    pairs = _pairs(13, "scattered", 40, 0.72, 0.799)
+    frame = spark.createDataFrame(list(enumerate(sum(pairs, ()))), "doc_id long, text string")
+    assert corpus_pipeline.near_stage(spark, frame, SF).count() == 80
+
+
+def test_groups_equal_brute_force_in_full_buckets(spark):
+    """Dense groups about two texts, with many pairs a little below the similarity."""
+    rng, documents = random.Random(14), {}
+    for _ in range(2):
+        base = _words(rng, 200)
+        for _ in range(40):
+            words = list(base)
+            for _ in range(rng.randrange(1, 7)):
+                words[rng.randrange(200)] = "".join(rng.choices("xyz", k=7))
+            documents[len(documents)] = " ".join(words)
+    documents |= {100 + d: t for d, t in rows("select doc_id, text from documents") if t}
+    expected = _groups(sorted(documents), lambda a, b: _jaccard(documents[a], documents[b]) >= 0.8)
+    frame = spark.createDataFrame(list(documents.items()), "doc_id long, text string")
+    keyed = frame.select(row_key(frame, "doc_id", "text").alias("doc_id"), "text")
+    for most, width in ((16, 1), (8192, 4)):
+        found = near_copies.near_copies(keyed, most, width).select(
+            F.col("doc_id.id"), F.col("component_id.id").alias("top")
+        )
+        assert {r.id: r.top for r in found.collect()} == expected
