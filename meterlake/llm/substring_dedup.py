@@ -3,12 +3,21 @@
 Every run of ``run`` consecutive sentences is hashed to 128 bits. The least place
 (document id, sentence number) of a hash is its first; hashes that occur once go at once.
 Sentences that any other place of a repeated run covers are removed. Runs of fewer than
-``min_words`` words (repeated exclamations) are not compared. A frequent run leaves each
+``min_words`` words (a few repeated exclamations) are not compared. A frequent run leaves each
 task as one row before the shuffle; the table of repeated runs is broadcast while it is
 small and joined by a shuffle with skew handling beyond.
 
 A sentence ends after ``.``, ``!`` or ``?`` or at a line feed; runs are compared without
-the white space around their sentences. A text of fewer sentences is one run.
+the white space around their sentences. A text of fewer sentences is one run. A stretch of
+``LONG_WORDS`` words or more without such an end, or of sentences so short that no two
+neighbours have ``MIN_WORDS`` words, counts as several sentences: it is cut before words whose hash is the least of their neighbourhood (``REACH`` words to each side), so equal
+passages are cut alike whatever stands around them; a piece of over ``MOST_WORDS`` words, as
+of words that repeat, is cut every ``MOST_WORDS // 2`` words. A sentence of that length is thus
+found between any neighbours.
+
+Not found: repeats that hold no two whole neighbouring sentences (or pieces), such as one
+sentence of fewer than ``LONG_WORDS`` words between different neighbours; long stretches of
+a script without white space, whose words cannot be told.
 
 Defined cases: null and empty texts have no sentences and stay as they are; rows that share
 an id count as one document, so copies of a row do not remove each other; null ids come
@@ -31,19 +40,58 @@ from meterlake.llm.common import arrow_map, checkpointed, fresh, slices, small_e
 
 RUN = 2
 MIN_WORDS = 8
+LONG_WORDS = 50  # of a sentence that is cut into pieces
+REACH = 4
+MOST_WORDS = 32
 # Rows of the tables of repeated runs and of removals that are broadcast, some 50 bytes each.
 BROADCAST_ROWS = 1_000_000
 
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|$)")
+_WORD = re.compile(r"\S+")
+
+
+def _cuts(words: list[str]) -> list[int]:
+    """Numbers of the words before which a long stretch is cut."""
+    hashes = np.array(
+        [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words], np.uint64
+    )
+    around = np.lib.stride_tricks.sliding_window_view(hashes, 2 * REACH + 1)
+    # The first of equal least hashes.
+    least = np.flatnonzero(around.argmin(axis=1) == REACH) + REACH
+    cuts, last = [], 0
+    for at in [*least.tolist(), len(words)]:
+        if at - last > MOST_WORDS:
+            cuts += range(last + MOST_WORDS // 2, at - MOST_WORDS // 4, MOST_WORDS // 2)
+        cuts.append(at)
+        last = at
+    return cuts[:-1]
 
 
 def sentences(text: str | None) -> list[tuple[int, int]]:
-    """Start and end of each sentence that is not only white space; code points."""
+    """Start and end of each sentence, or piece of a long stretch, that is not only white
+    space; code points."""
     found = []
     for m in _SENTENCE.finditer(text or ""):
-        if m.group().strip():
-            found.append(m.span())
-    return found
+        count = len(m.group().split())
+        if count:
+            found.append((*m.span(), count))
+    pieces, at = [], 0
+    while at < len(found):
+        end, count = at + 1, found[at][2]
+        while end < len(found) and found[end - 1][2] + found[end][2] < MIN_WORDS:
+            count += found[end][2]
+            end += 1
+        if count < LONG_WORDS:
+            pieces += [span[:2] for span in found[at:end]]
+        else:
+            start = found[at][0]
+            words = list(_WORD.finditer(text, start, found[end - 1][1]))
+            for k in _cuts([w.group() for w in words]):
+                pieces.append((start, words[k].start()))
+                start = words[k].start()
+            pieces.append((start, found[end - 1][1]))
+        at = end
+    return pieces
 
 
 def runs(text: str | None, run: int, min_words: int) -> list[tuple[int, bytes]]:
