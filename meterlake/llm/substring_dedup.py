@@ -1,7 +1,7 @@
 """Substring deduplication by sliding spans of sentences.
 
 Every run of ``run`` consecutive sentences is hashed to 128 bits. The least place
-(document id, sentence number) of a hash is its first; hashes that occur once go at once.
+(document id, text hash, sentence number) of a hash is its first; hashes that occur once go at once.
 Sentences that any other place of a repeated run covers are removed. Runs of fewer than
 ``min_words`` words (a few repeated exclamations) are not compared. A frequent run leaves each
 task as one row before the shuffle; the table of repeated runs is broadcast while it is
@@ -20,8 +20,8 @@ sentence of fewer than ``LONG_WORDS`` words between different neighbours; long s
 a script without white space, whose words cannot be told.
 
 Defined cases: null and empty texts have no sentences and stay as they are; rows that share
-an id count as one document, so copies of a row do not remove each other; null ids come
-last; texts are read whole; an empty table gives no rows; other columns are kept.
+id and text count as one document, so copies of a row do not remove each other, and rows of
+one id, or of none, with different texts are documents of their own; null ids come last; texts are read whole; an empty table gives no rows; other columns are kept.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.llm.common import arrow_map, checkpointed, fresh, slices, small_enough, with_column
+from meterlake.llm.common import arrow_map, checkpointed, fresh, row_key, slices, small_enough, with_column
 
 RUN = 2
 MIN_WORDS = 8
@@ -107,7 +107,14 @@ def runs(text: str | None, run: int, min_words: int) -> list[tuple[int, bytes]]:
 
 def _spans(docs: DataFrame, run: int, min_words: int) -> DataFrame:
     """``doc_id, at, hi, lo``: each run of each document."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = T.StructType(
+        [
+            docs.schema["doc_id"],
+            T.StructField("at", T.IntegerType()),
+            T.StructField("hi", T.LongType()),
+            T.StructField("lo", T.LongType()),
+        ]
+    )
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -126,7 +133,7 @@ def _spans(docs: DataFrame, run: int, min_words: int) -> DataFrame:
                     ["doc_id", "at", "hi", "lo"],
                 )
 
-    return arrow_map(docs, make, f"doc_id {kind}, at int, hi bigint, lo bigint")
+    return arrow_map(docs, make, schema)
 
 
 def repeated_runs(
@@ -136,9 +143,12 @@ def repeated_runs(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id, starts``: numbers of the sentences at which a non-first repeated run starts."""
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "at")
+    """``doc_id, starts``: by ``row_key``, the numbers of the sentences at which a non-first
+    repeated run starts."""
+    source = docs.select(
+        row_key(docs, id_col, text_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")
+    )
+    place = F.struct("doc_id", "at")
     spans = _spans(source, run, min_words).withColumn("place", place)
     firsts = spans.groupBy("hi", "lo").agg(F.min("place").alias("first"), F.max("place").alias("last"))
     firsts = checkpointed(firsts.filter("first <> last").select("hi", "lo", "first"))
@@ -161,7 +171,8 @@ def remove_repeats(
     docs = docs.drop(*results).withColumn(text_col, F.col(text_col).cast("string"))
     key, where = fresh(docs, "span_id"), fresh(docs, "span_starts")
     starts = starts.select(F.col("doc_id").alias(key), F.col("starts").alias(where))
-    source = docs.join(starts, docs[id_col].eqNullSafe(starts[key]), "left").drop(key)
+    keyed = docs.withColumn(key, row_key(docs, id_col, text_col))
+    source = keyed.join(starts, key, "left").drop(key)
     schema = T.StructType(
         [
             *docs.schema.fields,

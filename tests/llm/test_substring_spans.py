@@ -51,3 +51,18 @@ def test_a_passage_of_short_sentences_goes(spark):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r.doc_id: r.text for r in substring_dedup.remove_repeats(frame).collect()}
     assert found == {0: texts[0], 1: texts[1].replace(" " + passage, "")}
+
+
+def test_rows_of_one_id_are_told_apart_by_text(spark):
+    """A repeat in one text does not cut another of the same id, and is found within the id."""
+    rng = random.Random(24)
+    passage = f"{_words(rng, 12)}. {_words(rng, 12)}."
+    for ident in (7, None):
+        clean = " ".join(f"{_words(rng, 12)}." for _ in range(4))
+        texts = [f"{passage} {_words(rng, 12)}." for _ in range(2)] + [clean]
+        frame = spark.createDataFrame(
+            [(1, passage)] * (ident is not None) + [(ident, t) for t in texts], "doc_id long, text string"
+        )
+        left = [r.text for r in substring_dedup.remove_repeats(frame).collect()]
+        assert clean in left
+        assert sum(passage in t for t in left) == 1
