@@ -37,7 +37,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import arrow_map, row_key, shared_dir, ship, short_batches, without_rows
+from meterlake.llm.common import (
+    arrow_map,
+    checkpointed,
+    row_key,
+    shared_dir,
+    ship,
+    short_batches,
+    without_rows,
+)
 
 # Words of a segment, but for a document that alone has more.
 SEGMENT_WORDS = 400_000
@@ -301,8 +309,15 @@ def contamination(
     ``n_hit`` counts words inside any occurrence of a window of any item, ``item_ids`` are
     the items that have one, sorted as strings.
     """
-    spark = docs.sparkSession
     index = build_index(docs, id_col, text_col)
+    return _per_document(index, _hits(index, items, window, item_col, item_text_col))
+
+
+def _hits(
+    index: Index, items: DataFrame, window: int, item_col: str = "item_id", item_text_col: str = "text"
+) -> DataFrame:
+    """``segment, position, length, item_ids`` of each place of a window of ``items``."""
+    spark = index.documents.sparkSession
     items = items.select(
         F.col(item_col).cast("string").alias("item_id"),
         F.col(item_text_col).cast("string").alias("text"),
@@ -328,7 +343,7 @@ def contamination(
         hits = spark.createDataFrame(
             [], "segment bigint, position int, length int, item_ids array<string>"
         )
-    return _per_document(index, hits)
+    return hits
 
 
 def _per_document(index: Index, hits: DataFrame) -> DataFrame:
@@ -379,12 +394,30 @@ def _per_document(index: Index, hits: DataFrame) -> DataFrame:
 
 
 def decontaminate(
-    docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = 10,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    short_share: float = 0.0,
 ) -> DataFrame:
-    """The rows of ``docs`` without any window of ``items``."""
+    """The rows of ``docs`` without any window of ``items``. Items of fewer words than a window
+    count only where they make up at least ``short_share`` of a document's words."""
     keyed = docs.select(row_key(docs, id_col, text_col).alias("doc_id"), F.col(text_col).alias("text"))
-    bad = contamination(keyed, items, window).filter("contaminated")
-    return without_rows(docs, bad.select("doc_id"), id_col, text_col)
+    index = build_index(keyed)
+    hits = _hits(index, items, window)
+    if short_share > 0:
+        hits = checkpointed(hits)
+        whole = _per_document(index, hits.filter(F.col("length") >= window)).filter("contaminated")
+        bad = whole.select("doc_id")
+        short = hits.filter(F.col("length") < window)
+        if not short.isEmpty():
+            share = F.col("n_hit") >= short_share * F.col("n_words")
+            filled = _per_document(index, short).filter("contaminated").filter(share)
+            bad = bad.unionByName(filled.select("doc_id"))
+    else:
+        bad = _per_document(index, hits).filter("contaminated").select("doc_id")
+    return without_rows(docs, bad, id_col, text_col)
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
