@@ -43,7 +43,7 @@ MIN_WORDS = 8
 LONG_WORDS = 50  # of a sentence that is cut into pieces
 REACH = 4
 MOST_WORDS = 32
-# Rows of the tables of repeated runs and of removals that are broadcast, some 50 bytes each.
+# Rows of the tables of repeated runs and of removals that are broadcast, some 100 bytes each.
 BROADCAST_ROWS = 1_000_000
 
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|$)")
