@@ -2,8 +2,9 @@
 
 1. ``language_id``: documents that have no letter, or fit no learned language, go.
 2. ``exact_dedup``: of equal texts the row with the smallest id stays.
-3. ``near_dedup``: of each group of near copies (five-word shingles, exact similarity of 0.8
-   or more, linked transitively) the document with the smallest id stays.
+3. ``near_dedup``: of each group of near copies (SimHash fingerprints of three-word shingles
+   that differ in three bits or fewer, linked transitively) the document with the smallest id
+   stays.
 4. ``decontaminate``: documents with ten consecutive words of a benchmark item go, and those
    of whose words at least half (``SHORT_SHARE``) are in items of fewer words.
 5. ``bpe``: the rest is encoded, and decoded again.
@@ -21,7 +22,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bpe, decontaminate, exact_dedup, language_id, near_copies
+from meterlake.llm import bpe, decontaminate, exact_dedup, language_id, simhash
 from meterlake.llm.common import shared_dir
 
 # Share of a document that benchmark items of fewer than ten words must make up to drop it.
@@ -37,7 +38,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_copies.deduplicate(docs)
+    return simhash.deduplicate(docs, simhash.OP6)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
