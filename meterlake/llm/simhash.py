@@ -1,12 +1,8 @@
 """Near-duplicate documents by SimHash fingerprints and covering locality-sensitive hashing.
 
 **Fingerprint.** One or several lanes of up to 64 bits. A bit is 1 if it is set in over
-half the hashes of the document's features. Table lanes say who may meet, check lanes
-(or, without them, the table lanes) who is linked: documents whose lanes differ in at
-most ``distance`` bits. By default tables take distinct words, which few edits change,
-and the check takes 16 times 64 bits of five-word shingles: a similarity of 0.8 makes
-each bit differ with probability acos(2 * 0.8 / 1.8) / pi = 0.151, 155 of 1024 bits; the
-distance of 176 leaves room for its spread (11.5 bits).
+half the hashes of the document's shingles. Documents are linked whose lanes differ in at
+most ``distance`` bits in all; by default one lane of three-word shingles and three bits.
 
 **Candidates.** Bit ``i`` of a lane is given a non-zero vector ``m(i)`` of ``r + 1`` bits,
 all vectors alike often. Mask ``v`` (``1 .. 2^(r+1) - 1``) has the bits for which
@@ -50,14 +46,12 @@ from meterlake.llm.components import components
 
 @dataclass(frozen=True)
 class Settings:
-    shingle: int = 0  # words of a table lane's features; 0: distinct words
-    lanes: int = 6  # of tables
-    bits: int = 56  # of a table lane
-    radius: int = 3  # of a table lane
-    check_shingle: int = 5
-    check_lanes: int = 16  # of 64 bits; 0: the table lanes are checked
-    distance: int = 176  # links differ in so many checked bits at most
-    most: int = 4096  # nodes of a bucket
+    shingle: int = 3  # words of a feature; 0: distinct words
+    lanes: int = 1
+    bits: int = 64  # of a lane
+    radius: int = 3  # within which the masks of a lane are sure to meet
+    distance: int = 3  # links differ in so many bits at most
+    most: int = 16384  # nodes of a bucket
 
 
 def masks(positions: list[int], radius: int) -> list[int]:
@@ -113,12 +107,9 @@ def _lanes(found: list[bytes], lanes: int) -> np.ndarray:
 
 
 def fingerprint(text: str | None, s: Settings) -> list[int]:
-    """Lanes as unsigned numbers: those of the tables, then those of the check."""
+    """Lanes as unsigned numbers."""
     keep = np.uint64((1 << s.bits) - 1)
-    lanes = (_lanes(shingles_of(text, s.shingle), s.lanes) & keep).tolist()
-    if s.check_lanes:
-        lanes += _lanes(shingles_of(text, s.check_shingle), s.check_lanes).tolist()
-    return lanes
+    return (_lanes(shingles_of(text, s.shingle), s.lanes) & keep).tolist()
 
 
 def fingerprints(
@@ -194,7 +185,7 @@ def _compared(rows: DataFrame, s: Settings) -> DataFrame:
                 batch.column("node").to_numpy(),
                 batch.column("lanes").flatten().to_numpy().view(np.uint64).reshape(
                     batch.num_rows, -1
-                )[:, s.lanes if s.check_lanes else 0 :],
+                ),
             )
             if rest is not None:
                 part = tuple(np.concatenate(x) for x in zip(rest, part, strict=True))
@@ -306,8 +297,7 @@ def near_duplicates(
     """``doc_id, lanes, component_id`` for each document; the component is its least id."""
     s = s or Settings()
     prints = checkpointed(fingerprints(docs, s, id_col, text_col))
-    one = s.lanes == 1 and not s.check_lanes
-    node = F.get("lanes", F.lit(0)) if one else F.xxhash64("lanes")
+    node = F.get("lanes", F.lit(0)) if s.lanes == 1 else F.xxhash64("lanes")
     nodes = prints.groupBy("lanes").agg(F.min("doc_id").alias("least")).withColumn("node", node)
     nodes = checkpointed(nodes)
     joined = components(links(nodes.select("node", "lanes"), s))
@@ -331,7 +321,7 @@ def deduplicate(
     return without_rows(docs, dropped, id_col, text_col)
 
 
-OP6 = Settings(shingle=3, lanes=1, bits=64, radius=3, check_lanes=0, distance=3, most=16384)
+OP6 = Settings()
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -10,14 +9,22 @@ import __spark_entry__
 import corpus_pipeline
 from meterlake.llm import language_id, simhash
 from tests.llm.data import SF, ordered, rows
+from tests.llm.test_dedup import _groups
 from tests.llm.test_text import _hits
 
 
-def test_pipeline_equals_brute_force(spark):
-    documents = spark.read.parquet(f"{SF}/documents.parquet")
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    # The given documents, and near copies of some: in capitals, or with the last word changed.
+    texts = sorted(rows("select doc_id, text, lang from documents where text is not null"))
+    texts += [(10_000 + d, t.upper().replace(" ", "  "), lang) for d, t, lang in texts[:20]]
+    texts += [(20_000 + d, t.rsplit(" ", 1)[0] + " xx", lang) for d, t, lang in texts[:60]]
+    documents = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    (tmp_path / "benchmark.parquet").symlink_to(f"{SF}/benchmark.parquet")
+    documents = spark.read.parquet(f"{tmp_path}/documents.parquet")
     model = language_id.learn(documents)
     kept = []
-    for doc, text in sorted(rows("select doc_id, text from documents")):
+    for doc, text, _ in texts:
         (name,), (score,) = language_id.predict([text], model)
         if name != "und" and score >= language_id.LEAST:
             kept.append((doc, text))
@@ -26,26 +33,9 @@ def test_pipeline_equals_brute_force(spark):
         if text not in seen:
             unique.append((doc, text))
         seen.add(text)
-    settings = simhash.Settings()
-    masks = simhash.masks(list(range(settings.bits)), settings.radius)
-    prints = {d: np.array(simhash.fingerprint(t, settings), np.uint64) for d, t in unique}
-    parent = {d: d for d in prints}
-
-    def top(d):
-        while parent[d] != d:
-            d = parent[d]
-        return d
-
-    for a in prints:
-        for b in prints:
-            if a < b:
-                apart = np.bitwise_count(prints[a] ^ prints[b])
-                lanes = (prints[a] ^ prints[b])[: settings.lanes]
-                met = any(not lane & np.uint64(m) for lane in lanes for m in masks)
-                if met and apart[settings.lanes :].sum() <= settings.distance:
-                    x, y = top(a), top(b)
-                    parent[max(x, y)] = min(x, y)
-    single = [(d, t) for d, t in unique if top(d) == d]
+    prints = {d: simhash.fingerprint(t, simhash.OP6)[0] for d, t in unique}
+    groups = _groups(sorted(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
+    single = [(d, t) for d, t in unique if groups[d] == d]
     hits = _hits(single, rows("select item_id, text from benchmark"))
     clean = [pair for pair, hit in zip(single, hits, strict=True) if not hit[5]]
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
@@ -54,7 +44,7 @@ def test_pipeline_equals_brute_force(spark):
         ids = library.encode(text, add_special_tokens=False).ids
         expected.append((doc, len(ids), tuple(ids), library.decode(ids, skip_special_tokens=False)))
     assert len(expected) < len(single) < len(unique) < len(kept)
-    found = corpus_pipeline.run(spark, SF)
+    found = corpus_pipeline.run(spark, str(tmp_path))
     assert ordered(found.select("doc_id", "n_tokens", "ids", "decoded").collect()) == ordered(expected)
 
 
@@ -66,7 +56,7 @@ def test_stages_keep_columns(spark, crowded):
 
 def test_queries_are_registered():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= set(names)
