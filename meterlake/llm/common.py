@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -134,6 +135,18 @@ def sent(spark: SparkSession, key: tuple, make: Callable[[], object]) -> Broadca
     return _SENT[key]
 
 
+@contextmanager
+def no_cycles() -> Iterator[None]:
+    """No search for unreachable cycles meanwhile: work on many small objects makes none."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose ``column`` holds about ``most`` bytes, so long rows go few at a time."""
     if not batch.num_rows:

@@ -6,6 +6,7 @@ from meterlake.llm.bpe import op9_bpe
 from meterlake.llm.decontaminate import op7_decontaminate
 from meterlake.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from meterlake.llm.language_id import op5_language_id
+from meterlake.llm.pieces import op11_sentencepiece
 from meterlake.llm.pii import op10_pii
 from meterlake.llm.quality import op8_quality
 from meterlake.llm.simhash import op6_simhash
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
     "op10_pii": op10_pii,
+    "op11_sentencepiece": op11_sentencepiece,
 }
 
 SQL = {
