@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from meterlake.llm.alignment import op12_alignment
 from meterlake.llm.bpe import op9_bpe
 from meterlake.llm.decontaminate import op7_decontaminate
 from meterlake.llm.exact_dedup import OP1_SQL, op1_exact_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_pii": op10_pii,
     "op11_sentencepiece": op11_sentencepiece,
+    "op12_alignment": op12_alignment,
 }
 
 SQL = {

@@ -1,0 +1,159 @@
+"""Alignment of two tokenizers against a plain implementation."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import sentencepiece
+from tokenizers import Tokenizer
+
+from meterlake.llm import alignment
+from meterlake.llm.bpe import byte_alphabet
+from tests.llm.data import SF, ordered, rows
+from tests.llm.test_text import odd_texts
+
+A = public_tokenizers.path("byte_bpe_50k.json")
+B = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def _libraries():
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=B)
+
+
+def _tokens(text, a, b):
+    """Ids and end offsets of both tokenizers, empty where the bytes differ."""
+    if not text:
+        return ([], []), ([], [])
+    back = {c: n for n, c in enumerate(byte_alphabet())}
+    ids_a = a.encode(" " + text, add_special_tokens=False).ids
+    bytes_a = [bytes(back[c] for c in a.id_to_token(i)) for i in ids_a]
+    ids_b = b.encode(text)
+    bytes_b = [
+        bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
+        for i in ids_b
+    ]
+    whole = (" " + text).encode()
+    if b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
+        return ([], []), ([], [])
+    return tuple((ids, np.cumsum(list(map(len, x))).tolist()) for ids, x in ((ids_a, bytes_a), (ids_b, bytes_b)))
+
+
+def _expected(documents):
+    a, b = _libraries()
+    found, counts = [], Counter()
+    for doc, text in documents:
+        (ids_a, ends_a), (ids_b, ends_b) = _tokens(text, a, b)
+        links = [(x, y) for x, e in zip(ids_a, ends_a, strict=True) for y, f in zip(ids_b, ends_b, strict=True) if e == f]
+        groups, last = [], 0
+        for cut in sorted(set(ends_a) & set(ends_b)):
+            sides = [
+                ",".join(str(i) for i, e in zip(ids, ends, strict=True) if last < e <= cut)
+                for ids, ends in ((ids_a, ends_a), (ids_b, ends_b))
+            ]
+            groups.append("|".join(sides))
+            last = cut
+        counts.update(links)
+        found.append((doc, len(ids_a), len(ids_b), groups, links))
+    highest = {}
+    for (_, y), n in counts.items():
+        highest[y] = max(highest.get(y, 0), n)
+    return [
+        (doc, n_a, n_b, len(groups), len(links), sum(counts[p] == highest[p[1]] for p in links),
+         sum(counts[p] for p in links), hashlib.sha256(";".join(groups).encode()).hexdigest() if n_a else "")
+        for doc, n_a, n_b, groups, links in found
+    ]
+
+
+NAMES = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+def test_query_equals_brute_force(spark, tmp_path):
+    documents = [(d, (t or "")[:1500]) for d, t in rows("select doc_id, text from documents")]
+    documents += [(10_000 + k, t) for k, t in enumerate(odd_texts())]
+    more = ["a▁b", " lead", "trail ", "two  spaces", "\n new", "x\n", "<|endoftext|> <s>", "a \x85b", "don't I'll", " "]
+    documents += [(20_000 + k, t) for k, t in enumerate(more)] + [(None, "no id"), (None, None)]
+    spark.createDataFrame(documents, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = alignment.op12_alignment(spark, str(tmp_path)).select(*NAMES).collect()
+    assert ordered(found) == ordered(_expected(documents))
+
+
+def test_query_on_whole_texts(spark):
+    a, b = _libraries()
+    found = {r.doc_id: r for r in alignment.op12_alignment(spark, SF).collect()}
+    for doc, text in rows("select doc_id, text from documents"):
+        (ids_a, ends_a), (ids_b, ends_b) = _tokens(text, a, b)
+        got = found[doc]
+        common = set(ends_a) & set(ends_b)
+        assert (got.n_a, got.n_b, got.n_groups, got.n_links) == (len(ids_a), len(ids_b), len(common), len(common))
+
+
+def test_products_equal_dense_ones():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        x, y = rng.integers(0, 3, (4, 6)), rng.integers(0, 3, (6, 5))
+
+        def rows_of(m):
+            r, c = np.nonzero(m)
+            return alignment.Rows(np.r_[0, np.cumsum(np.bincount(r, minlength=len(m)))], c, m[r, c], m.shape[1])
+
+        def dense(m):
+            out = np.zeros((len(m.starts) - 1, m.width), np.int64)
+            i, j, v = alignment.entries(m)
+            out[i, j] = v
+            return out
+
+        assert (dense(alignment.product(rows_of(x), rows_of(y))) == x @ y).all()
+        assert (dense(alignment.transposed(rows_of(x))) == x.T).all()
+
+
+def test_links_of_occurrences(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("therain ", k=40)) for _ in range(30)] + [None, "", "a▁b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.a_at, r.b_at): r for r in alignment.token_links(docs, A, B).collect()}
+    a, b = _libraries()
+    expected = {}
+    for doc, text in enumerate(texts):
+        (ids_a, ends_a), (ids_b, ends_b) = _tokens(text, a, b)
+        common = sorted(set(ends_a) & set(ends_b))
+        group = lambda e: sum(c < e for c in common)  # noqa: E731, B023
+        for i, e in enumerate(ends_a):
+            for j, f in enumerate(ends_b):
+                start_a, start_b = ([0, *ends_a][i], [0, *ends_b][j])
+                n = max(0, min(e, f) - max(start_a, start_b))
+                if n or group(e) == group(f):
+                    expected[doc, i, j] = (ids_a[i], ids_b[j], n, e == f, group(e) == group(f))
+    assert {k: (r.a_id, r.b_id, r.n_bytes, r.ends_together, r.same_group) for k, r in got.items()} == expected
+
+
+def test_cases(spark, docs, crowded):
+    found = alignment.align(crowded, A, B)
+    assert set(crowded.columns) <= set(found.columns)
+    got = found.select("doc_id", "text", "n_a", "n_b", "n_groups", "groups", "pairs").collect()
+    assert {(r.n_a, r.n_b, r.n_groups, r.groups, tuple(r.pairs)) for r in got if not r.text} == {(0, 0, 0, "", ())}
+    assert len(got) == 10 and all(r.n_a for r in got if r.text)
+    assert alignment.link_strengths(found, A, B).count() == 10
+    none = alignment.align(docs.filter("false"), A, B)
+    assert alignment.link_strengths(none, A, B).count() == 0
+    assert alignment.token_links(docs.filter("false"), A, B).count() == 0
+    pairs = alignment.pair_table(spark, A, B)
+    assert pairs.count() == len(alignment.load(A, B).pairs)
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    texts = [t for (t,) in rows("select text from documents limit 40")]
+    whole = alignment.load(A, B).align(texts)
+    monkeypatch.setattr(alignment, "REMEMBERED", 5)
+    monkeypatch.setattr(alignment, "_BLOCK", 64)
+    own = alignment.load(A, B)
+    own.forget()
+    parts = [own.align([t]) for t in texts]
+    assert (np.concatenate([p[0] for p in parts]) == whole[0]).all()
+    assert (np.concatenate([p[1] for p in parts]) == whole[1]).all()
+    assert [g for p in parts for g in p[2]] == whole[2]
