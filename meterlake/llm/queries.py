@@ -11,6 +11,7 @@ from meterlake.llm.pieces import op11_sentencepiece
 from meterlake.llm.pii import op10_pii
 from meterlake.llm.quality import op8_quality
 from meterlake.llm.simhash import op6_simhash
+from meterlake.llm.spelling import op13_spelling
 from meterlake.llm.substring_dedup import op2_substring_dedup
 from meterlake.llm.token_counts import op3_token_counts
 from meterlake.llm.warc import OP4_SQL, op4_warc
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_pii": op10_pii,
     "op11_sentencepiece": op11_sentencepiece,
     "op12_alignment": op12_alignment,
+    "op13_spelling": op13_spelling,
 }
 
 SQL = {
