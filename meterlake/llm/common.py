@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
+from uuid import uuid4
 
 import pyarrow as pa
 from pyspark.core.broadcast import Broadcast
@@ -41,6 +42,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, stem: str) -> DataFrame:
+    """``df`` as a table of its own in the shared folder: encoded by column, so smaller than a
+    checkpoint, and of a size that Spark knows."""
+    place = f"{shared_dir(df.sparkSession)}/{stem}-{uuid4().hex}"
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 @contextmanager
 def short_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """Fewer rows of text at a time between executors and their workers, for what runs now."""

@@ -21,7 +21,8 @@ node that many words pass is dealt out by word over several tasks, and its edges
 than there are letters) go to each of them.
 
 A node is known by its prefix, or from ``LONG`` code points on by the prefix's 128-bit hash;
-neighbours are looked up among the words by their spelling, so a hash is never proof.
+neighbours are looked up among the words by their spelling, so a hash is never proof. A pair
+that both tries could find is left to the first, so each is found once.
 
 **Forms.** A word's form is its most frequent neighbour if that is ``ratio`` times as
 frequent. Frequencies grow along forms, so chains are short; roots are found by doubling the
@@ -34,24 +35,29 @@ gives no rows; other columns are not read; ties go to the least neighbour in cod
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import arrow_map, checkpointed, no_cycles, slices
+from meterlake.llm.common import arrow_map, no_cycles, slices, written
 
-RUN = "[A-Za-zÀ-ÿ]+"
-# Different words that a task counts before it hands them on.
+LETTER = "[A-Za-zÀ-ÿ]"
+# Different runs that a task counts before it hands them on.
 HELD = 300_000
 # Words that pass a node, above which they are dealt out over several tasks.
 HOT = 4096
 # Code points from which on a prefix is known by its hash.
 LONG = 32
+# Words whose places one task lists.
+WORDS_A_TASK = 50_000
 END = "\0"
 
 _SMALL = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
@@ -62,23 +68,75 @@ def lowered(run: str) -> str:
     return run.lower() if run.isascii() else run.translate(_SMALL)
 
 
-def words_of(text: str, doc_id: object, slip: int) -> Counter[str]:
-    """The words of a text and how often each occurs. With ``slip``, runs whose hash with the
-    document's id it divides lose one code point, as misspelt copies would."""
-    found: Counter[str] = Counter()
-    for run, n in Counter(re.findall(RUN, text)).items():
-        found[lowered(run)] += n
-    if not slip:
-        return found
-    out: Counter[str] = Counter()
-    start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
-    for run, n in found.items():
-        h = zlib.crc32(run.encode(), start)
-        if h % slip == 0:
-            cut = h % len(run)
-            run = run[:cut] + run[cut + 1 :]
-        out[run] += n
-    return out
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, np.uint32(0xEDB88320) ^ (table >> np.uint32(1)), table >> np.uint32(1))
+    return table
+
+
+class Runs:
+    """Runs of letters counted over many texts. The hash of a document's id and a run is that
+    of the run alone, which is known once, xor that of the id moved on by the run's bytes: all
+    occurrences of a batch are hashed at once."""
+
+    def __init__(self, least_length: int, slip: int):
+        self.find = re.compile(f"{LETTER}{{{least_length},}}").findall
+        self.least_length, self.slip, self.table = least_length, slip, _crc_table()
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.words: list[str] = []
+        self.hashes, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int64)
+        self.slipped: Counter[str] = Counter()
+
+    def add(self, ids: list, texts: list[str | None]) -> None:
+        number = self.number
+        found = [list(map(number.__getitem__, self.find(t))) if t else [] for t in texts]
+        new = [lowered(run) for run in islice(number, len(self.words), None)]
+        raw = [w.encode() for w in new]
+        self.words += new
+        self.hashes = np.r_[self.hashes, np.fromiter(map(zlib.crc32, raw), np.uint32, len(raw))]
+        self.sizes = np.r_[self.sizes, np.fromiter(map(len, raw), np.int64, len(raw))]
+        run = np.fromiter(chain.from_iterable(found), np.int64)
+        counts = np.bincount(run, minlength=len(self.words))
+        if self.slip and len(run):
+            doc = np.repeat(np.arange(len(found)), np.fromiter(map(len, found), np.int64, len(found)))
+            h = self._hashes(ids, doc, run)
+            for at in np.flatnonzero(h % np.uint32(self.slip) == 0).tolist():
+                word = self.words[run[at]]
+                cut = int(h[at]) % len(word)
+                counts[run[at]] -= 1
+                if len(word) > self.least_length:
+                    self.slipped[word[:cut] + word[cut + 1 :]] += 1
+        counts[: len(self.counts)] += self.counts
+        self.counts = counts
+
+    def _hashes(self, ids: list, doc: np.ndarray, run: np.ndarray) -> np.ndarray:
+        start = [zlib.crc32(f"{'' if i is None else i}:".encode()) for i in ids]
+        moved = np.array(start, np.uint32)
+        size = self.sizes[run]
+        out = np.zeros(len(run), np.uint32)
+        order = np.argsort(size, kind="stable")
+        sizes, cuts = np.unique(size[order], return_index=True)
+        at = 0
+        for n, a, b in zip(sizes.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True):
+            for _ in range(n - at):
+                moved = self.table[moved & np.uint32(255)] ^ (moved >> np.uint32(8))
+            at = n
+            out[order[a:b]] = moved[doc[order[a:b]]]
+        return out ^ self.hashes[run]
+
+    def rows(self) -> pa.RecordBatch:
+        """``word, n``, a word once for each way it was written, and forgets them."""
+        there = np.flatnonzero(self.counts)
+        words = [self.words[k] for k in there.tolist()] + list(self.slipped)
+        n = np.r_[self.counts[there], np.fromiter(self.slipped.values(), np.int64, len(self.slipped))]
+        self.clear()
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n, pa.int64())], ["word", "n"])
 
 
 def word_counts(
@@ -90,27 +148,19 @@ def word_counts(
     text_col: str = "text",
 ) -> DataFrame:
     """``word, n``: words of ``least_length`` code points or more that occur ``least_count``
-    times or more."""
+    times or more. With ``slip``, runs whose hash with the document's id it divides lose one
+    code point, as misspelt copies would."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[str] = Counter()
+        runs = Runs(least_length, slip)
         for whole in batches:
             for batch in slices(whole, "text"):
                 with no_cycles():
-                    ids, texts = batch.column("id").to_pylist(), batch.column("text").to_pylist()
-                    for ident, text in zip(ids, texts, strict=True):
-                        for word, n in words_of(text or "", ident, slip).items():
-                            if len(word) >= least_length:
-                                held[word] += n
-                if len(held) > HELD:
-                    yield table(held)
-                    held.clear()
-        yield table(held)
-
-    def table(held: Counter[str]) -> pa.RecordBatch:
-        columns = [pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["word", "n"])
+                    runs.add(batch.column("id").to_pylist(), batch.column("text").to_pylist())
+                if len(runs.number) > HELD:
+                    yield runs.rows()
+        yield runs.rows()
 
     parts = arrow_map(source, run, "word string, n long")
     return parts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_count)
@@ -121,95 +171,134 @@ def _rest(text: str | Column, at: Column) -> Column:
     return F.substring(text, at + 1, F.length(text))
 
 
+def _node(side: Column, x: Column, depth: Column) -> Column:
+    prefix = F.substring(x, F.lit(1), depth)
+    known = F.when(depth < LONG, prefix).otherwise(F.concat(F.lit("#"), F.md5(prefix.cast("binary"))))
+    return F.concat(side.cast("string"), known)
+
+
+def _bit(code: Column) -> Column:
+    """One of 64 bits for a code point; several share one."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(code, F.lit(64)))
+
+
 def places(words: DataFrame) -> DataFrame:
     """``side, x, depth, node, next`` of the words' prefixes from half of their length on; ``x``
-    is the word with its end, reversed on side 1."""
+    is the word with its end, reversed on side 1, and ``next`` a code point's number."""
     sides = F.array(
         F.struct(F.lit(0).alias("side"), F.col("word").alias("x")),
         F.struct(F.lit(1).alias("side"), F.reverse("word").alias("x")),
     )
     rows = words.select(F.explode(sides).alias("s")).select("s.*")
     size = F.length("x")
-    rows = rows.select("side", "x", F.explode(F.sequence(F.floor(size / 2).cast("int"), size)).alias("depth"))
-    prefix = F.substring("x", F.lit(1), F.col("depth"))
-    known = F.when(F.col("depth") < LONG, prefix).otherwise(F.concat(F.lit("#"), F.md5(prefix.cast("binary"))))
-    x = F.concat("x", F.lit(END))
+    depths = F.sequence(F.floor(size / 2).cast("int"), size)
+    rows = rows.select("side", F.concat("x", F.lit(END)).alias("x"), F.explode(depths).alias("depth"))
     return rows.select(
-        "side",
-        x.alias("x"),
-        "depth",
-        F.concat(F.col("side").cast("string"), known).alias("node"),
-        F.substring(x, F.col("depth") + 1, F.lit(1)).alias("next"),
-    )
+        "side", "x", "depth", _node(F.col("side"), F.col("x"), F.col("depth")).alias("node"),
+        F.ascii(F.substring("x", F.col("depth") + 1, F.lit(1))).alias("next"),
+    )
 
 
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``states (side, x, depth, node, parts)``, the words' places at nodes, and ``edges
-    (node, next, label, child, parts)``; ``child`` is null where the label ends a word."""
+    """``states (side, x, depth, parts)``, the words' places at nodes, and ``edges (node, next,
+    label, child, follow, ways, parts)``; ``child`` is null where the label ends a word. ``ways``
+    has a bit for each code point that leads on from the child, ``follow`` for those that can
+    come after ``next``: the label's second one, or the child's where the label has no other.
+    Several code points share a bit, so these only spare work."""
     rows = places(words)
-    ways = rows.groupBy("node", "next").agg(F.count("*").alias("n"))
-    nodes = ways.groupBy("node").agg(F.count("*").alias("ways"), F.sum("n").alias("n")).filter("ways > 1")
-    at_nodes = rows.join(nodes.select("node", "n"), "node")
-    steps = F.array_sort(F.collect_list(F.struct("depth", "node", "n")))
-    # A word has no more steps than code points.
-    paths = checkpointed(at_nodes.groupBy("side", "x").agg(steps.alias("steps")))
-    at = paths.select("side", "x", "steps", F.posexplode("steps").alias("k", "step")).select(
-        "side", "x", F.col("step.depth").alias("depth"), F.col("step.node").alias("node"),
-        F.ceil(F.col("step.n") / HOT).cast("int").alias("parts"),
-        F.get("steps", F.col("k") + 1).alias("after"),
+    nodes = rows.groupBy("node").agg(
+        F.count("*").alias("n"), F.min("next").alias("least"), F.max("next").alias("most"),
+        F.bit_or(_bit(F.col("next"))).alias("ways"),
     )
-    states = at.select("side", "x", "depth", "node", "parts")
-    upto = F.coalesce(F.col("after.depth"), F.length("x"))
-    edges = at.select(
-        "node",
-        "parts",
-        F.substring("x", F.col("depth") + 1, upto - F.col("depth")).alias("label"),
-        F.col("after.node").alias("child"),
-    )
-    # All words that go the same way from a node have the same label and child.
-    edges = edges.groupBy("node", F.substring("label", 1, 1).alias("next")).agg(
-        F.first("label").alias("label"), F.first("child").alias("child"), F.max("parts").alias("parts")
+    nodes = nodes.filter("least < most").select("node", "n", "ways")
+    # A word has no more places than code points.
+    onward = Window.partitionBy("side", "x").orderBy("depth")
+    at = rows.drop("next").join(nodes, "node").drop("node").select(
+        "side", "x", "depth", F.ceil(F.col("n") / HOT).cast("int").alias("parts"),
+        (F.coalesce(F.lead("depth").over(onward), F.length("x")) - F.col("depth")).alias("size"),
+        F.lead("ways").over(onward).alias("ways"),
+    )
+    at = written(at, "trie")
+    # All words that go the same way from a node have the same label and child, so one stands
+    # for them.
+    one = at.withColumns(
+        {
+            "node": _node(F.col("side"), F.col("x"), F.col("depth")),
+            "next": F.substring("x", F.col("depth") + 1, F.lit(1)),
+        }
+    ).dropDuplicates(["node", "next"])
+    label = F.substring("x", F.col("depth") + 1, F.col("size"))
+    second = F.ascii(F.substring("x", F.col("depth") + 2, F.lit(1)))
+    edges = one.select(
+        "node", "next", "parts", "ways", label.alias("label"),
+        F.when(F.col("ways").isNotNull(), _node(F.col("side"), F.col("x"), F.col("depth") + F.col("size")))
+        .alias("child"),
+        F.when(F.col("size") > 1, _bit(second)).otherwise(F.col("ways")).alias("follow"),
+    )
+    return at.select("side", "x", "depth", "parts"), written(edges, "edges")
+
+
+def _has(ways: str, bit: Column) -> Column:
+    return F.col(ways).bitwiseAND(bit) != 0
+
+
+def _onward(rest: Column, label: Column) -> Column:
+    """Whether ``label`` matches ``rest`` and there may be a way on, or it ends a word there."""
+    further = F.ascii(F.substring(rest, F.length(label) + 1, F.lit(1)))
+    return rest.startswith(label) & F.when(F.col("child").isNull(), rest == label).otherwise(
+        _has("ways", _bit(further))
     )
-    return states, checkpointed(edges)
 
 
 def edited(states: DataFrame, edges: DataFrame) -> DataFrame:
     """States with one edit, ``word, near, rest, node``: the word, the spelling it is led to,
     what of it is still to be matched (empty at its end) and from where."""
-    s = states.withColumn("part", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int"))
-    e = edges.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    own = F.substring("x", F.col("depth") + 1, F.lit(1))
-    both = s.drop("parts").join(e.drop("parts"), ["node", "part"])
-    both = both.filter((F.col("next") != own) & (F.col("next") != END))
+    s = states.select(
+        "side", "x", "depth", _node(F.col("side"), F.col("x"), F.col("depth")).alias("node"),
+        F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part"),
+        F.substring("x", F.col("depth") + 1, F.lit(1)).alias("own"),
+        _bit(F.ascii(F.substring("x", F.col("depth") + 1, F.lit(1)))).alias("own_bit"),
+        _bit(F.ascii(F.substring("x", F.col("depth") + 2, F.lit(1)))).alias("then_bit"),
+    )
+    e = edges.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    both = s.join(e, ["node", "part"]).filter((F.col("next") != F.col("own")) & (F.col("next") != END))
+    # The edge's code point before the word's own, or in its place: then there must be a way on.
+    before = _has("follow", F.col("own_bit"))
+    instead = (F.col("own") != END) & (F.col("next") > F.col("own")) & _has("follow", F.col("then_bit"))
+    both = both.filter(before | instead)
     label = _rest("label", F.lit(1))
 
-    def state(skipped: int) -> Column:
-        """The edge's code point in the place of so many of the word's."""
+    def state(skipped: int, may: Column) -> Column:
         rest = _rest("x", F.col("depth") + skipped)
-        beginning = F.substring("x", F.lit(1), F.col("depth"))
-        fits = rest.startswith(label) & (F.col("child").isNotNull() | (rest == label))
         return F.when(
-            fits & ((own != END) & (F.col("next") > own) if skipped else F.lit(True)),
+            may & _onward(rest, label),
             F.struct(
-                F.concat(beginning, F.col("next"), rest).alias("near"),
+                F.concat(F.substring("x", F.lit(1), F.col("depth")), F.col("next"), rest).alias("near"),
                 _rest(rest, F.length(label)).alias("rest"),
                 F.col("child").alias("node"),
             ),
         )
 
-    both = both.select("side", "x", F.explode(F.array(state(0), state(1))).alias("s")).filter("s is not null")
+    both = both.select("side", "x", "depth", F.explode(F.array(state(0, before), state(1, instead))).alias("s"))
+    # Two words are led to each other where half of the longer one is common, by the trie of
+    # beginnings if it can.
+    half = F.floor((F.length("s.near") - 1) / 2).cast("int")
+    end = lambda name: F.substring(name, F.length(name) - half, half)
+    own_side = (F.col("side") == 0) | (end(F.col("x")) != end(F.col("s.near")))
+    both = both.filter("s is not null").filter((F.col("depth") >= half) & own_side)
     plain = lambda name: F.when(
-        F.col("side") == 0, F.regexp_replace(name, END, "")
-    ).otherwise(F.reverse(F.regexp_replace(name, END, "")))
-    return both.select(plain("x").alias("word"), plain("s.near").alias("near"), "s.rest", "s.node")
+        F.col("side") == 0, F.replace(name, F.lit(END), F.lit(""))
+    ).otherwise(F.reverse(F.replace(name, F.lit(END), F.lit(""))))
+    return both.select(
+        plain(F.col("x")).alias("word"), plain(F.col("s.near")).alias("near"), "s.rest", "s.node"
+    )
 
 
 def stepped(states: DataFrame, edges: DataFrame) -> DataFrame:
     """One level on: states whose next label matches."""
     s = states.withColumn("next", F.substring("rest", 1, 1))
-    both = s.join(edges.select("node", "next", "label", "child"), ["node", "next"])
-    fits = F.col("rest").startswith(F.col("label")) & (F.col("child").isNotNull() | (F.col("rest") == F.col("label")))
-    return both.filter(fits).select(
+    both = s.join(edges.select("node", "next", "label", "child", "ways"), ["node", "next"])
+    return both.filter(_onward(F.col("rest"), F.col("label"))).select(
         "word", "near", _rest("rest", F.length("label")).alias("rest"), F.col("child").alias("node")
     )
 
@@ -218,27 +307,26 @@ def neighbours(words: DataFrame) -> DataFrame:
     """``word, near``: all pairs, both ways round, of ``words`` that differ by one inserted,
     deleted or replaced code point."""
     states, edges = trie(words)
-    frontier = checkpointed(edited(states, edges))
+    frontier = written(edited(states, edges), "frontier")
     found = frontier.filter("node is null")
     frontier = frontier.filter("node is not null")
     while not frontier.isEmpty():
-        level = checkpointed(stepped(frontier, edges))
+        level = written(stepped(frontier, edges), "frontier")
         found = found.unionByName(level.filter("node is null"))
         frontier = level.filter("node is not null")
     found = found.select("word", "near")
-    return found.unionByName(found.select(F.col("near").alias("word"), F.col("word").alias("near"))).distinct()
+    return found.unionByName(found.select(F.col("near").alias("word"), F.col("word").alias("near")))
 
 
 def roots(forms: DataFrame) -> DataFrame:
     """``word, root`` for each row of ``forms (word, form)``: the last word along the forms."""
-    at = checkpointed(forms.select("word", F.col("form").alias("root")))
+    at = written(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         onward = at.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        at = checkpointed(
-            at.join(onward, "root", "left").select(
-                "word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")
-            )
+        further = at.join(onward, "root", "left").select(
+            "word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")
         )
+        at = written(further, "roots")
         if at.filter("moved").isEmpty():
             return at.select("word", "root")
         at = at.select("word", "root")
@@ -246,24 +334,25 @@ def roots(forms: DataFrame) -> DataFrame:
 
 def spelling_variants(words: DataFrame, ratio: int = 2) -> DataFrame:
     """For each row of ``words (word, n)``: ``word, form, root, n, n_near, form_n``."""
-    words = checkpointed(words.select("word", "n"))
+    words = written(words.select("word", "n"), "words")
+    # A few megabytes of words make work for many tasks.
+    tasks = max(words.sparkSession.sparkContext.defaultParallelism, math.ceil(words.count() / WORDS_A_TASK))
     counts = words.select(F.col("word").alias("near"), F.col("n").alias("near_n"))
-    near = neighbours(words).join(counts, "near")
+    near = neighbours(words.repartition(tasks, "word")).join(counts, "near")
     # The most frequent neighbour, of equal ones the least.
     best = near.groupBy("word").agg(
         F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("minus"), "near")).alias("best")
     )
     found = words.join(best, "word", "left")
     has = -F.col("best.minus") >= ratio * F.col("n")
-    found = checkpointed(
-        found.select(
-            "word",
-            F.when(has, F.col("best.near")).alias("form"),
-            "n",
-            F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
-            F.when(has, -F.col("best.minus")).alias("form_n"),
-        )
+    found = found.select(
+        "word",
+        F.when(has, F.col("best.near")).alias("form"),
+        "n",
+        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+        F.when(has, -F.col("best.minus")).alias("form_n"),
     )
+    found = written(found, "forms")
     last = roots(found.filter("form is not null").select("word", "form"))
     return found.join(last, "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"

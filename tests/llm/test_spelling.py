@@ -91,6 +91,9 @@ def test_words_of_texts(spark, docs, crowded, monkeypatch):
     monkeypatch.setattr(spelling, "HELD", 2)
     found = {r.word: r.n for r in spelling.word_counts(crowded, slip=97).collect()}
     assert found == _counts([("" if d[0] is None else d[0], d[1]) for d in docs.select("doc_id", "text").collect()])
+    many = spark.createDataFrame([(k, "Straße Àbcdefg ×÷×÷×÷ " * 300) for k in range(200)], "doc_id long, text string")
+    slips = {r.word: r.n for r in spelling.word_counts(many, slip=97).collect()}
+    assert slips == _counts([tuple(r) for r in many.collect()]) and len(slips) > 3
     plain = {r.word: r.n for r in spelling.word_counts(docs, 1, 1).collect()}
     assert plain["Über"] == 1
     assert plain["twice"] == 3
