@@ -27,13 +27,15 @@ def prepare_batch(
     order_by: Sequence[str] = (ROW_NUMBER,),
     scope: Sequence[str] = (),
     merge_next: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Deduplicated trips with keys, flags and status: one scan and one shuffle.
 
-    With ``merge_next`` the hash of the trip key comes last, for the merge to reuse.
+    With ``merge_next`` the hash of the trip key comes last, for the merge to reuse; the
+    columns ``carry`` stay on.
     """
     flagged = add_flags(keep_first(trips, order_by, scope, merge_next), schema_drift)
-    columns = [c for c in (*PREPARED_COLUMNS, KEY_HASH) if c in flagged.columns]
+    columns = [c for c in (*PREPARED_COLUMNS, *carry, KEY_HASH) if c in flagged.columns]
     return flagged.select(*columns)
 
 

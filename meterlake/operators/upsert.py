@@ -2,10 +2,11 @@
 
 A table format with MERGE INTO can replace ``upsert_table`` behind the same signature.
 
-**Steps of an upsert.** The new content of all touched partitions is written to the
-table's staging folder; a marker is put beside it; the staged folders are moved over the
-table's; the marker is removed. A job that dies before the marker leaves the table as it
-was. One that dies after it is completed by ``recover``, with which every later writer of
+**Steps of an upsert.** The incoming rows are written as partitions to the table's staging
+folder. Where the table holds rows of a partition, its merged content is written beside them
+and the incoming folder goes; a partition that is new to the table is taken as it was written.
+Then a marker is put there, the staged folders are moved over the table's, and the marker is
+removed. A job that dies before the marker leaves the table as it was. One that dies after it is completed by ``recover``, with which every later writer of
 the table begins, so a partition that is being replaced is never taken for an empty one.
 A table has one writer at a time.
 """
@@ -16,7 +17,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,11 +126,14 @@ def materialize(
     table: LakeTable,
     incoming: DataFrame,
     partitions: Sequence[Sequence[str]] | None = None,
+    seen: Observation | None = None,
 ) -> DataFrame:
-    """``incoming`` as a table of its own, in files of the advisory size by partition."""
+    """``incoming`` as a table of its own, in files of the advisory size by partition. ``seen``
+    gets the ``rows`` that go into the write, counted in its own tasks."""
     held = _staging(table, "incoming")
     rows = incoming.select(*table.schema.names)
-    held.rewrite(rows if partitions is not None and len(partitions) < 2 else _clustered(rows, table))
+    rows = rows if partitions is not None and len(partitions) < 2 else _clustered(rows, table)
+    held.rewrite(rows.observe(seen, F.count(F.lit(1)).alias("rows")) if seen else rows)
     return held.read(spark)
 
 
@@ -186,11 +190,13 @@ def stage_upsert(
     """Upsert ``incoming`` (unique on ``keys``) into a partitioned table.
 
     ``partitions`` names those that ``incoming`` falls in; without it, they are looked up.
-    ``materialized`` says that ``incoming`` is what ``materialize`` returned. Only touched
-    partitions are read and rewritten, each row is encoded once, and partitions that hold
-    no rows yet take the incoming rows as they are. Returns the staged folders.
+    ``materialized`` says that ``incoming`` is what ``materialize`` returned. Only partitions
+    that hold rows are read and rewritten; those that hold none yet take the files that
+    ``materialize`` wrote, so their rows are encoded once. Returns the staged folders.
     """
     recover(spark, table)
+    # What a job left that died before its marker.
+    files.delete(spark, _staging(table, "rows").path)
     if not materialized:
         incoming = materialize(spark, table, incoming, partitions)
     touched = partitions if partitions is not None else touched_partitions(incoming, table)
@@ -198,30 +204,38 @@ def stage_upsert(
         return []
     columns = table.partition_by
     held = held_partitions(spark, table, touched)
-    fresh = [value for value in touched if tuple(value) not in held]
     stale = [value for value in touched if tuple(value) in held]
-    rows = incoming.where(in_partitions(columns, fresh)) if stale else incoming
     if stale:
         current = table.read(spark).where(in_partitions(columns, stale))
-        corrections = incoming.where(in_partitions(columns, stale)) if fresh else incoming
+        whole = len(stale) == len(touched)
+        corrections = incoming if whole else incoming.where(in_partitions(columns, stale))
         small = corrections.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
         merged = merge_narrow(current, corrections, keys, keep, small)
         # Without a shuffle, rows come by partition as they were read.
         merged = merged if small or len(stale) < 2 else _clustered(merged, table)
-        rows = rows.unionByName(merged) if fresh else merged
-    _staging(table, "rows").rewrite(rows)
+        _staging(table, "rows").rewrite(merged)
+        for folder in _folders(spark, table, "rows"):
+            files.delete(spark, f"{_staging(table, 'incoming').path}/{folder}")
     files.touch(spark, _marker(table))
     return staged_folders(spark, table)
 
 
-def staged_folders(spark: SparkSession, table: LakeTable) -> list[str]:
+def _folders(spark: SparkSession, table: LakeTable, name: str) -> list[str]:
     pattern = "/".join(f"{column}=*" for column in table.partition_by)
-    return files.folders(spark, _staging(table, "rows").path, pattern)
+    return files.folders(spark, _staging(table, name).path, pattern)
+
+
+def staged_folders(spark: SparkSession, table: LakeTable) -> list[str]:
+    """Partitions to be published: merged ones, and incoming ones that are new to the table."""
+    return sorted({*_folders(spark, table, "rows"), *_folders(spark, table, "incoming")})
 
 
 def publish_folder(spark: SparkSession, table: LakeTable, folder: str) -> None:
+    """Move one staged partition over the table's; it is in one of the two places."""
+    merged = f"{_staging(table, 'rows').path}/{folder}"
+    staged = merged if files.exists(spark, merged) else f"{_staging(table, 'incoming').path}/{folder}"
     files.delete(spark, f"{table.path}/{folder}")
-    files.move(spark, f"{_staging(table, 'rows').path}/{folder}", f"{table.path}/{folder}")
+    files.move(spark, staged, f"{table.path}/{folder}")
 
 
 def publish(spark: SparkSession, table: LakeTable) -> None:

@@ -11,7 +11,7 @@ from contextlib import contextmanager
 from datetime import datetime, timezone
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions.calendar import month_range
@@ -186,12 +186,16 @@ def load_prepared(
 ) -> DataFrame:
     """Upsert prepared rows and count them per batch; raises when the table lacks any.
 
-    Rows are written once to the staging folder; the counts are theirs, not the target's,
-    so rows that a write loses cannot pass for duplicates.
+    Rows are counted on their way into the staging folder, in what was written there, and in
+    the table, so rows that a write loses cannot pass for duplicates.
     """
     upsert.recover(spark, lake.silver)
-    rows = upsert.materialize(spark, lake.silver, silver, partitions)
+    seen = Observation()
+    rows = upsert.materialize(spark, lake.silver, silver, partitions, seen)
     counted = loaded_metrics(rows).collect()
+    prepared, staged = seen.get["rows"], sum(row["loaded_rows"] for row in counted)
+    if prepared != staged:
+        raise LostRows(f"{prepared} rows prepared, {staged} written")
     upsert.upsert_table(spark, lake.silver, rows, partitions=partitions, materialized=True)
     written = lake.silver.read(spark).where(
         upsert.in_partitions(lake.silver.partition_by, partitions)
