@@ -222,11 +222,20 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger_from(source_counts(spark, sf_dir))
 
 
-def raw_yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yellow trips as their files have them: other names, text datetimes, an extra column."""
-    source = trips_from(
-        table(spark, sf_dir, "lineitem").where("l_linestatus = 'F'").withColumn("copy_no", F.lit(0))
-    )
+# In which of a month's three parts a line item goes: second passes in the last.
+_PART = "case when copy_no = 1 then 2 else cast(l_orderkey % 2 as int) end as file_part"
+
+
+def _lines(spark: SparkSession, sf_dir: str, passes: bool) -> DataFrame:
+    if passes:
+        return lineitem_passes(spark, sf_dir)
+    return table(spark, sf_dir, "lineitem").withColumn("copy_no", F.lit(0))
+
+
+def raw_yellow(spark: SparkSession, sf_dir: str, passes: bool = False) -> DataFrame:
+    """Yellow trips as their files have them: other names, text datetimes, an extra column.
+    With ``passes`` second passes are among them, in a part of their own."""
+    source = trips_from(_lines(spark, sf_dir, passes).where("l_linestatus = 'F'"))
     return source.selectExpr(
         "vendor_id as VendorID",
         "cast(pickup_datetime as string) as tpep_pickup_datetime",
@@ -249,14 +258,13 @@ def raw_yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
         "airport_fee as Airport_fee",
         "'drift' as bonus_field",
         "source_year_month as file_month",
+        *([_PART] if passes else []),
     )
 
 
-def raw_green(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_green(spark: SparkSession, sf_dir: str, passes: bool = False) -> DataFrame:
     """Green trips: other names again, narrower and wider types, no airport fee."""
-    source = trips_from(
-        table(spark, sf_dir, "lineitem").where("l_linestatus <> 'F'").withColumn("copy_no", F.lit(0))
-    )
+    source = trips_from(_lines(spark, sf_dir, passes).where("l_linestatus <> 'F'"))
     return source.selectExpr(
         "cast(vendor_id as int) as VendorID",
         "pickup_datetime as lpep_pickup_datetime",
@@ -279,4 +287,5 @@ def raw_green(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(trip_type as double) as trip_type",
         "ehail_fee",
         "source_year_month as file_month",
+        *([_PART] if passes else []),
     )

@@ -29,8 +29,10 @@ from workload.lakes import (
     gold_lake,
     interrupted_lake,
     landed_lake,
+    landed_parts_lake,
     raw_lake,
     silver_lake,
+    streamed_parts_lake,
 )
 from workload.oracle import statement
 
@@ -382,6 +384,66 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.silver.read(spark).drop(*_RUN_COLUMNS)
 
 
+# The files in parts hold the second passes too; the first pass comes first and stays. They
+# have a column too many.
+_DRIFT_IN_PARTS = "true as has_schema_drift"
+_PARTS = {
+    "parts_prepared": (
+        ("raw_trips",),
+        oracle._prepared_of("raw_trips").replace("false as has_schema_drift", _DRIFT_IN_PARTS),
+    )
+}
+_PARTS_SILVER = statement(
+    f"select * exclude ({', '.join(_RUN_COLUMNS)}) from parts_silver",
+    "parts_silver",
+    parts_silver=(("parts_prepared",), oracle.silver_of("parts_prepared", oracle.FIRST_LOAD)),
+    **_PARTS,
+)
+_PARTS_COUNTS = statement(
+    """
+    select taxi_type, source_year_month as year_month, 'success' as status,
+      count(*) + count(*) filter (where l_orderkey % 20 = 0) as source_rows,
+      count(*) as loaded_rows, count(*) filter (where l_orderkey % 20 = 0) as duplicate_rows,
+      cast(sum(case when quality_status = 'flagged' then 1 else 0 end) as bigint)
+        as invalid_rows,
+      cast(sum(case when has_null_key then 1 else 0 end) as bigint) as null_key_rows
+    from parts_keyed group by 1, 2""",
+    "parts_keyed",
+    parts_keyed=(
+        ("raw_trips",),
+        oracle._prepared_of("raw_trips")
+        .replace("false as has_schema_drift", _DRIFT_IN_PARTS)
+        .replace("row_fingerprint, batch_id,", f"row_fingerprint, {oracle.FILE_ORDER}, batch_id,"),
+    ),
+)
+
+
+@query(_PARTS_SILVER)
+def run_range_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver from months in three parts of different schemas with duplicates."""
+    return landed_parts_lake(spark, sf_dir).silver.read(spark).drop(*_RUN_COLUMNS)
+
+
+@query(_PARTS_COUNTS)
+def run_range_parts_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger rows of that load."""
+    lake = landed_parts_lake(spark, sf_dir)
+    return _batch_counts(ledger.current_batches(lake.ledger.read(spark))).drop("schema_drift_columns")
+
+
+@query(_PARTS_SILVER)
+def stream_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the stream, the last parts first and months split over micro-batches."""
+    return streamed_parts_lake(spark, sf_dir).silver.read(spark).drop(*_RUN_COLUMNS)
+
+
+@query(_PARTS_COUNTS)
+def stream_parts_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ledger batch of the stream for each month, with the counts of all its parts."""
+    lake = streamed_parts_lake(spark, sf_dir)
+    return _batch_counts(ledger.current_batches(lake.ledger.read(spark))).drop("schema_drift_columns")
+
+
 @query(_select("location_id, borough, zone, service_zone", "zone_list"))
 def bootstrap_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The zone list written as CSV and loaded by the bootstrap."""
