@@ -9,10 +9,12 @@ of one label lead to one state, so a state goes by the label of its arcs and is
 the gadgets that removed arcs from it, with their times: compiling is linear in the
 merges, and a cell of the transition table is filled in when a word first needs it.
 
-**Encoding.** A word is read along the arcs, the longest token first; every prefix of a
-word has one path, so a place that does not lead to the end is never tried again. Pieces
-between white space repeat, so each worker keeps a bounded table of those it has encoded;
-longer ones are not kept.
+**Encoding.** Words that are read end in a mark of their own, so that closing tokens match
+there only. ``lockstep`` reads the bytes of all new words of a batch by a transition
+table of the tokens' bytes; of the tokens that end at a place the one is taken whose arc
+leaves the state that its start is in. Each prefix of a word has at most one such state, so
+nothing is tried twice. Between batches a worker keeps a bounded number of the pieces
+between white space that it has read, and cells of the automaton's table.
 
 Tokenizer files are JSON as the ``tokenizers`` library writes it, with words closed by a
 suffix: normalization to NFC, white space to one space and lower case; a pattern that
@@ -29,8 +31,9 @@ from __future__ import annotations
 
 import functools
 import json
-from array import array
-from collections.abc import Callable, Iterator
+from collections import defaultdict
+from collections.abc import Iterator
+from itertools import chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +43,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer as Library
 
-from meterlake.llm.common import arrow_map, sent, slices, with_column
+from meterlake.llm.common import arrow_map, no_cycles, sent, slices, with_column
+from meterlake.llm.lockstep import Lookup, Paths, gathered, starts_of
 
-# Pieces a worker remembers, and their longest length.
-REMEMBERED = 140_000
-REMEMBERED_CHARS = 48
-# Cells of the transition table a worker keeps.
-TABLE_CELLS = 200_000
+# Pieces between white space that a worker remembers before it starts anew.
+REMEMBERED = 300_000
+# The mark at a word's end; no UTF-8 text has it.
+END = b"\xff"
 _NEVER = 1 << 60
 
 
@@ -65,7 +68,6 @@ class Automaton:
         self.born = [0] * tokens  # the time of its gadget
         self.live = [False] * tokens  # some arc has it
         self.removed: dict[int, int] = {}  # (state, token) to the time of the gadget
-        self.table: dict[int, bool] = {}
         for token in base:
             self.live[token] = True
         for time, (u, v, joined) in enumerate(merges, 1):
@@ -75,6 +77,9 @@ class Automaton:
                 self.removed[u << 20 | v] = time
                 self.left[joined], self.right[joined] = u, v
                 self.born[joined], self.live[joined] = time, True
+        self.lefts, self.rights, self.times = map(np.array, (self.left, self.right, self.born))
+        self.gone = Lookup(len(self.removed))
+        self.gone.put(np.fromiter(self.removed, np.int64), np.fromiter(self.removed.values(), np.int32))
 
     def has_arc(self, state: int, token: int) -> bool:
         """Whether the state after ``state`` has an arc ``token``. Where the gadget of a token
@@ -93,32 +98,23 @@ class Automaton:
             until, state = born[state], right[state]
         return True
 
-    def fill(self, cell: int) -> bool:
-        """The cell ``state << 20 | token`` of the transition table."""
-        if len(self.table) >= TABLE_CELLS:
-            self.table.clear()
-        found = self.table[cell] = self.has_arc(cell >> 20, cell & 0xFFFFF)
-        return found
-
-
-class Remembered(dict):
-    """Results by key, of the latest keys: when full it becomes the older half, from which
-    keys that are asked for again come back."""
-
-    def __init__(self, make: Callable[[str], bytes]):
-        super().__init__()
-        self.make, self.older = make, {}
-
-    def __missing__(self, key: str) -> bytes:
-        found = self.older.get(key)
-        if found is None:
-            found = self.make(key)
-        if len(key) <= REMEMBERED_CHARS:
-            if len(self) >= REMEMBERED // 2:
-                self.older = dict(self)
-                self.clear()
-            self[key] = found
-        return found
+    def have_arcs(self, state: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """``has_arc`` for arrays: the cells ``(state, token)`` of the transition table."""
+        ok = np.ones(len(state), bool)
+        row, until = np.arange(len(state)), np.full(len(state), _NEVER)
+        while len(row):
+            part, upto, at = token[row], np.full(len(row), _NEVER), np.arange(len(row))
+            while len(at):
+                time = self.gone.get(state[at].astype(np.int64) << 20 | part)
+                bad = (time >= 0) & (time < until[at]) & (time <= upto)
+                ok[row[at[bad]]] = False
+                upto, part = self.times[part], self.lefts[part]
+                more = ~bad & (part >= 0)
+                at, part, upto = at[more], part[more], upto[more]
+            until, state = self.times[state], self.rights[state]
+            more = ok[row] & (state >= 0)
+            row, state, until = row[more], state[more], until[more]
+        return ok
 
 
 class Tokenizer:
@@ -128,7 +124,7 @@ class Tokenizer:
     version of Unicode; for ASCII both are plain. The merges are the automaton's.
     """
 
-    KEPT = ("special", "labels", "auto", "closing", "inner", "longest", "pattern", "rest")
+    KEPT = ("special", "labels", "paths", "pattern", "rest")
 
     def __init__(self, spec: str):
         found = json.loads(spec)
@@ -151,27 +147,33 @@ class Tokenizer:
         self.labels = {i: t for t, i in (vocab | self.special).items()}
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         joined = {u + v for u, v in pairs}
-        self.auto = Automaton(
+        auto = Automaton(
             [i for t, i in vocab.items() if t not in joined],
             [(vocab[u], vocab[v], vocab[u + v]) for u, v in pairs],
             max(self.labels) + 1,
         )
         # Tokens that no arc has are never emitted.
-        live = {t: i for t, i in vocab.items() if self.auto.live[i]}
-        self.closing = {t[: -len(end)]: i for t, i in live.items() if t.endswith(end)}
-        self.inner = {t: i for t, i in live.items() if not t.endswith(end)}
-        self.longest = max(map(len, live))
+        codes = {c: bytes([b]) for b, c in enumerate(byte_alphabet())}
+        labels = {}
+        for label, token in vocab.items():
+            if auto.live[token]:
+                closes = label.endswith(end)
+                symbols = label[: -len(end)] if closes else label
+                form = b"".join(codes[c] for c in symbols)
+                if END not in form:
+                    labels[token] = form + (END if closes else b"")
+        self.paths = Paths(labels, auto.have_arcs, auto.has_arc)
         self.pattern = splits[0]["pattern"]["Regex"]
         self.rest = json.dumps(found | {"model": model | {"vocab": {}, "merges": []}, "added_tokens": []})
         self._prepare()
 
     def _prepare(self) -> None:
-        self.words = regex.compile(self.pattern)
+        self.breaks = regex.compile(f"\n|{self.pattern}")
         self.specials = regex.compile(f"({'|'.join(map(regex.escape, self.special)) or '(?!)'})")
         library = Library.from_str(self.rest)
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
-        self.symbols = "".join(byte_alphabet()[:128])
-        self.pieces, self.known = Remembered(self.encode_piece), Remembered(self.encode_word)
+        self.codes = {ord(c): b for b, c in enumerate(byte_alphabet())}
+        self.forget()
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in vars(self).items() if k in self.KEPT}
@@ -180,76 +182,95 @@ class Tokenizer:
         vars(self).update(state)
         self._prepare()
 
-    def encode_word(self, symbols: str) -> bytes:
-        """``symbols`` are the bytes of a word, at least one, as characters."""
-        whole = self.closing.get(symbols)
-        return array("i", [whole] if whole is not None else self._path(symbols, len(symbols))).tobytes()
-
-    def forget(self) -> None:
-        """Drop what was remembered: a task's worker goes on with other work."""
-        for table in (self.pieces, self.known, self.auto.table):
-            table.clear()
-        self.pieces.older, self.known.older = {}, {}
-
-    def _path(self, symbols: str, n: int) -> list[int]:
-        inner, closing, longest = self.inner, self.closing, self.longest
-        table, fill = self.auto.table, self.auto.fill
-        ids: list[int] = []
-        steps: list[tuple[int, int]] = []
-        dead: set[int] = set()
-        i, j, last = 0, min(n, longest), -1
-        while i < n:
-            while j > i:
-                token = inner.get(symbols[i:j]) if j < n else closing.get(symbols[i:])
-                if token is not None and j not in dead:
-                    if last < 0:
-                        break
-                    cell = last << 20 | token
-                    arc = table.get(cell)
-                    if arc if arc is not None else fill(cell):
-                        break
-                j -= 1
-            if j > i:
-                steps.append((i, j))
-                ids.append(token)
-                i, j, last = j, min(n, j + longest), token
-            else:
-                dead.add(i)
-                i, j = steps.pop()
-                ids.pop()
-                j -= 1
-                last = ids[-1] if ids else -1
-        return ids
-
-    def words_of(self, text: str) -> list[str]:
-        if text.isascii():
-            text = text.lower()
-            if text.isalpha():
-                return [text]
-            # Printable bytes stand for themselves; the others are controls.
-            words = self.words.findall(text)
-            return words if text.isprintable() else [w.translate(self.symbols) for w in words]
-        return [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))]
-
-    def encode_piece(self, piece: str) -> bytes:
-        return b"".join([self.known[word] for word in self.words_of(piece)])
-
-    def _plain(self, text: str) -> list[bytes]:
+    def _words(self, pieces: list[str], number: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """The words of pieces (texts without white space) by their number, one piece after
+        the other, and how many each has. All pieces are split at once, as one text."""
+        if not pieces:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if pieces[0].isascii():
+            found = self.breaks.findall("\n".join(pieces).lower())
+            words = np.fromiter(map(number.__getitem__, found), np.int64, len(found))
+            breaks = np.flatnonzero(words == number["\n"])
+            ends = np.r_[breaks - np.arange(len(breaks)), len(words) - len(breaks)]
+            return np.delete(words, breaks), np.diff(ends, prepend=0)
+        joined = self.normalizer.normalize_str(" ".join(pieces))
+        if joined.count(" ") != len(pieces) - 1:  # a piece became more or none
+            each = [self.splitter.pre_tokenize_str(self.normalizer.normalize_str(p)) for p in pieces]
+            words = np.fromiter((number[w] for split in each for w, _ in split), np.int64)
+            return words, np.fromiter(map(len, each), np.int64, len(each))
+        split = self.splitter.pre_tokenize_str(joined)
+        words = np.fromiter((number[w] for w, _ in split), np.int64, len(split))
+        place = np.fromiter((span[0] for _, span in split), np.int64, len(split))
+        breaks = np.cumsum(np.fromiter(map(len, joined.split(" ")), np.int64, len(pieces)) + 1)
+        return words, np.diff(np.searchsorted(place, breaks), prepend=0)
+
+    def _bytes(self, word: str) -> bytes:
+        """A word is in ASCII, or in the characters that stand for its bytes."""
+        return (word if word.isascii() else word.translate(self.codes)).encode("latin-1") + END
+
+    def _pieces(self, text: str) -> list[str]:
         # Python's split also breaks at these four, which are no white space here.
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return [self.encode_piece(text)]
-        return list(map(self.pieces.__getitem__, text.split()))
+            return [p for p in regex.split(r"[^\S\x1c-\x1f]+", text) if p]
+        return text.split()
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of whole texts, one text after the other, and how many each has."""
+        known = self.known
+        found: list[list[int]] = []
+        for text in texts:
+            if not text:
+                found.append([])
+            elif not any(s in text for s in self.special):
+                found.append(list(map(known.__getitem__, self._pieces(text))))
+            else:
+                pieces = []
+                for part in self.specials.split(text):
+                    pieces += [part] if part in self.special else self._pieces(part)
+                found.append(list(map(known.__getitem__, pieces)))
+        if len(known) > len(self.counts):
+            self._learn(list(islice(known, len(self.counts), None)))
+        which = np.fromiter(chain.from_iterable(found), np.int64)
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        before = np.r_[0, np.cumsum(self.counts[which])]
+        per_text = np.diff(before[np.r_[0, np.cumsum(lengths)]])
+        ids = gathered(self.flat, starts_of(self.counts), self.counts, which)
+        if len(known) > REMEMBERED:
+            self.forget()
+        return ids, per_text
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode new pieces, of which equal words are encoded once."""
+        word: dict[str, int] = defaultdict()
+        word.default_factory = word.__len__
+        plain = np.fromiter(map(str.isascii, pieces), bool, len(pieces))
+        kinds = np.flatnonzero(plain), np.flatnonzero(~plain)
+        found = [self._words([pieces[k] for k in kind.tolist()], word) for kind in kinds]
+        words = np.concatenate([w for w, _ in found])
+        of_piece = np.zeros(len(pieces), np.int64)
+        firsts = np.zeros(len(pieces), np.int64)
+        order = np.concatenate(kinds)
+        of_piece[order] = np.concatenate([n for _, n in found])
+        firsts[order] = starts_of(of_piece[order])
+        ids, counts = self.paths.encode([b"" if w == "\n" else self._bytes(w) for w in word])
+        # A special token is its id, and no path: as if it were a further word.
+        for special, token in self.special.items():
+            k = self.known.get(special, -1) - len(self.counts)
+            if k >= 0:
+                ids, counts = np.r_[ids, np.int32(token)], np.r_[counts, 1]
+                words = np.r_[words, len(counts) - 1]
+                firsts[k], of_piece[k] = len(words) - 1, 1
+        words = gathered(words, firsts, of_piece, np.arange(len(pieces)))
+        before = np.r_[0, np.cumsum(counts[words])]
+        per_piece = np.diff(before[np.r_[0, np.cumsum(of_piece)]])
+        self.flat = np.r_[self.flat, gathered(ids, starts_of(counts), counts, words)]
+        self.counts = np.r_[self.counts, per_piece]
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids of a whole text, as bytes of 32-bit numbers."""
-        if not text:
-            return b""
-        if not any(s in text for s in self.special):
-            return b"".join(self._plain(text))
-        out = []
-        for part in self.specials.split(text):
-            out += [array("i", [self.special[part]]).tobytes()] if part in self.special else self._plain(part)
-        return b"".join(out)
+    def forget(self) -> None:
+        """Drop what was remembered."""
+        self.known: dict[str, int] = defaultdict()
+        self.known.default_factory = self.known.__len__
+        self.flat, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
 
 def text_of(ids: list[int], labels: dict[int, str]) -> str:
@@ -292,18 +313,20 @@ def encode(
         try:
             for whole in batches:
                 for batch in slices(whole, text_col, _BATCH):
-                    yield encoded(batch, tokenizer)
+                    with no_cycles():
+                        batch = encoded(batch, tokenizer)
+                    yield batch
         finally:
             tokenizer.forget()
+            tokenizer.paths.forget()
 
     def encoded(batch: pa.RecordBatch, tokenizer: Tokenizer) -> pa.RecordBatch:
-        parts = [tokenizer.encode(t.as_py()) for t in batch.column(text_col)]
-        ends = np.cumsum([0] + [len(p) // 4 for p in parts])
-        ids = np.frombuffer(b"".join(parts), np.int32)
+        ids, counts = tokenizer.encode(batch.column(text_col).to_pylist())
+        ends = np.r_[0, np.cumsum(counts)]
         batch = with_column(batch, out, pa.ListArray.from_arrays(ends.astype(np.int32), ids))
         if decoded:
-            labels = tokenizer.labels
-            texts = [text_of(np.frombuffer(p, np.int32).tolist(), labels) for p in parts]
+            labels, plain = tokenizer.labels, ids.tolist()
+            texts = [text_of(plain[a:b], labels) for a, b in pairwise(ends.tolist())]
             batch = with_column(batch, decoded, pa.array(texts, pa.string()))
         return batch
 
