@@ -47,7 +47,7 @@ from meterlake.llm.common import arrow_map, no_cycles, sent, slices, with_column
 from meterlake.llm.lockstep import Lookup, Paths, gathered, starts_of
 
 # Pieces between white space that a worker remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 # The mark at a word's end; no UTF-8 text has it.
 END = b"\xff"
 _NEVER = 1 << 60
@@ -291,7 +291,7 @@ def _with(docs: DataFrame, column: str, kind: T.DataType) -> tuple[DataFrame, T.
 
 
 # Bytes of text that a worker turns into one batch.
-_BATCH = 4 << 20
+_BATCH = 2 << 20
 
 
 def encode(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import zipfile
@@ -84,6 +85,14 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(application)
 
 
+def _trim() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass
+
+
 def arrow_map(
     df: DataFrame,
     run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
@@ -98,6 +107,7 @@ def arrow_map(
             yield from run(batches)
         finally:
             pa.default_memory_pool().release_unused()
+            _trim()
 
     return df.mapInArrow(task, schema)
 

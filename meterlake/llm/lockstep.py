@@ -18,12 +18,10 @@ import numpy as np
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 # Symbols a step of the work takes, and the length of a word that it takes in lockstep.
-STEP_SYMBOLS = 1 << 18
+STEP_SYMBOLS = 1 << 17
 LOCKSTEP = 160
 # Answers of ``follows`` a worker keeps.
-KEPT_ANSWERS = 1 << 19
-# A symbol that no UTF-8 text has, put between words.
-GAP = 0xFE
+KEPT_ANSWERS = 1 << 18
 
 
 class Lookup:
@@ -205,6 +203,7 @@ class Paths:
         return gathered(flat, begin, counts, np.arange(len(words))), counts
 
     def _encode_part(self, words: list[bytes], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # Words are parted by a byte that no UTF-8 text has.
         symbols = np.frombuffer(b"\xfe".join(words) + b"\xfe", np.uint8).astype(np.int64)
         begin = starts_of(lengths + 1)
         ends = np.repeat(begin + lengths, lengths + 1)
