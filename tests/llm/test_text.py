@@ -155,30 +155,66 @@ def test_language_of_held_out_documents(spark):
 def test_kernel_scores_equal_the_plain_kernel():
     """Weights over n-grams give what kernels with the landmarks and coefficients give."""
     samples = [("the cat sat", "en"), ("der hund lief", "de"), ("a dog ran", "en"), ("die katze", "de")]
+    _equal_kernels(samples, ("the hund", "katze ran xyz", "", "a"))
+
+
+def test_kernel_of_large_alphabets():
+    """More characters than fit a byte, and code points beyond 16 bits."""
+    wide = "".join(chr(0x4E00 + 7 * k) for k in range(400))
+    samples = [(wide, "zh"), ("\U00020000\U00020001 " + wide[::-1], "zh"), ("москва и река", "ru"), ("река нева", "ru")]
+    _equal_kernels(samples, (wide[100:140], "\U00020001 нева", "река ok"))
+
+
+def _equal_kernels(samples, texts):
+    languages = sorted({lang for _, lang in samples})
     model = language_id.fit(samples)
 
     def grams(text):
         return {text[k : k + n] for n in (1, 2, 3) for k in range(len(text) - n + 1)}
 
-    known = set().union(*(grams(t) for t, _ in samples))
-    marks = [t for lang in ("de", "en") for t, other in samples if other == lang]
+    marks = [t for lang in languages for t, other in samples if other == lang]
 
     def kernel(a, b):
-        x, y = grams(a) & known, grams(b) & known
+        x, y = grams(a), grams(b)
         return len(x & y) / max(1, len(x)) ** 0.5 / max(1, len(y)) ** 0.5
 
     c = np.array([[kernel(t, m) for m in marks] for t, _ in samples])
     w = np.array([[kernel(a, b) for b in marks] for a in marks])
-    y = np.array([[lang == other for other in ("de", "en")] for _, lang in samples], float)
+    y = np.array([[lang == other for other in languages] for _, lang in samples], float)
     ridge = language_id.RIDGE * len(samples) * (w + 1e-6 * np.eye(len(w)))
     a = np.linalg.solve(c.T @ c + ridge, c.T @ y)
-    for text in ("the hund", "katze ran xyz"):
+    for text in texts:
         expected = np.array([kernel(text, m) for m in marks]) @ a
-        bits = language_id._matrix([text], model)
-        got = (bits @ model.weights)[0] / max(1, bits.sum()) ** 0.5
+        bits, norms = language_id._matrix([text], model)
+        got = (bits @ model.weights / norms)[0]
         assert np.allclose(got, expected, atol=1e-4)
 
 
+def test_foreign_texts_with_one_known_word_go(spark):
+    """With a full sample; a model of few texts gives all texts higher scores."""
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.1')}/documents.parquet")
+    model = language_id.learn(docs)
+    foreign = [
+        "Москва является столицей России и крупнейшим городом страны ok",
+        "这是一个很长的中文句子，用来测试语言识别的能力 ok",
+        "Быстрая коричневая лиса перепрыгивает через ленивую собаку the",
+    ]
+    strange = spark.createDataFrame([(k, t) for k, t in enumerate(foreign)], "doc_id long, text string")
+    assert language_id.keep_identified(strange, model).count() == 0
+    lettered = docs.filter("regexp_like(text, '[A-Za-z]')")
+    assert language_id.keep_identified(lettered, model).count() == lettered.count()
+
+
+def test_language_sample_is_bounded(spark):
+    """Rows without an id, and one row many times: the sample is of different texts, by hash."""
+    rows = [(None, f"text {k}", "en") for k in range(3000)] + [(1, "same", "de")] * 3000
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language_id.sample(labelled, 50)
+    assert len(found) == len(set(found)) == 51
+    assert found == language_id.sample(labelled.repartition(7), 50)
+    assert found.count(("same", "de")) == 1
+
+
 def test_language_cases(docs, crowded):
     model = language_id.learn(docs)
     found = {(r.doc_id, r.lang_pred, r.score == 0) for r in language_id.identify(crowded, model).collect()}
