@@ -1,9 +1,14 @@
 """Exact deduplication: group by a 128-bit content hash, compare bytes inside the groups.
 
-Only hashes and ids are shuffled for the whole corpus. Hashes that repeat are kept as a
-table; while it is small it is broadcast, and texts then move only for rows whose hash
-repeats, collapsed map-side to one row per task and text, to prove that a group holds one
-text. A hash shared by different texts splits into one class per text.
+Texts are read three times and move only where their hash repeats. Hashes that repeat are
+kept as a table; rows with one of them are collapsed map-side to one row per task and text,
+so that a class is a hash together with its bytes: a hash shared by different texts splits
+into one class per text. The classes are a table of one row per repeated text, joined to the
+documents by hash and SHA-256; while small it is broadcast, beyond that a hot hash is one
+that adaptive execution can split, since nothing is grouped after the join.
+
+Rows that repeat both the id and the text of the row that stays are told apart by their
+number alone: they are counted, and that many rows are made of the count.
 
 Defined cases: a null text equals the empty text; a null id loses against any other id;
 rows that repeat both id and text count in the group size, and one of them stays; an
@@ -16,12 +21,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from meterlake.llm.common import checkpointed, fresh, small_enough
 
 # Repeated hashes that are broadcast, some 40 bytes each; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+# Rows that are made of a count at a time.
+RUN = 100_000
 
 
 def content_hash(text: Column) -> Column:
@@ -45,44 +51,49 @@ def classify(
     hashed = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn(
         "h", hash_of(F.col("text"))
     )
-    thin = hashed.select(
-        "doc_id", "h", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha")
-    )
-    groups = hashed.groupBy("h").agg(
-        F.count("*").alias("group_size"), best("doc_id").alias("best_id")
-    )
-    repeated = checkpointed(groups.filter("group_size > 1"))
+    sha = F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha")
+    repeated = checkpointed(hashed.groupBy("h").count().filter("count > 1").select("h"))
     repeated = small_enough(repeated, BROADCAST_ROWS)
     # The comparison of bytes: a class is a hash together with its text.
-    texts = (
-        hashed.join(repeated.select("h"), "h", "left_semi")
+    classes = (
+        hashed.join(repeated, "h", "left_semi")
         .groupBy("h", "text")
         .agg(F.count("*").alias("group_size"), best("doc_id").alias("keep_id"))
+        .filter("group_size > 1")
     )
-    collided = texts.groupBy("h").count().filter("count > 1").select("h")
-    by_text = texts.join(collided, "h", "left_semi").select(
-        F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"), "h", "group_size", "keep_id"
-    )
-    # One of the rows that repeat id and text is the first.
-    ordered = thin.withColumn(
-        "copy", F.row_number().over(Window.partitionBy("doc_id", "h", "sha").orderBy(F.lit(1)))
+    classes = checkpointed(classes.select("h", sha, "group_size", "keep_id"))
+    thin = hashed.select("doc_id", "h", sha)
+    found = thin.join(small_enough(classes, BROADCAST_ROWS), ["h", "sha"], "left")
+    first = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    # Classes with several rows that have the id of the one that stays.
+    several = (
+        found.filter(first & F.col("group_size").isNotNull())
+        .groupBy("h", "sha", "keep_id", "group_size")
+        .agg(F.count("*").alias("n"))
+        .filter("n > 1")
     )
-    plain = ordered.join(repeated, "h", "left").join(collided, "h", "left_anti")
+    several = checkpointed(several)
+    marks = several.select("h", "sha", F.lit(True).alias("several"))
+    found = found.join(small_enough(marks, BROADCAST_ROWS), ["h", "sha"], "left")
+    single = found.filter(~(first & F.col("group_size").isNotNull() & F.col("several").isNotNull()))
     alone = F.col("group_size").isNull()
-    plain = plain.withColumns(
-        {
-            "keep_id": F.when(alone, F.col("doc_id")).otherwise(F.col("best_id")),
-            "group_size": F.coalesce("group_size", F.lit(1).cast("long")),
-        }
-    )
-    split = ordered.join(by_text, ["h", "sha"])
-    columns = ["doc_id", "keep_id", "group_size", "copy", "sha"]
-    return plain.select(columns).unionByName(split.select(columns)).select(
+    single = single.select(
         "doc_id",
-        "keep_id",
-        "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (alone | first).alias("kept"),
+        "sha",
+    )
+    # Their rows, made of the count in runs that are dealt out.
+    runs = several.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(RUN))))
+    runs = runs.repartition("h", "at").withColumn(
+        "copy", F.explode(F.sequence(F.col("at"), F.least(F.col("n"), F.col("at") + RUN) - 1))
+    )
+    again = runs.select(
+        F.col("keep_id").alias("doc_id"), "keep_id", "group_size", (F.col("copy") == 0).alias("kept"), "sha"
+    )
+    return single.unionByName(again).withColumn("sha", F.lower(F.hex("sha"))).withColumnRenamed(
+        "sha", "text_sha256"
     )
 
 

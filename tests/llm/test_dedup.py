@@ -38,6 +38,20 @@ def test_exact_cases(docs, crowded):
     assert exact_dedup.classify(docs.filter("false")).count() == 0
 
 
+def test_exact_counts_rows_that_repeat_id_and_text(spark, monkeypatch):
+    """A hot row is made of its count, in several runs; null ids too; without a broadcast."""
+    monkeypatch.setattr(exact_dedup, "RUN", 4)
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 0)
+    data = [(7, "hot")] * 11 + [(5, "hot")] * 2 + [(None, "lost")] * 9 + [(1, "lone"), (None, "alone")]
+    found = exact_dedup.classify(spark.createDataFrame(data, "doc_id long, text string"), keep="largest")
+    got = ordered(found.select("doc_id", "keep_id", "group_size", "kept").collect())
+    assert got == ordered(
+        [(7, 7, 13, True)] + [(7, 7, 13, False)] * 10 + [(5, 7, 13, False)] * 2
+        + [(None, None, 9, True)] + [(None, None, 9, False)] * 8
+        + [(1, 1, 1, True), (None, None, 1, True)]
+    )
+
+
 def test_exact_tells_texts_of_one_hash_apart(docs):
     one = exact_dedup.classify(docs, hash_of=lambda text: F.unhex(F.md5(F.lit("one"))))
     plain = exact_dedup.classify(docs)
