@@ -47,7 +47,7 @@ from meterlake.llm.common import arrow_map, no_cycles, sent, slices, with_column
 from meterlake.llm.lockstep import Lookup, Paths, gathered, starts_of
 
 # Pieces between white space that a worker remembers before it starts anew.
-REMEMBERED = 250_000
+REMEMBERED = 60_000
 # The mark at a word's end; no UTF-8 text has it.
 END = b"\xff"
 _NEVER = 1 << 60
@@ -252,6 +252,7 @@ class Tokenizer:
         order = np.concatenate(kinds)
         of_piece[order] = np.concatenate([n for _, n in found])
         firsts[order] = starts_of(of_piece[order])
+        word.default_factory = None  # it names the dict: a cycle, which would stay for long
         ids, counts = self.paths.encode([b"" if w == "\n" else self._bytes(w) for w in word])
         # A special token is its id, and no path: as if it were a further word.
         for special, token in self.special.items():
@@ -267,7 +268,9 @@ class Tokenizer:
         self.counts = np.r_[self.counts, per_piece]
 
     def forget(self) -> None:
-        """Drop what was remembered."""
+        """Drop what was remembered; without the cycle through its factory it goes at once."""
+        if hasattr(self, "known"):
+            self.known.default_factory = None
         self.known: dict[str, int] = defaultdict()
         self.known.default_factory = self.known.__len__
         self.flat, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
@@ -291,7 +294,7 @@ def _with(docs: DataFrame, column: str, kind: T.DataType) -> tuple[DataFrame, T.
 
 
 # Bytes of text that a worker turns into one batch.
-_BATCH = 2 << 20
+_BATCH = 1 << 19
 
 
 def encode(

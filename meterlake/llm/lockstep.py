@@ -18,7 +18,7 @@ import numpy as np
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 # Symbols a step of the work takes, and the length of a word that it takes in lockstep.
-STEP_SYMBOLS = 1 << 17
+STEP_SYMBOLS = 1 << 16
 LOCKSTEP = 160
 # Answers of ``follows`` a worker keeps.
 KEPT_ANSWERS = 1 << 18
