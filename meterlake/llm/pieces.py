@@ -199,6 +199,8 @@ class Tokenizer:
 
     def forget(self) -> None:
         """Drop what was remembered: a task's worker goes on with other work."""
+        if hasattr(self, "seen"):  # its factory names it: a cycle, which would stay for long
+            self.seen.default_factory = None
         self.seen: dict[str, int] = defaultdict()
         self.seen.default_factory = self.seen.__len__
         self.flat, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
