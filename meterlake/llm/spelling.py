@@ -86,6 +86,8 @@ class Runs:
         self.clear()
 
     def clear(self) -> None:
+        if hasattr(self, "number"):  # its factory names it: a cycle, which would stay for long
+            self.number.default_factory = None
         self.number: dict[str, int] = defaultdict()
         self.number.default_factory = self.number.__len__
         self.words: list[str] = []
