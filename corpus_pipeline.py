@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import bpe, decontaminate, exact_dedup, language_id, simhash
-from meterlake.llm.common import shared_dir
+from meterlake.llm.common import shared_dir, short_batches, written
 
 # Share of a document that benchmark items of fewer than ten words must make up to drop it.
 SHORT_SHARE = 0.5
@@ -49,7 +49,10 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     encoded = bpe.encode(docs.select("doc_id", "text"), path, decoded="decoded")
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
+    columns = "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded"
+    # Written here, as the size of a batch between executors and workers is one of the session.
+    with short_batches(spark):
+        return written(encoded.select(*columns), "bpe")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
