@@ -46,7 +46,7 @@ from tokenizers import Tokenizer as Library
 from meterlake.llm.common import arrow_map, no_cycles, sent, slices, with_column
 from meterlake.llm.lockstep import Lookup, Paths, gathered, starts_of
 
-# Pieces between white space that a worker remembers before it starts anew.
+# Pieces between white space that a worker remembers; beyond it the less used ones go.
 REMEMBERED = 60_000
 # The mark at a word's end; no UTF-8 text has it.
 END = b"\xff"
@@ -235,10 +235,23 @@ class Tokenizer:
         before = np.r_[0, np.cumsum(self.counts[which])]
         per_text = np.diff(before[np.r_[0, np.cumsum(lengths)]])
         ids = gathered(self.flat, starts_of(self.counts), self.counts, which)
+        self.uses = np.bincount(which, minlength=len(known)) + np.pad(
+            self.uses, (0, len(known) - len(self.uses))
+        )
         if len(known) > REMEMBERED:
-            self.forget()
+            self._keep_used()
         return ids, per_text
 
+    def _keep_used(self) -> None:
+        """Keep the more used half of the pieces that a worker may remember."""
+        keep = np.sort(np.argsort(-self.uses, kind="stable")[: REMEMBERED // 2])
+        flat = gathered(self.flat, starts_of(self.counts), self.counts, keep)
+        counts, uses, names = self.counts[keep], self.uses[keep] // 2, list(self.known)
+        self.forget()
+        for k in keep.tolist():
+            self.known[names[k]]
+        self.flat, self.counts, self.uses = flat, counts, uses
+
     def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces, of which equal words are encoded once."""
         word: dict[str, int] = defaultdict()
@@ -274,6 +287,7 @@ class Tokenizer:
         self.known: dict[str, int] = defaultdict()
         self.known.default_factory = self.known.__len__
         self.flat, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
 
 
 def text_of(ids: list[int], labels: dict[int, str]) -> str:

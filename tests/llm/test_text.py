@@ -82,6 +82,22 @@ def test_automaton_equals_merging_in_order():
                 assert not auto.have_arcs(np.array(other[:-1]), np.array(other[1:])).all()
 
 
+@pytest.mark.parametrize("remembered", [1, 2, 7, 300])
+def test_bpe_forgets_pieces_not_results(monkeypatch, remembered):
+    monkeypatch.setattr(bpe, "REMEMBERED", remembered)
+    library, own = Tokenizer.from_file(WORD_BPE), bpe.load(WORD_BPE)
+    texts = [t for (t,) in rows("select text from documents order by doc_id limit 60")]
+    texts += ["", None, "<|endoftext|> a<|startoftext|>", "na\u00efve x\x1cy", "\u043f\u0440\u0438\u0432\u0435\u0442 123.5"]
+    for _ in range(2):
+        for at in range(0, len(texts), 9):
+            part = texts[at : at + 9]
+            ids, counts = own.encode(part)
+            assert len(own.known) <= remembered
+            expected = [library.encode(t or "", add_special_tokens=False).ids for t in part]
+            assert ids.tolist() == [i for e in expected for i in e]
+            assert counts.tolist() == list(map(len, expected))
+
+
 def test_bpe_query_round_trip(spark):
     library = Tokenizer.from_file(WORD_BPE)
     expected = []
