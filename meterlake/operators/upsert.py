@@ -13,7 +13,7 @@ A table has one writer at a time.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -52,9 +52,13 @@ def merge(
     Keys are unique on either side, so one full outer join does it and no key can be hot.
     The hash leads the join columns (see ``key_hash``). Incoming trips straight from
     ``prepare_batch(merge_next=True)`` are already partitioned and sorted this way, and
-    then only the current rows are shuffled for the merge.
+    then only the current rows are shuffled for the merge, or none if they come so too.
     """
-    left = current.withColumn(KEY_HASH, F.xxhash64(*keys)).alias("old")
+    names = [name for name in current.columns if name != KEY_HASH]
+    left = current if len(names) < len(current.columns) else current.withColumn(
+        KEY_HASH, F.xxhash64(*keys)
+    )
+    left = left.alias("old")
     right = incoming.withColumn("_incoming", F.lit(True))
     if KEY_HASH not in incoming.columns:
         right = right.withColumn(KEY_HASH, F.xxhash64(*keys))
@@ -62,7 +66,7 @@ def merge(
     on = reduce(and_, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in (KEY_HASH, *keys)])
     is_new = F.col("new._incoming").isNotNull()
     columns = []
-    for name in current.columns:
+    for name in names:
         old, new = F.col(f"old.{name}"), F.col(f"new.{name}")
         if name in keep:
             value = F.coalesce(old, new)
@@ -127,12 +131,15 @@ def materialize(
     incoming: DataFrame,
     partitions: Sequence[Sequence[str]] | None = None,
     seen: Observation | None = None,
+    clustered: bool = False,
 ) -> DataFrame:
     """``incoming`` as a table of its own, in files of the advisory size by partition. ``seen``
-    gets the ``rows`` that go into the write, counted in its own tasks."""
+    gets the ``rows`` that go into the write, counted in its own tasks. ``clustered`` says that
+    rows of one partition are together already."""
     held = _staging(table, "incoming")
     rows = incoming.select(*table.schema.names)
-    rows = rows if partitions is not None and len(partitions) < 2 else _clustered(rows, table)
+    one = partitions is not None and len(partitions) < 2
+    rows = rows if clustered or one else _clustered(rows, table)
     held.rewrite(rows.observe(seen, F.count(F.lit(1)).alias("rows")) if seen else rows)
     return held.read(spark)
 
@@ -172,9 +179,10 @@ def upsert_table(
     keep: Sequence[str] = ("loaded_at",),
     partitions: Sequence[Sequence[str]] | None = None,
     materialized: bool = False,
+    clustered: bool = False,
 ) -> None:
     """Upsert ``incoming`` into a partitioned table: ``stage_upsert``, then ``publish``."""
-    if stage_upsert(spark, table, incoming, keys, keep, partitions, materialized):
+    if stage_upsert(spark, table, incoming, keys, keep, partitions, materialized, clustered):
         publish(spark, table)
 
 
@@ -186,19 +194,22 @@ def stage_upsert(
     keep: Sequence[str] = ("loaded_at",),
     partitions: Sequence[Sequence[str]] | None = None,
     materialized: bool = False,
+    clustered: bool = False,
 ) -> list[str]:
     """Upsert ``incoming`` (unique on ``keys``) into a partitioned table.
 
     ``partitions`` names those that ``incoming`` falls in; without it, they are looked up.
-    ``materialized`` says that ``incoming`` is what ``materialize`` returned. Only partitions
-    that hold rows are read and rewritten; those that hold none yet take the files that
-    ``materialize`` wrote, so their rows are encoded once. Returns the staged folders.
+    ``materialized`` says that ``incoming`` is what ``materialize`` returned, ``clustered`` is
+    as there. Only partitions that hold rows are read and rewritten; those that hold none yet
+    take the files that ``materialize`` wrote, so their rows are encoded once. Partitions are
+    merged in groups whose incoming keys can be broadcast, so that current rows are shuffled
+    only where one partition alone has more. Returns the staged folders.
     """
     recover(spark, table)
     # What a job left that died before its marker.
     files.delete(spark, _staging(table, "rows").path)
     if not materialized:
-        incoming = materialize(spark, table, incoming, partitions)
+        incoming = materialize(spark, table, incoming, partitions, clustered=clustered)
     touched = partitions if partitions is not None else touched_partitions(incoming, table)
     if not touched:
         return []
@@ -206,20 +217,37 @@ def stage_upsert(
     held = held_partitions(spark, table, touched)
     stale = [value for value in touched if tuple(value) in held]
     if stale:
-        current = table.read(spark).where(in_partitions(columns, stale))
-        whole = len(stale) == len(touched)
-        corrections = incoming if whole else incoming.where(in_partitions(columns, stale))
-        small = corrections.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-        merged = merge_narrow(current, corrections, keys, keep, small)
-        # Without a shuffle, rows come by partition as they were read.
-        merged = merged if small or len(stale) < 2 else _clustered(merged, table)
-        _staging(table, "rows").rewrite(merged)
+        counted = incoming.groupBy(*columns).count().collect()
+        rows = {tuple(row)[:-1]: row["count"] for row in counted}
+        for group in _groups(stale, rows, BROADCAST_ROWS):
+            inside = in_partitions(columns, group)
+            small = sum(rows.get(tuple(value), 0) for value in group) <= BROADCAST_ROWS
+            current, corrections = table.read(spark).where(inside), incoming.where(inside)
+            # Without a shuffle, rows come by partition as they were read.
+            merged = merge_narrow(current, corrections, keys, keep, small)
+            _staging(table, "rows").append(merged)
         for folder in _folders(spark, table, "rows"):
             files.delete(spark, f"{_staging(table, 'incoming').path}/{folder}")
     files.touch(spark, _marker(table))
     return staged_folders(spark, table)
 
 
+def _groups(
+    partitions: Sequence[Sequence[str]], rows: dict[tuple, int], limit: int
+) -> Iterator[list[Sequence[str]]]:
+    """Partitions in runs of at most ``limit`` of their ``rows``, one partition at least."""
+    group, size = [], 0
+    for value in partitions:
+        more = rows.get(tuple(value), 0)
+        if group and size + more > limit:
+            yield group
+            group, size = [], 0
+        group.append(value)
+        size += more
+    if group:
+        yield group
+
+
 def _folders(spark: SparkSession, table: LakeTable, name: str) -> list[str]:
     pattern = "/".join(f"{column}=*" for column in table.partition_by)
     return files.folders(spark, _staging(table, name).path, pattern)
