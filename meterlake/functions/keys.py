@@ -16,18 +16,18 @@ def joined_text(columns: Iterable[str | Column], null_text: str) -> Column:
     return F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit(null_text)) for c in parts])
 
 
-def _unsigned_zero(name: str) -> Column:
+def unsigned_zero(name: str) -> Column:
     """Minus zero counts as zero in a key, as it does in a comparison."""
     return F.col(name) + F.lit(0.0) if name == "passenger_count" else F.col(name)
 
 
 def business_trip_key() -> Column:
     """Equal texts if and only if all key columns are equal, nulls being equal."""
-    return joined_text([_unsigned_zero(c) for c in BUSINESS_KEY], "")
+    return joined_text([unsigned_zero(c) for c in BUSINESS_KEY], "")
 
 
 def row_fingerprint() -> Column:
-    return joined_text([_unsigned_zero(c) for c in FINGERPRINT], "")
+    return joined_text([unsigned_zero(c) for c in FINGERPRINT], "")
 
 
 def key_hash() -> Column:

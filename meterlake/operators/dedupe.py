@@ -7,8 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlake.functions.keys import business_trip_key, key_hash
+from meterlake.functions.keys import business_trip_key, key_hash, unsigned_zero
 from meterlake.schema import BUSINESS_KEY, KEY_HASH, ROW_NUMBER, TRIP_KEY
+from meterlake.sources.tables import cut
+
+# Hashes of eight bytes that are broadcast: some 200 MB at most.
+BROADCAST_HASHES = 2_000_000
 
 # The business key with its most selective columns first: sorting compares the first
 # column by prefix and looks further only on ties.
@@ -43,3 +47,43 @@ def keep_first(
     copies = Window.partitionBy(*keys, *scope).orderBy(*order_by)
     first = trips.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1").drop("_copy")
     return first if merge_next else first.withColumn("business_trip_key", business_trip_key())
+
+
+def repeated_hashes(hashes: DataFrame) -> DataFrame:
+    """Values of the one column of ``hashes`` that occur more than once.
+
+    They are shuffled before they are counted: eight bytes a row, and no task holds more than
+    its share of the different ones, however much it reads.
+    """
+    name = hashes.columns[0]
+    return hashes.repartition(name).groupBy(name).count().where("count > 1").select(name)
+
+
+def keep_first_narrow(
+    trips: DataFrame,
+    folder: str,
+    order_by: Sequence[str] = (ROW_NUMBER,),
+    scope: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+) -> DataFrame:
+    """``keep_first`` that shuffles and sorts only rows whose key may be repeated.
+
+    Hashes of the keys are counted first and those that repeat are kept in ``folder``. Equal
+    keys have equal hashes, so a row whose hash stands alone is the only one of its key and
+    stays where it is; the others are compared by key. Beyond ``BROADCAST_HASHES`` repeated
+    hashes all rows are. With ``cluster_by``, rows equal in it come together, before texts
+    make them wider.
+    """
+    keys = (*_SORT_KEY, "source_year_month", *scope)
+    hashed = trips.withColumn("_hash", F.xxhash64(*[unsigned_zero(c) for c in keys]))
+    suspects = cut(repeated_hashes(hashed.select("_hash")), folder, "repeated_keys")
+    if suspects.count() > BROADCAST_HASHES:
+        first = keep_first(trips, order_by, scope).drop("business_trip_key")
+    else:
+        suspects = F.broadcast(suspects)
+        alone = hashed.join(suspects, "_hash", "left_anti").drop("_hash")
+        again = hashed.join(suspects, "_hash", "left_semi").drop("_hash")
+        first = alone.unionByName(keep_first(again, order_by, scope).drop("business_trip_key"))
+    if cluster_by:
+        first = first.hint("rebalance", *cluster_by)
+    return first.withColumn("business_trip_key", business_trip_key())

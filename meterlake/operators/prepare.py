@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from meterlake.functions.flags import quality_status, row_flags
 from meterlake.functions.keys import row_fingerprint
-from meterlake.operators.dedupe import keep_first
+from meterlake.operators.dedupe import keep_first, keep_first_narrow
 from meterlake.schema import KEY_HASH, PREPARED_COLUMNS, ROW_NUMBER, SILVER
 
 
@@ -28,13 +28,21 @@ def prepare_batch(
     scope: Sequence[str] = (),
     merge_next: bool = False,
     carry: Sequence[str] = (),
+    folder: str | None = None,
+    cluster_by: Sequence[str] = (),
 ) -> DataFrame:
     """Deduplicated trips with keys, flags and status: one scan and one shuffle.
 
     With ``merge_next`` the hash of the trip key comes last, for the merge to reuse; the
-    columns ``carry`` stay on.
+    columns ``carry`` stay on. With a ``folder`` for an intermediate table, hashes of the keys
+    are counted first and only rows with a repeated one are shuffled; then rows equal in
+    ``cluster_by`` come together (see ``keep_first_narrow``).
     """
-    flagged = add_flags(keep_first(trips, order_by, scope, merge_next), schema_drift)
+    if folder is not None:
+        kept = keep_first_narrow(trips, folder, order_by, scope, cluster_by)
+    else:
+        kept = keep_first(trips, order_by, scope, merge_next)
+    flagged = add_flags(kept, schema_drift)
     columns = [c for c in (*PREPARED_COLUMNS, *carry, KEY_HASH) if c in flagged.columns]
     return flagged.select(*columns)
 

@@ -155,13 +155,20 @@ def _load(
         only_month = months[0] if len(plans) == 1 else None
         normalized = trips.normalize_groups(groups, taxi_type, only_month, parts)
         order = (trips.SOURCE_PART, ROW_NUMBER) if parts else (ROW_NUMBER,)
-        prepared = prepare_batch(normalized, F.col("has_schema_drift"), order)
+        prepared = prepare_batch(
+            normalized,
+            F.col("has_schema_drift"),
+            order,
+            folder=staging_path(spark, lake, "dedupe"),
+            cluster_by=() if only_month else lake.silver.partition_by,
+        )
         metrics = load_prepared(
             spark,
             lake,
             to_silver(trips.with_batches(prepared, planned), utc_now()),
             planned,
             [(month, taxi_type) for month in months],
+            clustered=True,
         )
         ledger.finish_batches(spark, lake.ledger, planned, metrics, utc_now())
         return {row["batch_id"]: row.asDict() for row in metrics.collect()}
@@ -183,6 +190,7 @@ def load_prepared(
     silver: DataFrame,
     planned: DataFrame,
     partitions: list[tuple[str, str]],
+    clustered: bool = False,
 ) -> DataFrame:
     """Upsert prepared rows and count them per batch; raises when the table lacks any.
 
@@ -191,7 +199,7 @@ def load_prepared(
     """
     upsert.recover(spark, lake.silver)
     seen = Observation()
-    rows = upsert.materialize(spark, lake.silver, silver, partitions, seen)
+    rows = upsert.materialize(spark, lake.silver, silver, partitions, seen, clustered)
     counted = loaded_metrics(rows).collect()
     prepared, staged = seen.get["rows"], sum(row["loaded_rows"] for row in counted)
     if prepared != staged:
@@ -423,6 +431,8 @@ def refresh_fact(spark: SparkSession, lake: Lake, full: bool = False) -> None:
         fact.trip_fact(delta, vendors, zone_dim),
         keep=(),
         partitions=upsert.touched_partitions(delta, lake.fact),
+        # Rows come by partition as they were read from silver.
+        clustered=True,
     )
 
 

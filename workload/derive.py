@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from meterlake.operators.prepare import batch_metrics, prepare_batch, to_silver
 from meterlake.schema import LEDGER
+from meterlake.sources.tables import working_dir
 
 AS_OF = datetime(2001, 11, 3, tzinfo=timezone.utc)
 FIRST_LOAD = datetime(2002, 1, 1, tzinfo=timezone.utc)
@@ -99,16 +100,36 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_from(lineitem_passes(spark, sf_dir))
 
 
-def prepared_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_batch(prepare_batch(trips(spark, sf_dir), schema_drift=False, order_by=FILE_ORDER))
+def dedupe_folder(spark: SparkSession) -> str:
+    """Where intermediate tables of deduplications and checks go."""
+    shared = working_dir(spark, "") or f"{spark.conf.get('spark.sql.warehouse.dir')}/lakes"
+    return f"{shared.rstrip('/')}/dedupe"
 
 
-def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_silver(prepared_trips(spark, sf_dir), FIRST_LOAD)
+def prepared_trips(
+    spark: SparkSession, sf_dir: str, cluster_by: tuple[str, ...] = ()
+) -> DataFrame:
+    prepared = prepare_batch(
+        trips(spark, sf_dir),
+        schema_drift=False,
+        order_by=FILE_ORDER,
+        folder=dedupe_folder(spark),
+        cluster_by=cluster_by,
+    )
+    return with_batch(prepared)
+
+
+def silver_trips(
+    spark: SparkSession, sf_dir: str, cluster_by: tuple[str, ...] = ()
+) -> DataFrame:
+    return to_silver(prepared_trips(spark, sf_dir, cluster_by), FIRST_LOAD)
 
 
-def correction_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A first load and a later one that corrects some of its trips and adds others."""
+def correction_batches(
+    spark: SparkSession, sf_dir: str, cluster_by: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """A first load and a later one that corrects some of its trips and adds others. With
+    ``cluster_by`` they are for a table; else a merge can follow in the same plan."""
     lines = table(spark, sf_dir, "lineitem").withColumn("copy_no", F.lit(0))
     first = lines.where("l_orderkey % 50 <> 1")
     second = lines.where("l_orderkey % 15 = 0 or l_orderkey % 50 = 1")
@@ -117,7 +138,11 @@ def correction_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
         moved = trips_from(part).withColumns(
             {c: F.col(c) + add for c in ("fare_amount", "total_amount")}
         )
-        prepared = prepare_batch(moved, False, FILE_ORDER)
+        if cluster_by:
+            folder = dedupe_folder(spark)
+            prepared = prepare_batch(moved, False, FILE_ORDER, folder=folder, cluster_by=cluster_by)
+        else:
+            prepared = prepare_batch(moved, False, FILE_ORDER, merge_next=True)
         return to_silver(with_batch(prepared), at)
 
     return silver(first, 0, FIRST_LOAD), silver(second, 2, CORRECTION)
@@ -232,10 +257,19 @@ def _lines(spark: SparkSession, sf_dir: str, passes: bool) -> DataFrame:
     return table(spark, sf_dir, "lineitem").withColumn("copy_no", F.lit(0))
 
 
-def raw_yellow(spark: SparkSession, sf_dir: str, passes: bool = False) -> DataFrame:
+def _by_month(lines: DataFrame) -> DataFrame:
+    """Line items of a month together, before they get the wider columns of trips."""
+    return lines.repartition(F.date_format("l_shipdate", "yyyy-MM"))
+
+
+def raw_yellow(
+    spark: SparkSession, sf_dir: str, passes: bool = False, by_month: bool = False
+) -> DataFrame:
     """Yellow trips as their files have them: other names, text datetimes, an extra column.
-    With ``passes`` second passes are among them, in a part of their own."""
-    source = trips_from(_lines(spark, sf_dir, passes).where("l_linestatus = 'F'"))
+    With ``passes`` second passes are among them, in a part of their own; with ``by_month``
+    those of a month come together."""
+    lines = _lines(spark, sf_dir, passes).where("l_linestatus = 'F'")
+    source = trips_from(_by_month(lines) if by_month else lines)
     return source.selectExpr(
         "vendor_id as VendorID",
         "cast(pickup_datetime as string) as tpep_pickup_datetime",
@@ -262,9 +296,12 @@ def raw_yellow(spark: SparkSession, sf_dir: str, passes: bool = False) -> DataFr
     )
 
 
-def raw_green(spark: SparkSession, sf_dir: str, passes: bool = False) -> DataFrame:
+def raw_green(
+    spark: SparkSession, sf_dir: str, passes: bool = False, by_month: bool = False
+) -> DataFrame:
     """Green trips: other names again, narrower and wider types, no airport fee."""
-    source = trips_from(_lines(spark, sf_dir, passes).where("l_linestatus <> 'F'"))
+    lines = _lines(spark, sf_dir, passes).where("l_linestatus <> 'F'")
+    source = trips_from(_by_month(lines) if by_month else lines)
     return source.selectExpr(
         "cast(vendor_id as int) as VendorID",
         "pickup_datetime as lpep_pickup_datetime",

@@ -50,9 +50,9 @@ def write_ledger(lake: Lake, batches: DataFrame) -> None:
 def _silver(spark: SparkSession, sf_dir: str, lake: Lake) -> Lake:
     jobs.ensure_warehouse(spark, lake)
     lake.zones.append(derive.zones(spark, sf_dir))
-    trips = derive.silver_trips(spark, sf_dir)
+    trips = derive.silver_trips(spark, sf_dir, lake.silver.partition_by)
     partitions = months_of(derive.trips(spark, sf_dir))
-    upsert_table(spark, lake.silver, trips, partitions=partitions)
+    upsert_table(spark, lake.silver, trips, partitions=partitions, clustered=True)
     return lake
 
 
@@ -68,8 +68,8 @@ def _corrected(spark: SparkSession, sf_dir: str, lake: Lake) -> Lake:
     jobs.ensure_warehouse(spark, lake)
     lake.zones.append(derive.zones(spark, sf_dir))
     partitions = months_of(derive.trips(spark, sf_dir))
-    for batch in derive.correction_batches(spark, sf_dir):
-        upsert_table(spark, lake.silver, batch, partitions=partitions)
+    for batch in derive.correction_batches(spark, sf_dir, lake.silver.partition_by):
+        upsert_table(spark, lake.silver, batch, partitions=partitions, clustered=True)
         jobs.refresh_dimensions(spark, lake)
         jobs.refresh_fact(spark, lake)
     return lake
@@ -94,14 +94,14 @@ def _interrupted(spark: SparkSession, sf_dir: str, lake: Lake) -> Lake:
     """As ``corrected``, but the correction dies while it publishes, and is run again."""
     jobs.ensure_warehouse(spark, lake)
     partitions = months_of(derive.trips(spark, sf_dir))
-    first, second = derive.correction_batches(spark, sf_dir)
-    upsert_table(spark, lake.silver, first, partitions=partitions)
-    staged = stage_upsert(spark, lake.silver, second, partitions=partitions)
+    first, second = derive.correction_batches(spark, sf_dir, lake.silver.partition_by)
+    upsert_table(spark, lake.silver, first, partitions=partitions, clustered=True)
+    staged = stage_upsert(spark, lake.silver, second, partitions=partitions, clustered=True)
     for folder in staged[: len(staged) // 2]:
         publish_folder(spark, lake.silver, folder)
     # One more has lost its old rows and not yet got the new ones.
     files.delete(spark, f"{lake.silver.path}/{staged[-1]}")
-    upsert_table(spark, lake.silver, second, partitions=partitions)
+    upsert_table(spark, lake.silver, second, partitions=partitions, clustered=True)
     return lake
 
 
@@ -113,11 +113,11 @@ def interrupted_lake(spark: SparkSession, sf_dir: str) -> Lake:
 def write_raw(spark: SparkSession, sf_dir: str, lake: Lake) -> None:
     """All line items as raw files: for each type a folder of part files for each month."""
     for taxi_type, rows in (
-        ("yellow", derive.raw_yellow(spark, sf_dir)),
-        ("green", derive.raw_green(spark, sf_dir)),
+        ("yellow", derive.raw_yellow(spark, sf_dir, by_month=True)),
+        ("green", derive.raw_green(spark, sf_dir, by_month=True)),
     ):
         written = f"{lake.root}/raw_{taxi_type}"
-        rows.repartition("file_month").write.partitionBy("file_month").parquet(written)
+        rows.write.partitionBy("file_month").parquet(written)
         for folder in files.folders(spark, written, "file_month=*"):
             month = folder.split("=", 1)[1]
             url = source_url(lake.source_base, taxi_type, month)
