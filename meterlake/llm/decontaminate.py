@@ -85,9 +85,20 @@ _SCHEMA = (
 )
 
 
+def numbered(words: list[bytes], numbers: dict[bytes, int]) -> np.ndarray:
+    """``words`` as their ``numbers``, in which new ones are entered."""
+    number = numbers.setdefault
+    return np.fromiter((number(w, len(numbers)) for w in words), np.int32, len(words))
+
+
 def _segment(
-    segment: int, ids: pa.Array, words: list[list[bytes]], schema: pa.Schema
+    segment: int,
+    ids: pa.Array,
+    words: list[np.ndarray],
+    numbers: dict[bytes, int],
+    schema: pa.Schema,
 ) -> Iterator[pa.RecordBatch]:
+    """Rows of a segment; ``words`` are those of its documents as ``numbers`` has them."""
     counts = np.array([len(w) for w in words], np.int64)
     firsts = np.cumsum(np.r_[0, counts[:-1] + GAP]) if len(counts) else counts
     n = len(counts)
@@ -104,15 +115,11 @@ def _segment(
         ],
         schema=schema,
     )
-    numbers: dict[bytes, int] = {}
-    number = numbers.setdefault
-    total = int(counts.sum())
-    terms = np.fromiter(
-        (number(w, len(numbers)) for doc in words for w in doc), np.int32, total
-    )
-    places = np.arange(total) + np.repeat(firsts - np.cumsum(np.r_[0, counts[:-1]]), counts)
+    terms = np.concatenate(words) if words else np.empty(0, np.int32)
+    places = np.arange(len(terms), dtype=np.int32)
+    places += np.repeat((firsts - np.cumsum(np.r_[0, counts[:-1]])).astype(np.int32), counts)
     order = np.argsort(terms, kind="stable")
-    starts = np.searchsorted(terms[order], np.arange(len(numbers) + 1))
+    starts = np.searchsorted(terms[order], np.arange(len(numbers) + 1, dtype=np.int32))
     names = pa.array(list(numbers), pa.binary())
     lists = pa.ListArray.from_arrays(
         pa.array(starts, pa.int32()), pa.array(places[order], pa.int32())
@@ -146,7 +153,9 @@ def build_index(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment = TaskContext.get().partitionId() << 32
-        ids, words, size, types = [], [], 0, None
+        ids, words, size = [], [], 0
+        # Words are kept as numbers, four bytes each.
+        numbers: dict[bytes, int] = {}
 
         def filled() -> Iterator[pa.RecordBatch]:
             kind = batch.schema.field("doc_id").type
@@ -161,7 +170,7 @@ def build_index(
                     ("positions", pa.list_(pa.int32())),
                 ]
             )
-            return _segment(segment, pa.array(ids, kind), words, types)
+            return _segment(segment, pa.array(ids, kind), words, numbers, types)
 
         for batch in batches:
             for doc_id, text in zip(
@@ -171,9 +180,9 @@ def build_index(
                 if ids and size + len(found) + GAP > segment_words:
                     yield from filled()
                     segment += 1
-                    ids, words, size = [], [], 0
+                    ids, words, size, numbers = [], [], 0, {}
                 ids.append(doc_id)
-                words.append(found)
+                words.append(numbered(found, numbers))
                 size += len(found) + GAP
         if ids:
             yield from filled()
@@ -181,7 +190,7 @@ def build_index(
     path = f"{shared_dir(spark)}/index-{uuid4().hex}"
     # Rows of both kinds in the order they are made: no sort, and columns of the other kind
     # are null, so a scan of one kind reads little of the other.
-    with short_batches(spark):
+    with short_batches(spark, 250):
         arrow_map(source, run, schema).write.parquet(path)
     stored = spark.read.schema(schema).parquet(path)
     return Index(
