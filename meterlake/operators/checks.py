@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.operators.dedupe import BROADCAST_HASHES, repeated_hashes
+from meterlake.operators.dedupe import repeated_table, split_repeated
 from meterlake.schema import TRIP_KEY
 from meterlake.sources.tables import cut
 
@@ -99,15 +99,12 @@ def repeated(df: DataFrame, columns: Sequence[str], folder: str | None = None) -
     For long keys on large tables give a ``folder`` for intermediate tables: hashes are
     counted first, so eight bytes a row are shuffled in place of the keys, and only rows
     whose hash repeats are then counted by key. Equal keys have equal hashes, so none is
-    missed; hashes that only collide drop out in the second count. Up to ``BROADCAST_HASHES``
-    repeated hashes are broadcast, so that rows of other keys are not shuffled.
+    missed; hashes that only collide drop out in the second count. The repeated ones, or bits
+    for them, are broadcast, so that rows of other keys are not shuffled.
     """
     if folder is not None:
-        hashed = df.select(F.xxhash64(*columns).alias("_hash"), *columns)
-        suspects = cut(repeated_hashes(hashed.select("_hash")), folder, "repeated_hashes")
-        if suspects.count() <= BROADCAST_HASHES:
-            suspects = F.broadcast(suspects)
-        df = hashed.join(suspects, "_hash", "left_semi")
+        df, key = df.select(*columns), F.xxhash64(*columns)
+        _, df = split_repeated(df, key, repeated_table(df.select(key), folder))
     return df.groupBy(*columns).agg(F.count("*").alias("row_count")).where("row_count > 1")
 
 
