@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterlake.operators.dedupe import repeated_table, split_repeated
 from meterlake.schema import KEY_HASH, TRIP_KEY, ZONE_COLUMNS
 from meterlake.sources import files
 from meterlake.sources.tables import LakeTable
@@ -46,6 +47,7 @@ def merge(
     incoming: DataFrame,
     keys: Sequence[str] = TRIP_KEY,
     keep: Sequence[str] = ("loaded_at",),
+    folder: str | None = None,
 ) -> DataFrame:
     """Incoming rows replace current rows of the same key; ``keep`` columns stay as first loaded.
 
@@ -53,7 +55,17 @@ def merge(
     The hash leads the join columns (see ``key_hash``). Incoming trips straight from
     ``prepare_batch(merge_next=True)`` are already partitioned and sorted this way, and
     then only the current rows are shuffled for the merge, or none if they come so too.
+
+    With a ``folder`` for an intermediate table, hashes of the keys of both sides are counted
+    first. Only rows whose hash is there twice can meet; the others stay where they are.
     """
+    if folder is not None:
+        key = F.xxhash64(*keys)
+        sides = [side.drop(KEY_HASH) for side in (current, incoming)]
+        repeated = repeated_table(sides[0].select(key).unionAll(sides[1].select(key)), folder)
+        (stay, old), (added, new) = (split_repeated(side, key, repeated) for side in sides)
+        met = merge(old, new, keys, keep)
+        return stay.unionByName(added.select(*stay.columns)).unionByName(met)
     names = [name for name in current.columns if name != KEY_HASH]
     left = current if len(names) < len(current.columns) else current.withColumn(
         KEY_HASH, F.xxhash64(*keys)

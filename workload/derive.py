@@ -129,7 +129,7 @@ def correction_batches(
     spark: SparkSession, sf_dir: str, cluster_by: tuple[str, ...] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """A first load and a later one that corrects some of its trips and adds others. With
-    ``cluster_by`` they are for a table; else a merge can follow in the same plan."""
+    ``cluster_by`` their rows come by partition, for a table."""
     lines = table(spark, sf_dir, "lineitem").withColumn("copy_no", F.lit(0))
     first = lines.where("l_orderkey % 50 <> 1")
     second = lines.where("l_orderkey % 15 = 0 or l_orderkey % 50 = 1")
@@ -138,11 +138,8 @@ def correction_batches(
         moved = trips_from(part).withColumns(
             {c: F.col(c) + add for c in ("fare_amount", "total_amount")}
         )
-        if cluster_by:
-            folder = dedupe_folder(spark)
-            prepared = prepare_batch(moved, False, FILE_ORDER, folder=folder, cluster_by=cluster_by)
-        else:
-            prepared = prepare_batch(moved, False, FILE_ORDER, merge_next=True)
+        folder = dedupe_folder(spark)
+        prepared = prepare_batch(moved, False, FILE_ORDER, folder=folder, cluster_by=cluster_by)
         return to_silver(with_batch(prepared), at)
 
     return silver(first, 0, FIRST_LOAD), silver(second, 2, CORRECTION)

@@ -730,9 +730,9 @@ def upsert_after_crash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_select("*", "upserted"))
 def upsert_trips_in_one_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same merge as one lazy plan, without tables."""
+    """The same merge as one lazy plan, with no table but those of key hashes."""
     first, second = derive.correction_batches(spark, sf_dir)
-    return upsert.merge(first, second)
+    return upsert.merge(first, second, folder=derive.dedupe_folder(spark))
 
 
 @query(
