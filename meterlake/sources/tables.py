@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 
 from meterlake import schema as S
 
+# Partitions that a task writes side by side; it sorts the rows of further ones.
+OPEN_FILES = 32
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 @dataclass(frozen=True)
 class LakeTable:
@@ -45,19 +49,31 @@ class LakeTable:
         ).parquet(self.path)
 
     def append(self, df: DataFrame) -> None:
-        df.write.mode("append").partitionBy(*self.partition_by).parquet(self.path)
+        self._write(df, "append")
 
     def rewrite(self, df: DataFrame) -> None:
-        df.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self.path)
+        self._write(df, "overwrite")
 
     def overwrite_partitions(self, df: DataFrame) -> None:
         """Replace only the partitions present in ``df``."""
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*self.partition_by)
-            .parquet(self.path)
-        )
+        self._write(df, "overwrite", partitionOverwriteMode="dynamic")
+
+    def _write(self, df: DataFrame, mode: str, **options: str) -> None:
+        """Trips have keys of long text, so tables are compressed well. A task keeps a file
+        open for each of up to ``OPEN_FILES`` partitions, so its rows, in full width, are not
+        sorted by partition first, which spills."""
+        conf = df.sparkSession.conf
+        before = conf.get(_OPEN_FILES, None)
+        if self.partition_by:
+            conf.set(_OPEN_FILES, str(OPEN_FILES))
+        try:
+            writer = df.write.mode(mode).options(compression="zstd", **options)
+            writer.partitionBy(*self.partition_by).parquet(self.path)
+        finally:
+            if before is None:
+                conf.unset(_OPEN_FILES)
+            else:
+                conf.set(_OPEN_FILES, before)
 
 
 @dataclass(frozen=True)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from meterlake.operators import checks, dedupe, upsert
 from meterlake.operators.dedupe import keep_first, keep_first_narrow
 from meterlake.operators.prepare import prepare_batch, to_silver
 from meterlake.schema import SILVER, TRIP_PARTITIONS
+from meterlake.sources import tables
 from meterlake.sources.tables import LakeTable
 from tests.conftest import at
 from tests.test_prepare import frame, trip
@@ -114,3 +116,65 @@ def test_partitions_are_merged_in_groups_that_can_be_broadcast(spark, tmp_path,
     rows = table.read(spark)
     assert rows.count() == 4 * 5 + 8 and rows.where("fare_amount = 2").count() == 4 * 2 + 8
     assert rows.where("loaded_at < updated_at").count() == 4 * 1 + 8
+
+
+def test_beyond_the_broadcast_limit_rows_of_other_keys_are_not_shuffled(
+    spark, tmp_path, monkeypatch
+):
+    monkeypatch.setattr(dedupe, "BROADCAST_HASHES", 1)
+    monkeypatch.setattr(dedupe, "FILTER_WORDS", 64)
+    once = [trip(n, vendor_id=n, fare_amount=float(n)) for n in range(300)]
+    twice = [trip(n + 300, vendor_id=n, fare_amount=-1.0) for n in range(20)]
+    rows = frame(spark, *once, *twice).repartition(3).localCheckpoint()
+    kept = keep_first_narrow(rows, str(tmp_path))
+    plan = plan_of(kept)
+    # Only below the window, where rows whose bit is set come.
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "LeftAnti" in plan.split("Exchange hashpartitioning")[0]
+    assert sorted(r.fare_amount for r in kept.collect()) == [float(n) for n in range(300)]
+    again = dedupe.repeated_table(rows.select(F.xxhash64("vendor_id")), str(tmp_path))
+    _, compared = dedupe.split_repeated(rows, F.xxhash64("vendor_id"), again)
+    assert 40 <= compared.count() < 80
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_a_merge_by_hashes_first_shuffles_only_rows_that_meet(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(dedupe, "BROADCAST_HASHES", limit)
+
+    def batch(fare, vendors, hour):
+        trips = [trip(n, vendor_id=n, fare_amount=fare) for n in vendors]
+        return to_silver(prepare_batch(frame(spark, *trips), False), at(hour)).localCheckpoint()
+
+    old, new = batch(1.0, range(6), 0), batch(2.0, range(4, 9), 1)
+    merged = upsert.merge(old, new, folder=str(tmp_path))
+    before_join = plan_of(merged).split("FullOuter")[0]
+    assert before_join.count("LeftAnti") == 2 and "Exchange hashpartitioning" not in before_join
+    assert merged.columns == SILVER.names
+    columns = ("business_trip_key", "fare_amount", "loaded_at", "updated_at")
+    expected, found = (
+        sorted(tuple(r) for r in df.select(*columns).collect())
+        for df in (upsert.merge(old, new), merged)
+    )
+    assert found == expected and len(found) == 9
+
+
+def test_partitions_are_written_without_a_sort_of_whole_rows(spark, tmp_path, monkeypatch):
+    table = LakeTable(str(tmp_path / "silver"), SILVER, TRIP_PARTITIONS)
+    months = [f"20{y}-{m:02d}" for y in (22, 23, 24, 25) for m in range(1, 13)]
+    trips = [trip(n, source_year_month=m) for m in months for n in range(3)]
+    rows = to_silver(prepare_batch(frame(spark, *trips), False), at(0)).coalesce(1)
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    open_files, parquet = [], DataFrameWriter.parquet
+
+    def seen(self, path):
+        open_files.append(int(spark.conf.get(name)))
+        parquet(self, path)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    table.rewrite(rows)
+    assert open_files == [tables.OPEN_FILES] and tables.OPEN_FILES > 0
+    assert spark.conf.get(name) == before
+    table.append(rows.where("source_year_month < '2022-03'"))
+    written = table.read(spark)
+    assert written.count() == 48 + 2 and written.select("source_year_month").distinct().count() == 48
