@@ -5,8 +5,9 @@ A table format with MERGE INTO can replace ``upsert_table`` behind the same sign
 **Steps of an upsert.** The incoming rows are written as partitions to the table's staging
 folder. Where the table holds rows of a partition, its merged content is written beside them
 and the incoming folder goes; a partition that is new to the table is taken as it was written.
-Then a marker is put there, the staged folders are moved over the table's, and the marker is
-removed. A job that dies before the marker leaves the table as it was. One that dies after it is completed by ``recover``, with which every later writer of
+Where no column is kept, the incoming rows are final, and current rows that stay are written
+into their folder instead. Then a marker is put there, the staged folders are moved over the
+table's, and the marker is removed. A job that dies before the marker leaves the table as it was. One that dies after it is completed by ``recover``, with which every later writer of
 the table begins, so a partition that is being replaced is never taken for an empty one.
 A table has one writer at a time.
 """
@@ -22,9 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.operators.dedupe import repeated_table, split_repeated
-from meterlake.schema import KEY_HASH, TRIP_KEY, ZONE_COLUMNS
+from meterlake.schema import KEY_HASH, TRIP_KEY, TRIP_PARTITIONS, ZONE_COLUMNS
 from meterlake.sources import files
-from meterlake.sources.tables import LakeTable
+from meterlake.sources.tables import LakeTable, cut, working_dir
 
 # Keys of so many incoming rows are broadcast in a merge: some 200 MB at most.
 BROADCAST_ROWS = 1_000_000
@@ -169,7 +170,8 @@ def merge_narrow(
     current: DataFrame, incoming: DataFrame, keys: Sequence[str], keep: Sequence[str], small: bool
 ) -> DataFrame:
     """``merge`` for incoming rows that are a table. When they are ``small`` their keys are
-    broadcast, and no current row is shuffled; either way the rows are the same."""
+    broadcast, and no current row is shuffled; either way the rows are the same. Incoming rows
+    come by partition after their join, so they make few files."""
     names = incoming.select(*keys)
     names = F.broadcast(names) if small else names
     stay = current.join(names, list(keys), "left_anti").select(*current.columns)
@@ -180,6 +182,8 @@ def merge_narrow(
         new = incoming.join(old, list(keys), "left").withColumns(
             {c: F.coalesce(f"_old_{c}", c) for c in keep}
         )
+        by = [c for c in TRIP_PARTITIONS if c in new.columns]
+        new = new.hint("rebalance", *by) if by else new
     return stay.unionByName(new.select(*current.columns))
 
 
@@ -215,35 +219,100 @@ def stage_upsert(
     as there. Only partitions that hold rows are read and rewritten; those that hold none yet
     take the files that ``materialize`` wrote, so their rows are encoded once. Partitions are
     merged in groups whose incoming keys can be broadcast, so that current rows are shuffled
-    only where one partition alone has more. Returns the staged folders.
+    only where one partition alone has more. Without ``keep`` only the current rows that stay
+    are written (see ``_add_staying``). Returns the staged folders.
     """
     recover(spark, table)
     # What a job left that died before its marker.
     files.delete(spark, _staging(table, "rows").path)
     if not materialized:
         incoming = materialize(spark, table, incoming, partitions, clustered=clustered)
-    touched = partitions if partitions is not None else touched_partitions(incoming, table)
+    columns = table.partition_by
+
+    def counted() -> dict[tuple, int]:
+        # From file footers; no column is read.
+        found = incoming.groupBy(*columns).count().collect()
+        return {tuple(row)[:-1]: row["count"] for row in found}
+
+    rows = counted() if partitions is None else None
+    touched = list(rows) if partitions is None else partitions
     if not touched:
         return []
-    columns = table.partition_by
     held = held_partitions(spark, table, touched)
     stale = [value for value in touched if tuple(value) in held]
     if stale:
-        counted = incoming.groupBy(*columns).count().collect()
-        rows = {tuple(row)[:-1]: row["count"] for row in counted}
-        for group in _groups(stale, rows, BROADCAST_ROWS):
-            inside = in_partitions(columns, group)
-            small = sum(rows.get(tuple(value), 0) for value in group) <= BROADCAST_ROWS
-            current, corrections = table.read(spark).where(inside), incoming.where(inside)
-            # Without a shuffle, rows come by partition as they were read.
-            merged = merge_narrow(current, corrections, keys, keep, small)
-            _staging(table, "rows").append(merged)
-        for folder in _folders(spark, table, "rows"):
-            files.delete(spark, f"{_staging(table, 'incoming').path}/{folder}")
+        rows = counted() if rows is None else rows
+        if keep:
+            _merge_groups(spark, table, incoming, keys, keep, stale, rows)
+        else:
+            _add_staying(spark, table, incoming, keys, stale, sum(rows.values()))
     files.touch(spark, _marker(table))
     return staged_folders(spark, table)
 
 
+def _merge_groups(
+    spark: SparkSession,
+    table: LakeTable,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    keep: Sequence[str],
+    stale: Sequence[Sequence[str]],
+    rows: dict[tuple, int],
+) -> None:
+    """Write the merged content of the ``stale`` partitions, whose incoming ``rows`` are counted."""
+    place = _staging(table, "rows")
+    write = place.rewrite
+    for group in _groups(stale, rows, BROADCAST_ROWS):
+        inside = in_partitions(table.partition_by, group)
+        small = sum(rows.get(tuple(value), 0) for value in group) <= BROADCAST_ROWS
+        current, corrections = table.read(spark).where(inside), incoming.where(inside)
+        # Without a shuffle, rows come by partition as they were read.
+        write(merge_narrow(current, corrections, keys, keep, small))
+        write = place.append
+    for folder in _folders(spark, table, "rows"):
+        files.delete(spark, f"{_staging(table, 'incoming').path}/{folder}")
+
+
+def _add_staying(
+    spark: SparkSession,
+    table: LakeTable,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    stale: Sequence[Sequence[str]],
+    count: int,
+) -> None:
+    """Write current rows of the ``stale`` partitions whose key is not among the ``count``
+    incoming ones into the folders of those, which need not be encoded again then.
+
+    Beyond ``BROADCAST_ROWS`` the keys alone are shuffled to find those that stay. They are
+    few where the incoming rows replace most, and are broadcast in groups of partitions.
+    """
+    by, place = table.partition_by, _staging(table, "incoming")
+    inside = in_partitions(by, stale)
+    current, corrections = table.read(spark).where(inside), incoming.where(inside)
+    if count <= BROADCAST_ROWS:
+        names = F.broadcast(corrections.select(*keys))
+        place.append(current.join(names, list(keys), "left_anti").select(*table.schema.names))
+        return
+    # A sort that begins with the hash decides on it (see ``key_hash``).
+    key_hash = F.xxhash64(*keys).alias(KEY_HASH)
+    named = current.select(key_hash, *dict.fromkeys((*keys, *by)))
+    replaced = corrections.select(key_hash, *keys)
+    folder = f"{working_dir(spark, f'{table.path}__staging').rstrip('/')}/merge"
+    found = named.join(replaced, [KEY_HASH, *keys], "left_anti").drop(KEY_HASH)
+    staying = cut(found, folder, "staying_keys")
+    rows = {tuple(row)[:-1]: row["count"] for row in staying.groupBy(*by).count().collect()}
+    for group in _groups(sorted(rows), rows, BROADCAST_ROWS):
+        inside = in_partitions(by, group)
+        names = staying.where(inside).select(*[F.col(k).alias(f"_{k}") for k in keys])
+        if sum(rows[value] for value in group) <= BROADCAST_ROWS:
+            names = F.broadcast(names)
+        # A missing key equals none, so its row stays.
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        stay = table.read(spark).where(inside).join(names, same, "left_semi")
+        place.append(stay.select(*table.schema.names))
+
+
 def _groups(
     partitions: Sequence[Sequence[str]], rows: dict[tuple, int], limit: int
 ) -> Iterator[list[Sequence[str]]]:

@@ -430,7 +430,6 @@ def refresh_fact(spark: SparkSession, lake: Lake, full: bool = False) -> None:
         lake.fact,
         fact.trip_fact(delta, vendors, zone_dim),
         keep=(),
-        partitions=upsert.touched_partitions(delta, lake.fact),
         # Rows come by partition as they were read from silver.
         clustered=True,
     )

@@ -178,3 +178,44 @@ def test_partitions_are_written_without_a_sort_of_whole_rows(spark, tmp_path, mo
     table.append(rows.where("source_year_month < '2022-03'"))
     written = table.read(spark)
     assert written.count() == 48 + 2 and written.select("source_year_month").distinct().count() == 48
+
+
+@pytest.mark.parametrize("limit", [0, 3, 1000])
+def test_a_merge_without_kept_columns_writes_only_rows_that_stay(
+    spark, tmp_path, monkeypatch, limit
+):
+    """Incoming rows are final as they were staged; where they replace all, nothing is read twice."""
+    monkeypatch.setattr(upsert, "BROADCAST_ROWS", limit)
+    table = LakeTable(str(tmp_path / "fact"), SILVER, TRIP_PARTITIONS)
+    table.create(spark)
+
+    def batch(fare, vendors_of, hour):
+        trips = [
+            trip(n, vendor_id=n, source_year_month=m, fare_amount=fare)
+            for m, vendors in vendors_of.items()
+            for n in vendors
+        ]
+        return to_silver(prepare_batch(frame(spark, *trips), False), at(hour))
+
+    first = {"2024-01": range(4), "2024-02": range(4), "2024-03": range(4)}
+    second = {"2024-01": range(6), "2024-02": (2, 3, 4), "2024-04": (1,)}
+    upsert.upsert_table(spark, table, batch(1.0, first, 0), keep=())
+    monkeypatch.setattr(upsert, "merge_narrow", None)
+    written, write = {}, LakeTable._write
+
+    def seen(self, df, mode, **options):
+        write(self, df, mode, **options)
+        if "__staging" in self.path:
+            written[self.path.rsplit("/", 1)[1]] = self.read(spark).count()
+
+    monkeypatch.setattr(LakeTable, "_write", seen)
+    upsert.upsert_table(spark, table, batch(2.0, second, 1), keep=())
+    # Ten incoming rows and the two of February that stay, beside them.
+    assert {k: n for k, n in written.items() if k in ("incoming", "rows")} == {"incoming": 12}
+    found = {
+        (r.source_year_month, r.vendor_id): (r.fare_amount, r.loaded_at.hour)
+        for r in table.read(spark).collect()
+    }
+    assert table.read(spark).count() == len(found) == 6 + 5 + 4 + 1
+    for (month, vendor), (fare, _) in found.items():
+        assert fare == (2.0 if vendor in second.get(month, ()) else 1.0)
