@@ -14,6 +14,8 @@ from meterlake import schema as S
 # Partitions that a task writes side by side; it sorts the rows of further ones.
 OPEN_FILES = 32
 _OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+# Shuffle files of a write go when it ends, not with a later garbage collection of the driver.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @dataclass(frozen=True)
@@ -63,17 +65,21 @@ class LakeTable:
         open for each of up to ``OPEN_FILES`` partitions, so its rows, in full width, are not
         sorted by partition first, which spills."""
         conf = df.sparkSession.conf
-        before = conf.get(_OPEN_FILES, None)
+        wanted = {_CLEAN_UP: "true"}
         if self.partition_by:
-            conf.set(_OPEN_FILES, str(OPEN_FILES))
+            wanted[_OPEN_FILES] = str(OPEN_FILES)
+        before = {name: conf.get(name, None) for name in wanted}
+        for name, value in wanted.items():
+            conf.set(name, value)
         try:
             writer = df.write.mode(mode).options(compression="zstd", **options)
             writer.partitionBy(*self.partition_by).parquet(self.path)
         finally:
-            if before is None:
-                conf.unset(_OPEN_FILES)
-            else:
-                conf.set(_OPEN_FILES, before)
+            for name, value in before.items():
+                if value is None:
+                    conf.unset(name)
+                else:
+                    conf.set(name, value)
 
 
 @dataclass(frozen=True)

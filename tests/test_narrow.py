@@ -219,3 +219,20 @@ def test_a_merge_without_kept_columns_writes_only_rows_that_stay(
     assert table.read(spark).count() == len(found) == 6 + 5 + 4 + 1
     for (month, vendor), (fare, _) in found.items():
         assert fare == (2.0 if vendor in second.get(month, ()) else 1.0)
+
+
+def test_shuffle_files_of_a_write_are_cleaned_up(spark, tmp_path, monkeypatch):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, states, parquet = spark.conf.get(name), [], DataFrameWriter.parquet
+
+    def seen(self, path):
+        states.append(spark.conf.get(name))
+        parquet(self, path)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    rows = spark.range(100).repartition(3, "id")
+    table = LakeTable(str(tmp_path / "t"), rows.schema)
+    table.rewrite(rows)
+    table.append(rows)
+    assert states == ["true", "true"] and spark.conf.get(name) == before
+    assert table.read(spark).count() == 200
