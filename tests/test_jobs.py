@@ -593,6 +593,41 @@ def test_stream_takes_all_files_of_a_backlog(spark, lake, tmp_path):
     assert silver(spark, lake).count() == 10 and batches(spark, lake).count() == 5
 
 
+def test_stream_writes_each_trip_once_and_keeps_the_first_load(spark, lake, tmp_path, monkeypatch):
+    """Trips that win are final as they are staged; of the table only trips that stay are written."""
+    folder = tmp_path / "source" / "yellow_tripdata_2024-01.parquet"
+    folder.mkdir()
+    checkpoint = str(tmp_path / "s")
+    write_parquet(folder / "part 5[%41].parquet", yellow_columns(5, total_amount=[5.0] * 5))
+    schema = spark.read.parquet(str(folder)).schema
+    land_stream(spark, lake, "yellow", schema, checkpoint).awaitTermination()
+    first = silver(spark, lake).first().loaded_at
+    written, write = [], LakeTable._write
+
+    def seen(self, df, mode, **options):
+        write(self, df, mode, **options)
+        if self.path.startswith(lake.silver.path):
+            written.append((self.path.rsplit("/", 1)[1], mode, self.read(spark).count()))
+
+    monkeypatch.setattr(LakeTable, "_write", seen)
+    # Two trips of five are replaced, a new one is added; one in another part does not win.
+    columns = yellow_columns(7, total_amount=[3.0] * 7)
+    write_parquet(folder / "part 3.parquet", {c: [v[0], v[1], v[6]] for c, v in columns.items()})
+    write_parquet(folder / "part 8.parquet", {c: [v[2]] for c, v in columns.items()})
+    land_stream(spark, lake, "yellow", schema, checkpoint).awaitTermination()
+    assert written == [("incoming", "overwrite", 3), ("incoming", "append", 6)]
+    rows = silver(spark, lake).collect()
+    assert sorted(r.total_amount for r in rows) == [3.0, 3.0, 3.0, 5.0, 5.0, 5.0]
+    assert sorted((r.total_amount, r.loaded_at == first, r.updated_at == first) for r in rows) == [
+        (3.0, False, False), (3.0, True, False), (3.0, True, False), *[(5.0, True, True)] * 3
+    ]
+    # Places of a closed month are gone, the times of its trips are not.
+    close_months(spark, lake, "yellow", ["2024-01"])
+    write_parquet(folder / "part 9.parquet", yellow_columns(1, total_amount=[9.0]))
+    land_stream(spark, lake, "yellow", schema, checkpoint).awaitTermination()
+    assert [r.loaded_at for r in silver(spark, lake).collect() if r.total_amount == 9.0] == [first]
+
+
 def test_freshness_levels(spark, lake):
     put(lake, "2024-01", yellow_columns(1))
     jobs.run_month(spark, lake, "yellow", "2024-01")
